@@ -105,9 +105,9 @@ def threshold_metrics(
     df: DataFrame, threshold: Column | float, label: str = LABEL, score: str = "risk_score", by: Sequence[str] = ()
 ) -> DataFrame:
     """Flagged rows, precision, recall and lift at a threshold; tied rows are flagged together."""
-    at = F.lit(threshold) if isinstance(threshold, (int, float)) else threshold
-    columns = threshold_metrics_of(F.col(label), F.col(score), at)
-    return df.groupBy(*by).agg(*[c.alias(n) for n, c in columns.items()])
+    at = F.lit(float(threshold)) if isinstance(threshold, (int, float)) else threshold
+    columns = threshold_metrics_of(F.col(label), F.col(score), F.col("_at"))
+    return df.withColumn("_at", at).groupBy(*by).agg(*[c.alias(n) for n, c in columns.items()])
 
 
 def lift_table(
@@ -193,9 +193,10 @@ def calibration_bins(
         .scalar()
     )
     value = F.col(score).cast("double")
-    bin_no = F.greatest(F.lit(1), F.size(F.filter(edges, lambda e: e < value)))
+    bin_no = F.greatest(F.lit(1), F.size(F.filter("_edges", lambda e: e < value)))
     return (
         df.where(value.isNotNull() & ~F.isnan(value))
+        .withColumn("_edges", edges)
         .groupBy(bin_no.alias("bin"))
         .agg(
             F.count("*").alias("customers"),

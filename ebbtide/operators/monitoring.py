@@ -41,10 +41,10 @@ def _binned(df: DataFrame, columns: Sequence[str], edges: Column, name: str) ->
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "feature", "value"
     )
-    own = F.element_at(edges, F.col("feature"))
+    long = long.withColumn("_edges", F.element_at(edges, F.col("feature")))
     value = F.col("value")
     bin_no = F.when(value.isNull() | F.isnan(value), -1).otherwise(
-        F.size(F.filter(own, lambda e: e < value))
+        F.size(F.filter("_edges", lambda e: e < value))
     )
     return (
         long.groupBy("feature", bin_no.alias("bin"))
