@@ -14,8 +14,15 @@ MORE_CUTOFFS = (
 )
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from the file once per session."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(key[1])
+    return _TABLES[key]
 
 
 def _day(c) -> F.Column:
@@ -56,21 +63,30 @@ def transactions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def stacked_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.stack_events(*transactions(spark, sf_dir).values())
+
+
 def distinct_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.dedupe_events(*transactions(spark, sf_dir).values())
 
 
+def _cohort_flags(cohort: Cohort) -> tuple[F.Column, F.Column]:
+    """Whether a customer ordered before the target month, and in the year from it."""
+    cutoff = F.lit(f"{cohort.target[:4]}-{cohort.target[4:]}-01").cast("date")
+    day = F.to_date("o_orderdate")
+    return F.max(day < cutoff), F.max((day >= cutoff) & (day < F.add_months(cutoff, 12)))
+
+
 def labels(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Customers with an order before the target month; churned without one in the following year."""
     orders = table(spark, sf_dir, "orders")
     out = {}
     for c in COHORTS:
-        cutoff = F.lit(f"{c.target[:4]}-{c.target[4:]}-01").cast("date")
-        day = F.to_date("o_orderdate")
-        later = (day >= cutoff) & (day < F.add_months(cutoff, 12))
+        before, after = _cohort_flags(c)
         out[c.name] = (
             orders.groupBy(customer_id("o_custkey"))
-            .agg(F.max(day < cutoff).alias("_before"), F.max(later).alias("_after"))
+            .agg(before.alias("_before"), after.alias("_after"))
             .where("_before")
             .select("msno", F.when(F.col("_after"), "0").otherwise("1").alias("is_churn"))
         )
@@ -78,7 +94,21 @@ def labels(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def cohort_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.cohort_labels(labels(spark, sf_dir), COHORTS)
+    """The stacked labels of both cohorts from a single pass over the orders."""
+    per_cohort = []
+    for c in COHORTS:
+        before, after = _cohort_flags(c)
+        per_cohort.append(
+            F.struct(
+                F.lit(c.name).alias("cohort"),
+                F.lit(c.target).alias("target_expiry_month"),
+                F.when(after, 0).otherwise(1).alias("is_churn"),
+                before.alias("_before"),
+            )
+        )
+    customers = table(spark, sf_dir, "orders").groupBy(customer_id("o_custkey"))
+    rows = customers.agg(F.array(*per_cohort).alias("_rows")).select("msno", F.inline("_rows"))
+    return rows.where("_before").drop("_before")
 
 
 def logs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -85,14 +85,15 @@ def tx_monthly(spark, d):
 
 
 def anchors(spark, d):
-    return rollup.cohort_anchors(A.cohort_labels(spark, d), A.distinct_transactions(spark, d))
+    return rollup.cohort_anchors(A.cohort_labels(spark, d), A.stacked_transactions(spark, d))
 
 
 def snapshot(spark, d):
+    """The anchors pick their customers from the roll-ups, so these are not restricted first."""
     return snap.build_snapshot(
         anchors(spark, d),
-        usage(spark, d),
-        tx_monthly(spark, d),
+        rollup.monthly_clean_usage(A.all_logs(spark, d)),
+        rollup.monthly_transactions(A.distinct_transactions(spark, d)),
         A.members(spark, d),
         before=max(c.target for c in A.COHORTS),
     )
@@ -214,7 +215,7 @@ def cohort_sizes(spark, d):
 
 @query
 def cohort_labels(spark, d):
-    return A.cohort_labels(spark, d)
+    return rollup.cohort_labels(A.labels(spark, d), A.COHORTS)
 
 
 @query
@@ -315,13 +316,12 @@ def snapshot_features(spark, d):
 @query
 def multi_cutoff_snapshot(spark, d):
     population = A.table(spark, d, "customer").select(A.customer_id("c_custkey"))
-    events = A.distinct_transactions(spark, d)
     out = snap.multi_cutoff_snapshot(
         population,
         A.MORE_CUTOFFS,
         rollup.monthly_clean_usage(A.all_logs(spark, d)),
-        events,
-        rollup.monthly_transactions(events),
+        A.stacked_transactions(spark, d),
+        rollup.monthly_transactions(A.distinct_transactions(spark, d)),
         A.members(spark, d),
     )
     return rounded(out.drop(LABEL), ROUNDED)
@@ -497,7 +497,7 @@ def exact_quantiles(spark, d):
 
 @query
 def median_impute(spark, d):
-    frame = _numeric_members(spark, d)
+    frame = durable(_numeric_members(spark, d))
     out = prepare.median_impute(frame, ["age", "tenure_months_at_cutoff", "weighted_avg_plan_days_last3"])
     return rounded(
         out.withColumns({c: F.col(c).cast("double") for c in ("age", "tenure_months_at_cutoff")}),

@@ -11,12 +11,18 @@ def parse_day(c: Column) -> Column:
     return F.try_to_date(F.trim(c), "yyyyMMdd")
 
 
-def period_of(day: Column, pattern: str = "yyyyMM") -> Column:
-    return F.date_format(day, pattern)
+def day_text(c: Column) -> Column:
+    """The trimmed text if it is a real day written as ``yyyyMMdd``, else NULL."""
+    return F.when(parse_day(c).isNotNull(), F.trim(c))
+
+
+def month_of(c: Column) -> Column:
+    """``yyyyMM`` of a ``yyyyMMdd`` text; NULL if it is not a real day."""
+    return F.substring(day_text(c), 1, 6)
 
 
 def month_start(month: Column) -> Column:
-    return F.try_to_date(F.concat(month, F.lit("01")), "yyyyMMdd")
+    return parse_day(F.concat(month, F.lit("01")))
 
 
 def shift_month(month: Column, by: int) -> Column:
@@ -35,8 +41,9 @@ def real(c: Column) -> Column:
 
 
 def whole(c: Column) -> Column:
-    """A number or numeric text rounded to int, NULL where that is impossible."""
-    return F.round(real(c)).try_cast("int")
+    """A number or numeric text rounded half away from zero to int, NULL where that is impossible."""
+    value = real(c)
+    return (value + F.signum(value) * 0.5).try_cast("int")
 
 
 def is_finite(c: Column) -> Column:

@@ -46,12 +46,17 @@ def tagged_union(sources: Mapping[str, DataFrame], columns: Sequence[str]) -> Da
 
 
 def date_range_by_source(sources: Mapping[str, DataFrame], columns: Sequence[str]) -> DataFrame:
-    """Rows and the range of each date column per source, over values of length eight."""
+    """Rows and the range of each date column per source, over values of length eight.
+
+    Every source is aggregated on its own without a grouping key, because minima
+    of text per key would make Spark sort all rows.
+    """
     aggregates = [F.count("*").alias("rows")]
     for c in columns:
         value = F.when(F.length(c) == 8, F.col(c))
         aggregates += [F.min(value).alias(f"min_{c}"), F.max(value).alias(f"max_{c}")]
-    return tagged_union(sources, columns).groupBy("source").agg(*aggregates)
+    parts = [df.agg(*aggregates).select(F.lit(name).alias("source"), "*") for name, df in sources.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def cohort_ids(labels: Mapping[str, DataFrame], id_col: str = ID) -> DataFrame:
@@ -78,7 +83,8 @@ def expiry_match(
     """How many customers of each cohort have an expiry in its target month, per source.
 
     Transactions are first reduced to one row per source, customer and expiry
-    month, so the join moves neither raw rows nor a customer with very many.
+    date in a target month, so the join moves neither raw rows nor a customer
+    with very many.
     """
     members = reduce(
         lambda a, b: a.unionByName(b),
@@ -93,17 +99,17 @@ def expiry_match(
         tagged_union(sources, [id_col, expiry_col])
         .withColumn("_month", F.substring(expiry_col, 1, 6))
         .where(F.col("_month").isin([c.target for c in cohorts]))
-        .groupBy("source", id_col, "_month")
-        .agg(F.count("*").alias("_rows"), F.min(expiry_col).alias("_lo"), F.max(expiry_col).alias("_hi"))
+        .groupBy("source", id_col, "_month", expiry_col)
+        .agg(F.count("*").alias("_rows"))
     )
     matched = (
         members.join(reduced, [id_col, "_month"])
         .groupBy("cohort", "source")
         .agg(
             F.sum("_rows").alias("_rows"),
-            F.count("*").alias("_matched"),
-            F.min("_lo").alias("min_expiry"),
-            F.max("_hi").alias("max_expiry"),
+            F.count_distinct(id_col).alias("_matched"),
+            F.min(expiry_col).alias("min_expiry"),
+            F.max(expiry_col).alias("max_expiry"),
         )
     )
     sizes = (

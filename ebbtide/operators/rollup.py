@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.functions.scalars import is_finite, parse_day, period_of, real, whole
+from ebbtide.functions.scalars import day_text, is_finite, month_of, real, whole
 from ebbtide.operators.profile import PERIOD_LENGTH
 from ebbtide.spec import (
     ID,
@@ -37,14 +37,19 @@ def cohort_labels(
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def stack_events(*tables: DataFrame, columns: Sequence[str] = TRANSACTION_COLUMNS) -> DataFrame:
+    """Tables stacked by column name; a column that a table lacks is NULL there."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    return stacked.select(*columns)
+
+
 def dedupe_events(*tables: DataFrame, columns: Sequence[str] = TRANSACTION_COLUMNS) -> DataFrame:
     """Stack by column name and remove exact duplicates of the raw text.
 
     The distinct runs on all columns, so a customer with very many rows is spread
     over tasks; only true copies meet, and those are merged before the shuffle.
     """
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
-    return stacked.select(*columns).distinct()
+    return stack_events(*tables, columns=columns).distinct()
 
 
 def restrict_to(df: DataFrame, ids: DataFrame, on: str = ID) -> DataFrame:
@@ -154,22 +159,22 @@ def monthly_clean_usage(
     cap: float = SECONDS_PER_DAY,
     grain: str = "month",
     bad_numbers: str = "null",
+    keep_raw: bool = False,
 ) -> DataFrame:
     """Usage with clean seconds in one scan and one shuffle.
 
     Equal to merging :func:`monthly_clean_seconds` into :func:`monthly_usage` of
-    the same logs.
+    the same logs. ``keep_raw`` keeps the raw seconds next to the clean ones.
     """
-    return (
-        _by_period(logs, id_col, date_col, grain)
-        .agg(*_usage_sums(counters, seconds, bad_numbers), *_clean_sums(seconds, cap))
-        .drop(seconds)
+    both = _by_period(logs, id_col, date_col, grain).agg(
+        *_usage_sums(counters, seconds, bad_numbers), *_clean_sums(seconds, cap)
     )
+    return both if keep_raw else both.drop(seconds)
 
 
 def monthly_transactions(tx: DataFrame, id_col: str = ID) -> DataFrame:
     """Transaction summary per customer and month; rows without a real date are dropped."""
-    dated = tx.withColumn("month", period_of(parse_day(F.col("transaction_date"))))
+    dated = tx.withColumn("month", month_of(F.col("transaction_date")))
     return (
         dated.where(F.col("month").isNotNull())
         .groupBy(id_col, "month")
@@ -189,15 +194,15 @@ def cohort_anchors(labels: DataFrame, tx: DataFrame, id_col: str = ID, label_col
     """Each label row with the latest expiry that falls in its target month, or NULL.
 
     Transactions shrink to the latest expiry per customer and month before the
-    join, which then matches at most one row per label.
+    join, which then matches at most one row per label; ``tx`` need not be free of
+    duplicates, which cannot change a maximum. The expiry is compared as a number: a maximum of text would make Spark sort every transaction.
     """
+    expiry = day_text(F.col("membership_expire_date"))
     latest = (
-        tx.withColumn(
-            "target_expiry_month", period_of(parse_day(F.col("membership_expire_date")))
-        )
+        tx.select(id_col, F.substring(expiry, 1, 6).alias("target_expiry_month"), expiry.cast("int").alias("_expiry"))
         .where(F.col("target_expiry_month").isNotNull())
         .groupBy(id_col, "target_expiry_month")
-        .agg(F.max("membership_expire_date").alias("anchor_expiry_date"))
+        .agg(F.lpad(F.max("_expiry").cast("string"), 8, "0").alias("anchor_expiry_date"))
     )
     keys = [id_col, "cohort", "target_expiry_month", label_col]
     return labels.select(*keys).distinct().join(
