@@ -17,8 +17,8 @@ def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
     Never fetches more than ``max_rows + 1`` rows. A local relation also pins the
     values, so later reads cannot see a different result.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return None
     return df.sparkSession.createDataFrame(rows, df.schema)
 

@@ -10,6 +10,7 @@ only one small row per partition (and group) is needed for that.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -122,30 +123,31 @@ def exact_quantiles(
         .agg(F.count("*").alias("n"))
     )
     totals = running_totals(counts, [F.col("value").asc()], ["n"], by=["column"])
-    places = F.array(
-        *[
-            F.struct(F.lit(float(p)).alias("p"), ((F.col("total_n") - 1).cast("double") * F.lit(float(p))).alias("h"))
-            for p in probabilities
-        ]
-    )
     first, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
 
+    def place(p: float) -> Column:
+        return (F.col("total_n") - 1).cast("double") * F.lit(float(p))
+
     def covers(at: Column) -> Column:
-        return (at >= first) & (at <= last)
+        return (F.floor(at) >= first) & (F.floor(at) <= last) | (F.ceil(at) >= first) & (F.ceil(at) <= last)
 
-    hits = totals.select(
+    # The plain filter keeps a few rows per column; only those are looked at per probability.
+    wanted = reduce(lambda a, b: a | b, [covers(place(p)) for p in probabilities])
+    hits = totals.where(wanted).select(
         "column",
         "value",
-        "n",
-        "cum_n",
+        first.alias("_first"),
+        last.alias("_last"),
         F.explode(
-            F.filter(places, lambda q: covers(F.floor(q["h"])) | covers(F.ceil(q["h"])))
+            F.array(*[F.struct(F.lit(float(p)).alias("p"), place(p).alias("h")) for p in probabilities])
         ).alias("q"),
     )
-    low = F.max(F.when(covers(F.floor("q.h")), F.col("value")))
-    high = F.max(F.when(covers(F.ceil("q.h")), F.col("value")))
+
+    def at(position: Column) -> Column:
+        return F.max(F.when((position >= F.col("_first")) & (position <= F.col("_last")), F.col("value")))
+
     return hits.groupBy("column", F.col("q.p").alias("probability"), F.col("q.h").alias("_h")).agg(
-        low.alias("_low"), high.alias("_high")
+        at(F.floor("q.h")).alias("_low"), at(F.ceil("q.h")).alias("_high")
     ).select(
         "column",
         "probability",

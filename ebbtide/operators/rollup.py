@@ -195,7 +195,8 @@ def cohort_anchors(labels: DataFrame, tx: DataFrame, id_col: str = ID, label_col
 
     Transactions shrink to the latest expiry per customer and month before the
     join, which then matches at most one row per label; ``tx`` need not be free of
-    duplicates, which cannot change a maximum. The expiry is compared as a number: a maximum of text would make Spark sort every transaction.
+    duplicates, which cannot change a maximum. The expiry is compared as a number:
+    a maximum of text would make Spark sort every transaction.
     """
     expiry = day_text(F.col("membership_expire_date"))
     latest = (

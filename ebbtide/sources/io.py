@@ -50,6 +50,13 @@ def write_table(
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
 ) -> None:
+    """Write Parquet, optionally in one folder per value of ``partition_by``.
+
+    Partitioned rows are gathered by value first, which keeps the number of files
+    low; the rebalance splits a value that holds a large part of the rows.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("compression", codec)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
