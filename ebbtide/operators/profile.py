@@ -191,16 +191,22 @@ def anomaly_examples(
 ) -> DataFrame:
     """The first ``n`` suspicious rows of each source by customer and date, numbered.
 
-    Spark cuts each task to ``n`` rows per source before the shuffle, because the
-    filter on ``row_number`` is pushed into the window's input.
+    No more than ``n`` rows of one customer can be among them, so each task first
+    keeps ``n`` rows per customer and, after the cohort test, ``n`` per source:
+    Spark applies both limits before it shuffles.
     """
+    order = [F.col(date_col).asc_nulls_first(), F.col(column).asc_nulls_first()]
+    per_customer = Window.partitionBy("source", id_col).orderBy(*order)
+    per_source = Window.partitionBy("source").orderBy(id_col, *order)
     bad = (
         tagged_union(sources, [id_col, date_col, column])
         .where(_suspicious(real(F.col(column)), low, high))
+        .withColumn("example", F.row_number().over(per_customer))
+        .where(F.col("example") <= n)
+        .drop("example")
         .join(ids.select(id_col).distinct(), id_col, "left_semi")
     )
-    first = Window.partitionBy("source").orderBy(id_col, date_col, F.col(column).asc_nulls_first())
-    return bad.withColumn("example", F.row_number().over(first)).where(F.col("example") <= n)
+    return bad.withColumn("example", F.row_number().over(per_source)).where(F.col("example") <= n)
 
 
 def unreadable_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -17,6 +17,7 @@ def local_session(cores: int | str = 8, app: str = "ebbtide", **conf: str) -> Sp
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
