@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.operators import checks, queue
 from ebbtide.operators.models import ChurnModel
+from ebbtide.session import durable
 from ebbtide.sources import io
 from ebbtide.spec import ID, QUEUE_SIGNALS
 
@@ -38,7 +39,8 @@ def score_batch(
     if cohort.lower() != "none":
         table = table.where(F.col("cohort") == cohort)
     batch = checks.enforce_contract(table)
-    scored = ChurnModel.load(spark, model_path).score(batch).select(ID, "risk_score")
+    # Range partitioning samples its input, which would run the model a second time.
+    scored = durable(ChurnModel.load(spark, model_path).score(batch).select(ID, "risk_score"))
     banded = queue.with_bands(queue.risk_rank(scored))
     run_time = datetime.now(timezone.utc).isoformat()
     io.write_table(
