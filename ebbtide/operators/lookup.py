@@ -33,7 +33,9 @@ def attach(
 
     A lookup within ``max_rows`` is broadcast. A larger one is joined by shuffle,
     with every lookup row repeated once per salt, so that a key carrying a large
-    part of ``df`` is spread over ``SALTS`` tasks.
+    part of ``df`` is spread over ``SALTS`` tasks. The salt depends on the row and
+    its input partition only: it is the same when a task runs again, and equal
+    rows from different partitions still part.
     """
     values = [c for c in lookup.columns if c not in on]
     renamed = lookup.select(*[F.col(k).alias(f"_k_{k}") for k in on], *values)
@@ -42,7 +44,9 @@ def attach(
     if small is not None:
         match = [df[k].eqNullSafe(small[f"_k_{k}"]) for k in on]
         return df.join(F.broadcast(small), match, "left").select(*df.columns, *values)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    hashable = [F.col(c) for c, kind in df.dtypes if "map<" not in kind]
+    mixed = F.xxhash64(*hashable, F.spark_partition_id())
+    salted = df.withColumn("_salt", F.pmod(mixed, F.lit(SALTS)).cast("int"))
     copies = renamed.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     match = [salted[k].eqNullSafe(copies[f"_k_{k}"]) for k in on]
     match.append(salted["_salt"] == copies["_copy"])
