@@ -10,6 +10,7 @@ import __spark_entry__ as registry
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES, ORACLE = registry.queries(), registry.oracle_sql()
+OWN_QUERIES, OWN_ORACLE = registry.QUERIES, registry.ORACLE
 WITHOUT_SQL = {
     "source_inventory", "file_manifest", "linear_scores", "boosted_scores", "permutation_importance", "score_batch",
 }
@@ -31,11 +32,11 @@ def ordered(rows):
 
 
 def test_registry_is_complete():
-    assert set(QUERIES) - set(ORACLE) == WITHOUT_SQL
+    assert set(OWN_QUERIES) - set(OWN_ORACLE) == WITHOUT_SQL
     assert set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(OWN_ORACLE))
 def test_query_matches_sql(spark, duck, name):
     cursor = duck.execute(ORACLE[name])
     types = {c[0]: TYPES[str(c[1])] for c in cursor.description}
