@@ -32,6 +32,8 @@ from ebbtide.llm.suffix_array import suffix_arrays
 FREQUENT = 150
 #: Bytes whose suffixes are sorted side by side.
 SORT_BYTES = 1_500_000
+#: Pieces are dealt by their gram into so many buckets at least; more for more text.
+LEAST_BUCKETS = 100
 NO_ID = -(2**63)
 
 PIECES = "bucket int, key long, check long, doc long, hash long, start int, strings int, text binary"
@@ -128,21 +130,32 @@ def _piece_sender(length: int, gram: int, buckets: int):
                 else:
                     first[text] = True
                     put(int(run.key[i].astype(np.int64)), 0, doc, at, strings, text)
-            many = np.flatnonzero(level > frequent)
-            if len(many):
-                times = run.strings[many]
-                at = np.repeat(run.start[many] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
-                doc = np.repeat(run.doc[many], times)
-                one = rolling.stretch_hash(run.running, at, at + length)
-                two = rolling.stretch_hash(run.running, at, at + length // 2) ^ rolling.mix(rolling.stretch_hash(run.running, at + length // 2, at + length))
-                for k, c, d, s in zip(one.astype(np.int64).tolist(), two.astype(np.int64).tolist(), doc.tolist(), (at - run.begins[doc]).tolist()):
-                    if (k, c) in first:
-                        put(None, None, ids[d], s, 1, None)
-                    else:
-                        first[k, c] = True
-                        put(k, c, ids[d], s, 1, None)
+            for i in np.flatnonzero(level > frequent):
+                start, strings = int(run.start[i]), int(run.strings[i])
+                text = run.data[start : start + strings + length - 1].tobytes()
+                doc, at = ids[run.doc[i]], start - int(run.begins[run.doc[i]])
+                if text in first:
+                    put(None, None, doc, at, strings, None)
+                    continue
+                first[text] = True
+                places = np.arange(start, start + strings)
+                one = rolling.stretch_hash(run.running, places, places + length).astype(np.int64).tolist()
+                half = rolling.mix(rolling.stretch_hash(run.running, places + length // 2, places + length))
+                two = (rolling.stretch_hash(run.running, places, places + length // 2) ^ half).astype(np.int64).tolist()
+                sent = 0  # strings in a row that this chunk has already sent
+                for j, string in enumerate(zip(one, two)):
+                    if string in first:
+                        sent += 1
+                        continue
+                    if sent:
+                        put(None, None, doc, at + j - sent, sent, None)
+                        sent = 0
+                    first[string] = True
+                    put(*string, doc, at + j, 1, None)
+                if sent:
+                    put(None, None, doc, at + strings - sent, sent, None)
         types = {"key": pa.int64(), "check": pa.int64(), "doc": pa.int64(), "hash": pa.int64(), "start": pa.int32(), "strings": pa.int32(), "text": pa.binary()}
-        spread = [k if k is not None else s for k, s in zip(columns["key"], columns["start"])]
+        spread = [k if k is not None else d ^ s for k, d, s in zip(columns["key"], columns["doc"], columns["start"])]
         bucket = (rolling.mix(np.array(spread, dtype=np.int64).astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)
         return pa.table({"bucket": pa.array(bucket, pa.int32()), **{c: pa.array(columns[c], t) for c, t in types.items()}})
 
@@ -298,7 +311,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, gram: int | None = None,
     known = levels.select("chunk", none("long").alias("doc"), none("long").alias("hash"), none("int").alias("start"), none("int").alias("strings"), "bucket", "counts").unionByName(
         copies.withColumn("bucket", none("int")).withColumn("counts", none("binary"))
     )
-    pieces = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(_piece_sender(length, gram, buckets), PIECES)
+    pieces = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(_piece_sender(length, gram, LEAST_BUCKETS + 4 * buckets), PIECES)
     repeats = pieces.groupBy("bucket").applyInArrow(_repeat_finder(length, chunks), "doc long, hash long, start int, strings int")
     spans = repeats.withColumn("chunk", F.pmod(F.xxhash64("doc"), F.lit(chunks)).cast("int")).unionByName(copies)
     return by_chunk.cogroup(spans.groupBy("chunk")).applyInArrow(_cutter(length, with_text), RESULT if with_text else SHORT_RESULT)
