@@ -4,8 +4,8 @@
 2. Shingles are ordered by corpus frequency, rarest first. Two sets with the wanted similarity share a
    shingle in their prefixes (the first n - ceil(t * n) + 1); shingles that occur once need not be
    looked up. A class whose prefix holds only such shingles has no partner and goes no further.
-3. Classes with identical prefix and size form a group. Groups that share a prefix shingle and
-   whose sizes are close enough are candidates; their members are expanded and verified.
+3. Classes with identical prefix and size form a group. Groups that share a prefix shingle are
+   candidates, unless their sizes, or the shingles that no other document has, rule the similarity out; their members are expanded and verified.
 
 Links matter only through the classes they connect, so the pairs are taken in two rounds. First every member is
 compared with the leader of its group, and the leaders with the leader that is most typical of each shingle: that
@@ -132,9 +132,19 @@ def _links(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return full.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
 
 
-def _close(n: str, m: str, percent: int) -> Column:
-    """Sizes that allow the similarity."""
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
+def _possible(a: str, b: str, percent: int) -> Column:
+    """Whether two rows of the lists of one shingle allow the similarity.
+
+    Columns (a + ..., b + ...): n, the size; rare, the number of shingles that no other document has; place, that of the
+    shingle among the others in corpus order; indexed, whether the prefix needed towards
+    sets that are no smaller holds it. At most least(place) shingles before this one are shared, and what follows it in the
+    shorter rest.
+    """
+    x = lambda side, c: F.col(side + c)
+    rest = [x(s, "n") - x(s, "rare") - x(s, "place") for s in (a, b)]
+    fits = (F.least(x(a, "place"), x(b, "place")) + F.least(*rest)) * (100 + percent) >= (x(a, "n") + x(b, "n")) * percent
+    smaller = F.struct(x(a, "n"), F.col(a)) <= F.struct(x(b, "n"), F.col(b))
+    return fits & F.when(smaller, x(a, "indexed")).otherwise(x(b, "indexed"))
 
 
 def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -160,29 +170,30 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col
         F.first("g2").alias("g2"), F.first("rare").alias("rare"), F.first("prefix").alias("prefix"), F.first("items").alias("items"),
     )
     classes = stored(classes.withColumn("class", F.xxhash64("f1", "f2")), "classes")
-    typical = F.struct("rare", "class")
+    typical = F.struct("rare", "class", "n")
     groups = classes.groupBy("g1", "g2", "n").agg(F.min(typical).alias("leader"))
     member = classes.select("class", "n", "rare", "g1", "g2").join(groups, ["g1", "g2", "n"]).select("class", F.col("leader.class").alias("leader"), "n", "rare")
     member = stored(member, "members")
-    leaders = classes.join(member.where("class = leader").select("class"), "class").select("class", "n", "rare", F.explode("prefix").alias("shingle"))
-    listed = stored(leaders, "lists")
+    leaders = classes.join(member.where("class = leader").select("class"), "class").select("class", "n", "rare", F.posexplode("prefix").alias("place", "shingle"))
+    short = F.col("n") - F.ceil(F.col("n") * 2 * percent / (100 + percent)) + 1
+    listed = stored(leaders.withColumn("indexed", F.col("rare") + F.col("place") < short), "lists")
     heads = listed.groupBy("shingle").agg(F.min(typical).alias("head"))
     first = member.select(F.col("class").alias("a"), F.col("leader").alias("b")).unionByName(
-        listed.join(heads, "shingle").select(F.col("class").alias("a"), F.col("head.class").alias("b"))
+        listed.join(heads, "shingle").where((F.least("n", "head.n") - F.col("rare")) * (100 + percent) >= (F.col("n") + F.col("head.n")) * percent)
+        .select(F.col("class").alias("a"), F.col("head.class").alias("b"))
     )
     links = stored(_links(first, classes, percent), "near")
     # candidates that the first round leaves apart
     label = stored(components(links), "labels")
     labelled = member.join(label.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     labelled = stored(labelled, "labelled")
-    lists = listed.select("shingle", F.col("class").alias("leader")).join(labelled.withColumnRenamed("n", "size").select("leader", "class", "size", "component"), "leader")
+    lists = listed.select("shingle", "place", "indexed", F.col("class").alias("leader")).join(labelled.select("leader", "class", "n", "rare", "component"), "leader")
     apart = lists.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("shingle")
     mixed = stored(lists.join(apart, "shingle"), "mixed")
     largest = mixed.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("shingle").agg(F.max(F.struct("c", "component")).alias("top"))
     outside = mixed.join(largest, "shingle").where(F.col("component") != F.col("top.component"))
-    left = outside.select("shingle", F.col("class").alias("a"), F.col("size").alias("an"), F.col("component").alias("ac"))
-    right = mixed.select("shingle", F.col("class").alias("b"), F.col("size").alias("bn"), F.col("component").alias("bc"))
-    second = left.join(right, "shingle").where((F.col("ac") != F.col("bc")) & _close("an", "bn", percent)).select("a", "b")
+    side = lambda df, x: df.select("shingle", F.col("class").alias(x), *(F.col(c).alias(x + c) for c in ("n", "rare", "place", "indexed", "component")))
+    second = side(outside, "a").join(side(mixed, "b"), "shingle").where((F.col("acomponent") != F.col("bcomponent")) & _possible("a", "b", percent)).select("a", "b")
     links = links.unionByName(_links(second, classes, percent))
     label = components(links).withColumnRenamed("node", "class")
     named = classes.select("class", "f1", "f2", "least").join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))

@@ -78,13 +78,21 @@ COUNTED = "chunk int, bucket int, counts binary"
 
 
 def pack(chunk: int, hashes: np.ndarray, counts: np.ndarray, buckets: int) -> pa.Table:
-    """Distinct rising hashes with counts (255: as many or more), cut by bucket (rising ranges)."""
-    cuts = np.searchsorted(hashes, bounds(buckets))
+    """Distinct rising hashes with counts (255: as many or more), cut by bucket (rising ranges).
+
+    Of a hash 32 bits within its bucket are sent. As buckets grow in number and not in size, one hash in some
+    thousands is taken for another at any scale, and is then counted too often, never too rarely.
+    """
+    edges = bounds(buckets)
+    cuts = np.searchsorted(hashes, edges)
+    cuts[-1] = len(hashes)
+    drop = np.uint64(max(0, (2**64 // buckets).bit_length() - 32))
     counts = np.minimum(counts, 255).astype(np.uint8)
     parts = [(b, slice(*cuts[b : b + 2])) for b in range(buckets) if cuts[b] < cuts[b + 1]]
     return pa.table({
         "chunk": pa.array([chunk] * len(parts), pa.int32()), "bucket": pa.array([b for b, _ in parts], pa.int32()),
-        "hashes": pa.array([hashes[s].tobytes() for _, s in parts], pa.binary()), "counts": pa.array([counts[s].tobytes() for _, s in parts], pa.binary()),
+        "hashes": pa.array([((hashes[s] - edges[b]) >> drop).astype(np.uint32).tobytes() for b, s in parts], pa.binary()),
+        "counts": pa.array([counts[s].tobytes() for _, s in parts], pa.binary()),
     })
 
 
@@ -98,7 +106,7 @@ def level(counts: np.ndarray) -> np.ndarray:
 
 
 def _count(table: pa.Table) -> pa.Table:
-    hashes = [np.frombuffer(b, dtype=np.uint64) for b in table["hashes"].to_pylist()]
+    hashes = [np.frombuffer(b, dtype=np.uint32) for b in table["hashes"].to_pylist()]
     counts = np.frombuffer(b"".join(table["counts"].to_pylist()), dtype=np.uint8)
     _, place = np.unique(np.concatenate(hashes), return_inverse=True)
     found = level(np.bincount(place, counts).astype(np.int64))[place]
