@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import pieces_for
+from ebbtide.llm.common import pieces_for, stored
 
 PACKED = "shard int, doc_id long, piece int, start long, length int, bin int, bin_capacity int, bin_used int, bin_start int"
 
@@ -94,6 +94,7 @@ def best_fit_pack(lengths: DataFrame, sizes: Sequence[int] = (512, 1024, 2048, 4
     sizes = tuple(sorted(int(s) for s in sizes))
     largest = sizes[-1]
     whole = lengths.select(F.col(id_col).cast("long").alias("doc_id"), F.col(length_col).cast("long").alias("n")).where("n > 0")
+    whole = stored(whole, "lengths")  # lengths may be dear to compute and are needed twice
     n_pieces = whole.agg(F.sum(F.ceil(F.col("n") / largest))).first()[0]
     shards = pieces_for(n_pieces, shard_rows)
     cut = whole.withColumn("piece", F.explode(F.sequence(F.lit(0), ((F.col("n") - 1) / largest).cast("int")))).select(
