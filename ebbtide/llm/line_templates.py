@@ -24,20 +24,22 @@ def _key(id_col: str, text_col: str) -> list[Column]:
     return [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64(F.col(text_col).cast("string")).alias("_th")]
 
 
-def _hash(*columns: Column, seed: int) -> Column:
+def _hash(*columns: Column | str, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *columns)
 
 
 def masked_lines(docs: DataFrame, depth: int, id_col: str, text_col: str) -> DataFrame:
     """Every line that isn't blank: row key, place, number of tokens, leaf, hashes of the masked line, tokens."""
     lines = docs.where(F.col(text_col).isNotNull()).select(*_key(id_col, text_col), F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("pos", "line"))
-    masked = F.regexp_replace(F.regexp_replace("line", f"^{BLANK}|{BLANK}$", ""), "[^ \\t\\r\\f\\x0B]*[0-9][^ \\t\\r\\f\\x0B]*", MASK)
+    trimmed = F.expr("btrim(line, ' \\t\\r\\f\\u000B')")
+    lines = lines.withColumn("line", trimmed)
+    fields = F.regexp_replace("line", "[^ \\t\\r\\f\\x0B]*[0-9][^ \\t\\r\\f\\x0B]*", MASK)
+    masked = F.when(F.col("line").rlike("[0-9]"), fields).otherwise(F.col("line"))
     tokens = lines.withColumn("masked", masked).where("masked <> ''").withColumn("tokens", F.split("masked", BLANK))
     path = F.slice("tokens", 1, depth)
-    whole = F.concat_ws(" ", "tokens")
     return tokens.select(
         "_id", "_th", "pos", F.size("tokens").alias("n"),
-        _hash(F.size("tokens"), path, seed=1).alias("leaf"), _hash(whole, seed=2).alias("l1"), _hash(whole, seed=3).alias("l2"), "tokens",
+        _hash(F.size("tokens"), path, seed=1).alias("leaf"), _hash("tokens", seed=2).alias("l1"), _hash("tokens", seed=3).alias("l2"), "tokens",
     )
 
 

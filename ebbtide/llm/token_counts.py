@@ -27,10 +27,10 @@ from ebbtide.llm.common import identified
 from ebbtide.llm.sp_model import BPE, CONTROL, NORMAL, SPACE, UNKNOWN, USER_DEFINED, read_model
 
 #: Characters that run together; a longer text is a run of its own.
-RUN_CHARS = 1_000_000
+RUN_CHARS = 500_000
 CHUNK = 48
 #: States a worker keeps; beyond that it compiles anew.
-MOST_STATES = 250_000
+MOST_STATES = 125_000
 
 _machines: dict[str, "Transducer"] = {}
 

@@ -164,12 +164,11 @@ def test_model_file_is_read_whole():
 
 
 def test_packing_by_hand():
-    bins, starts, sizes = pack_lengths([5, 3, 8, 2, 6], [4, 8], attention=0.0)
-    used = {}
-    for n, b, s in zip([5, 3, 8, 2, 6], bins, starts):
-        assert s == used.get(b, 0)
-        used[b] = s + n
-    assert sorted(used.values()) == [8, 8, 8] and sizes == [8, 8, 8]
+    lengths = [5, 3, 8, 2, 6]
+    bins, starts, sizes = pack_lengths(lengths, [4, 8], attention=0.0)
+    spans = sorted((b, s, s + n) for n, b, s in zip(lengths, bins, starts))
+    assert all(a[0] != b[0] or a[2] == b[1] for a, b in zip(spans, spans[1:]))  # no gap, no overlap
+    assert sorted(sum(n for n, b in zip(lengths, bins) if b == x) for x in set(bins)) == [8, 8, 8] and sizes == [8, 8, 8]
     assert pack_lengths([3], [4, 8])[2] == [4] and pack_lengths([], [4, 8]) == ([], [], [])
 
 
