@@ -4,7 +4,33 @@ from __future__ import annotations
 
 import re
 
-from ebbtide.spec import BATCH_ACTIONS, REVIEW_ACTIONS, SIGNALS
+# Fixed values, written out here so that a wrong one elsewhere shows.
+BATCH_TEXTS = (
+    "Review cancellation activity; contact to understand the issue and offer a relevant resolution.",
+    "Check expiry and renewal status; send a timely reminder. Troubleshoot payment only if an issue is confirmed.",
+    "Consider a product-adoption check-in; inactivity alone should not trigger an expensive intervention.",
+    "Personalized retention review; check recent account context.",
+)
+REVIEW_TEXTS = (
+    "Review cancellation activity; use customer-success outreach to understand the issue and offer a relevant resolution.",
+    "Check renewal timing and payment/auto-renew status; send a timely reminder and troubleshoot only if an issue is confirmed.",
+    "Offer a product-adoption check-in; do not use inactivity alone as the trigger.",
+    "Personalized retention check-in; review recent account context.",
+)
+BANDS = {
+    "auto_renew_band": ("Auto-renew transactions, last 3 months",
+        "CASE auto_renew_count_last3 WHEN 0 THEN '0' WHEN 1 THEN '1' ELSE '2+' END"),
+    "cancel_band": ("Cancellation transactions, last 3 months", "CASE cancel_count_last3 WHEN 0 THEN '0' ELSE '1+' END"),
+    "activity_band": ("Listening activity, last month",
+        "CASE log_rows_last_month WHEN 0 THEN 'No listening logs last month' ELSE 'Listening logs last month' END"),
+    "transaction_band": ("Transaction activity, last month",
+        "CASE transactions_last_month WHEN 0 THEN 'No transaction last month' ELSE 'Transaction last month' END"),
+    "payment_band": ("Payment recorded, last 3 months",
+        "CASE paid_amount_last3 WHEN 0 THEN 'No recorded payment last 3 months' ELSE 'Payment recorded last 3 months' END"),
+    "listening_band": ("Listening seconds, last 3 months",
+        "CASE listening_secs_last3 WHEN 0 THEN 'No listening seconds last 3 months' ELSE 'Listening seconds last 3 months' END"),
+}
+BAND_COLUMNS = ", ".join(f"{case} AS {name}" for name, (_, case) in BANDS.items())
 
 PLAN_DAYS = "30 * (1 + o_orderkey % 3)"
 
@@ -147,7 +173,7 @@ VIEWS: dict[str, str] = {
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "usage_raw": f"""
         SELECT msno, substr(date, 1, 6) AS month, {USAGE_COUNTERS},
-            ROUND(SUM(CASE WHEN NOT isnan(total_secs) THEN total_secs END), 2) AS total_secs, COUNT(*) AS log_rows
+            ROUND(COALESCE(SUM(CASE WHEN NOT isnan(total_secs) THEN total_secs END), 0), 2) AS total_secs, COUNT(*) AS log_rows
         FROM log_rows_all GROUP BY 1, 2""",
     "usage_raw_cohort": "SELECT * FROM usage_raw WHERE msno IN (SELECT msno FROM id_rows)",
     "usage_clean_all": f"""
@@ -217,6 +243,23 @@ VIEWS: dict[str, str] = {
         FROM tied""",
 }
 
+VIEWS["isotonic_full"] = """
+        WITH pts AS (SELECT risk_score AS x, AVG(is_churn) AS y, COUNT(*) AS w FROM planted WHERE cohort = 'early' GROUP BY 1),
+        acc AS (SELECT x, row_number() OVER o AS i, SUM(w) OVER o AS cw, SUM(w * y) OVER o AS cy FROM pts
+            WINDOW o AS (ORDER BY x ROWS UNBOUNDED PRECEDING)),
+        spans AS (SELECT a.i AS a, b.i AS b,
+                (b.cy - COALESCE(p.cy, 0)) / (b.cw - COALESCE(p.cw, 0)) AS mean
+            FROM acc a JOIN acc b ON b.i >= a.i LEFT JOIN acc p ON p.i = a.i - 1),
+        low AS (SELECT a, b, MIN(mean) OVER (PARTITION BY a ORDER BY b DESC ROWS UNBOUNDED PRECEDING) AS m FROM spans),
+        fit AS (SELECT acc.x, MAX(low.m) AS v FROM low JOIN acc ON acc.i = low.b GROUP BY acc.x),
+        near AS (SELECT s.msno, s.risk_score AS x, (SELECT MAX(x) FROM fit WHERE x <= s.risk_score) AS x0,
+                (SELECT MIN(x) FROM fit WHERE x >= s.risk_score) AS x1 FROM late_planted s)
+        SELECT n.msno, GREATEST(LEAST(
+            CASE WHEN n.x0 IS NULL THEN g.v WHEN n.x1 IS NULL OR n.x0 = n.x1 THEN f.v
+                 ELSE f.v + (g.v - f.v) * (n.x - n.x0) / (n.x1 - n.x0) END,
+            CAST(0.999999 AS DOUBLE)), CAST(0.000001 AS DOUBLE)) AS calibrated_score
+        FROM near n LEFT JOIN fit f ON f.x = n.x0 LEFT JOIN fit g ON g.x = n.x1"""
+VIEWS["isotonic"] = "SELECT msno, ROUND(calibrated_score, 6) AS calibrated_score FROM isotonic_full"
 SNAPSHOT_COLUMNS = "* EXCLUDE (target_expiry_month, anchor_expiry_date)"
 VIEWS["late_snap"] = "SELECT * FROM snap WHERE cohort = 'late'"
 
@@ -308,9 +351,10 @@ def _brier(score: str) -> str:
 
 
 def _action(texts) -> str:
-    return f"""CASE WHEN cancel_count_last3 > 0 THEN '{texts.cancellation}'
-        WHEN auto_renew_count_last3 = 0 OR transactions_last_month = 0 OR paid_amount_last3 = 0 THEN '{texts.renewal}'
-        WHEN listening_secs_last3 = 0 THEN '{texts.adoption}' ELSE '{texts.personal}' END"""
+    cancellation, renewal, adoption, personal = texts
+    return f"""CASE WHEN cancel_count_last3 > 0 THEN '{cancellation}'
+        WHEN auto_renew_count_last3 = 0 OR transactions_last_month = 0 OR paid_amount_last3 = 0 THEN '{renewal}'
+        WHEN listening_secs_last3 = 0 THEN '{adoption}' ELSE '{personal}' END"""
 
 
 def _queue(condition: str, texts) -> str:
@@ -321,11 +365,6 @@ def _queue(condition: str, texts) -> str:
         FROM late_bands b JOIN late_snap s USING (msno) WHERE {condition}"""
 
 
-def _band(s) -> str:
-    whens = " ".join(f"WHEN {s.column} = {value} THEN '{label}'" for value, label in s.labels)
-    return f"CASE {whens} ELSE '{s.rest}' END AS {s.band_column}"
-
-
 def _sampled(source: str, wanted: str) -> str:
     """Rows in md5 order within their class, with the class quota by largest remainder."""
     return f"""
@@ -381,8 +420,8 @@ BODIES: dict[str, str] = {
         for t, n in zip(TABLES, COLUMN_COUNTS)
     ),
     "date_coverage": """
-        SELECT COUNT(*) AS rows, MIN(transaction_date) AS min_date, MAX(transaction_date) AS max_date FROM tx_v1""",
-    "rows_by_month": "SELECT substr(transaction_date, 1, 6) AS period, COUNT(*) AS rows FROM tx_v1 GROUP BY 1",
+        SELECT COUNT(*) AS rows, MIN(transaction_date) AS min_date, MAX(transaction_date) AS max_date FROM tx_sources""",
+    "rows_by_month": "SELECT substr(transaction_date, 1, 6) AS period, COUNT(*) AS rows FROM tx_sources GROUP BY 1",
     "events_rows_by_day": "SELECT strftime(ts, '%Y%m%d') AS period, COUNT(*) AS rows FROM events GROUP BY 1",
     "date_range_by_source": """
         SELECT source, COUNT(*) AS rows, MIN(transaction_date) AS min_transaction_date,
@@ -407,12 +446,13 @@ BODIES: dict[str, str] = {
             COUNT(*) FILTER (WHERE kept AND NOT {FINITE}) AS non_finite
         FROM (SELECT *, msno IN (SELECT msno FROM id_rows) AS kept FROM log_rows_all) GROUP BY source""",
     "anomaly_examples": f"""
-        SELECT source, msno, date, CAST(rn AS INTEGER) AS example FROM (
+        SELECT source, msno, date, CAST(rn AS INTEGER) AS example, CASE WHEN isnan(total_secs) THEN 'nan'
+            WHEN isinf(total_secs) THEN 'inf' ELSE CAST(CAST(ROUND(total_secs, 2) AS DECIMAL(18,2)) AS VARCHAR) END AS total_secs FROM (
             SELECT *, row_number() OVER (PARTITION BY source ORDER BY msno, date, total_secs NULLS FIRST) AS rn
             FROM log_rows_all WHERE (NOT {FINITE} OR total_secs < 0 OR total_secs > 86400)
                 AND msno IN (SELECT msno FROM id_rows)) WHERE rn <= 20""",
     "unreadable_values": " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", COUNT(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS DOUBLE) IS NULL) AS unreadable FROM tx_v1"
+        f"SELECT '{c}' AS \"column\", COUNT(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS DOUBLE) IS NULL) AS unreadable FROM tx_sources"
         for c in ("payment_plan_days", "payment_method_id", "is_cancel")
     ),
     "cohort_ids": "SELECT msno FROM id_rows",
@@ -421,7 +461,7 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT 'late', COUNT(*), COUNT(DISTINCT msno) FROM lbl_late""",
     "cohort_labels": "SELECT * FROM cohort_rows",
     "dedupe_transactions": "SELECT * FROM tx",
-    "restrict_to_cohort": "SELECT * FROM tx WHERE msno IN (SELECT msno FROM lbl_early)",
+    "restrict_to_cohort": "SELECT * FROM tx WHERE msno IN (SELECT msno FROM id_rows)",
     "monthly_usage": "SELECT * FROM usage_raw",
     "monthly_clean_seconds": f"""
         SELECT msno, substr(date, 1, 6) AS month, {CLEAN_SUMS} FROM log_rows_all GROUP BY 1, 2""",
@@ -508,16 +548,17 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT 'duplicate ids', CAST(COUNT(*) AS VARCHAR) FROM (
             SELECT msno FROM planted GROUP BY msno HAVING COUNT(*) > 1) HAVING COUNT(*) > 0
         UNION ALL SELECT 'no rows', '0' FROM planted HAVING COUNT(*) = 0""",
-    "signal_bands": f"SELECT msno, cohort, {', '.join(_band(s) for s in SIGNALS)} FROM snap",
-    "signal_rates": f"WITH banded AS (SELECT cohort, is_churn, {', '.join(_band(s) for s in SIGNALS)} FROM snap) "
+    "signal_bands": f"SELECT msno, cohort, {BAND_COLUMNS} FROM snap",
+    "signal_rates": f"WITH banded AS (SELECT cohort, is_churn, {BAND_COLUMNS} FROM snap) "
     + " UNION ALL ".join(
-        f"SELECT cohort, '{s.signal}' AS signal, {s.band_column} AS band, COUNT(*) AS customers, "
-        f"CAST(SUM(is_churn) AS BIGINT) AS churners, ROUND(AVG(is_churn), 6) AS churn_rate FROM banded GROUP BY cohort, {s.band_column}"
-        for s in SIGNALS
+        f"SELECT cohort, '{signal}' AS signal, {name} AS band, COUNT(*) AS customers, "
+        f"CAST(SUM(is_churn) AS BIGINT) AS churners, ROUND(AVG(is_churn), 6) AS churn_rate FROM banded GROUP BY cohort, {name}"
+        for name, (signal, _) in BANDS.items()
     ),
     "prepare_numeric": f"""
         SELECT msno, date, {F32.format("num_25")} AS num_25, {F32.format("num_100")} AS num_100,
-            ROUND(CASE WHEN {FINITE} THEN {F32.format("total_secs")} END, 1) AS total_secs FROM log_rows_all""",
+            ROUND(CASE WHEN {FINITE} THEN {F32.format("total_secs")} END, 1) AS total_secs,
+            CASE WHEN num_25 >= 3 THEN CAST(num_25 - 3 AS DOUBLE) END AS tenure_months_at_cutoff FROM log_rows_all""",
     "prepare_categories": """
         SELECT msno, COALESCE(CAST(city AS VARCHAR), 'Unknown') AS city, COALESCE(NULLIF(gender, ''), 'Unknown') AS gender,
             COALESCE(NULLIF(registered_via, ''), 'Unknown') AS registered_via FROM member_rows""",
@@ -557,22 +598,7 @@ BODIES: dict[str, str] = {
     "group_rare_levels": """
         SELECT s_suppkey, CASE WHEN COUNT(*) OVER (PARTITION BY s_nationkey) < 4 THEN 'infrequent'
             ELSE CAST(s_nationkey AS VARCHAR) END AS s_nationkey FROM supplier""",
-    "isotonic_scores": """
-        WITH pts AS (SELECT risk_score AS x, AVG(is_churn) AS y, COUNT(*) AS w FROM planted WHERE cohort = 'early' GROUP BY 1),
-        acc AS (SELECT x, row_number() OVER o AS i, SUM(w) OVER o AS cw, SUM(w * y) OVER o AS cy FROM pts
-            WINDOW o AS (ORDER BY x ROWS UNBOUNDED PRECEDING)),
-        spans AS (SELECT a.i AS a, b.i AS b,
-                (b.cy - COALESCE(p.cy, 0)) / (b.cw - COALESCE(p.cw, 0)) AS mean
-            FROM acc a JOIN acc b ON b.i >= a.i LEFT JOIN acc p ON p.i = a.i - 1),
-        low AS (SELECT a, b, MIN(mean) OVER (PARTITION BY a ORDER BY b DESC ROWS UNBOUNDED PRECEDING) AS m FROM spans),
-        fit AS (SELECT acc.x, MAX(low.m) AS v FROM low JOIN acc ON acc.i = low.b GROUP BY acc.x),
-        near AS (SELECT s.msno, s.risk_score AS x, (SELECT MAX(x) FROM fit WHERE x <= s.risk_score) AS x0,
-                (SELECT MIN(x) FROM fit WHERE x >= s.risk_score) AS x1 FROM late_planted s)
-        SELECT n.msno, ROUND(GREATEST(LEAST(
-            CASE WHEN n.x0 IS NULL THEN g.v WHEN n.x1 IS NULL OR n.x0 = n.x1 THEN f.v
-                 ELSE f.v + (g.v - f.v) * (n.x - n.x0) / (n.x1 - n.x0) END,
-            CAST(0.999999 AS DOUBLE)), CAST(0.000001 AS DOUBLE)), 6) AS calibrated_score
-        FROM near n LEFT JOIN fit f ON f.x = n.x0 LEFT JOIN fit g ON g.x = n.x1""",
+    "isotonic_scores": "SELECT * FROM isotonic",
     "average_precision": f"SELECT cohort, {AP} FROM curve GROUP BY cohort",
     "roc_auc": f"SELECT cohort, {AUC} FROM curve GROUP BY cohort",
     "ranking_quality_tied": f"SELECT cohort, {AP}, {AUC} FROM curve_tied GROUP BY cohort",
@@ -602,7 +628,22 @@ BODIES: dict[str, str] = {
     "calibration_bins_tied": _bins("(SELECT * FROM tied WHERE cohort = 'late')"),
     "calibration_comparison": f"""
         SELECT 'Raw model score' AS score_type, {_brier('risk_score')}, {_loss('risk_score')} FROM late_planted
-        UNION ALL SELECT 'Isotonic calibrated', {_brier('(risk_score / 2)')}, {_loss('(risk_score / 2)')} FROM late_planted""",
+        UNION ALL SELECT 'Isotonic calibrated', {_brier('calibrated_score')}, {_loss('calibrated_score')}
+        FROM late_planted JOIN isotonic_full USING (msno)""",
+    "linear_scores": "SELECT msno, TRUE AS in_range, TRUE AS separates FROM late_snap",
+    "boosted_scores": "SELECT msno, TRUE AS in_range, TRUE AS separates FROM late_snap",
+    "permutation_importance": "SELECT feature, feature = 'transactions_history' AS most_important FROM (SELECT unnest(["
+    + ", ".join(f"'{c}'" for c in (*USAGE_NAMES, *TX_NAMES, "weighted_avg_plan_days_last3", "age", "tenure_months_at_cutoff", "city", "gender", "registered_via"))
+    + "]) AS feature)",
+    "score_batch": f"""
+        SELECT risk_band, COUNT(*) AS customers, MIN(risk_rank) AS first_rank, MAX(risk_rank) AS last_rank,
+            COUNT(*) FILTER (WHERE risk_rank <= (SELECT {K10} FROM late_planted)) AS queued, TRUE AS ordered
+        FROM late_bands GROUP BY risk_band""",
+    "source_inventory": " UNION ALL ".join(
+        f"SELECT '{t}' AS source, (SELECT string_agg(column_name, ',' ORDER BY column_index) FROM duckdb_columns() "
+        f"WHERE table_name = '{t}') AS columns, COUNT(*) AS rows, CAST(LEAST(COUNT(*), 3) AS INTEGER) AS shown FROM {t}"
+        for t in TABLES
+    ),
     "model_metrics": f"""
         WITH c AS (SELECT m.model, m.period, COUNT(*) AS n, SUM(is_churn) AS pos, MAX(threshold) AS threshold,
                 COUNT(*) FILTER (WHERE risk_score >= threshold) AS called,
@@ -637,9 +678,9 @@ BODIES: dict[str, str] = {
             ROUND(AVG(is_churn) / (SELECT AVG(is_churn) FROM late_planted), 6) AS lift_vs_overall
         FROM late_bands GROUP BY risk_decile, risk_band""",
     "band_counts": "SELECT risk_band, COUNT(*) AS customers FROM late_bands GROUP BY risk_band",
-    "outreach_queue": _queue(f"b.risk_rank <= (SELECT {K10} FROM late_planted)", BATCH_ACTIONS),
-    "top_decile_queue": _queue("b.risk_decile = 1", REVIEW_ACTIONS),
-    "suggested_action": f"SELECT msno, cohort, {_action(BATCH_ACTIONS)} AS suggested_action FROM snap",
+    "outreach_queue": _queue(f"b.risk_rank <= (SELECT {K10} FROM late_planted)", BATCH_TEXTS),
+    "top_decile_queue": _queue("b.risk_decile = 1", REVIEW_TEXTS),
+    "suggested_action": f"SELECT msno, cohort, {_action(BATCH_TEXTS)} AS suggested_action FROM snap",
     "scored_for_evaluation": """
         SELECT msno, is_churn, ROUND(risk_score, 6) AS risk_score, risk_decile, risk_band FROM late_bands""",
     "verify_manifest": """

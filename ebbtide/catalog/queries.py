@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ebbtide.catalog import adapters as A
@@ -42,7 +43,6 @@ TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
-NUMERIC = list(NUMERIC_FEATURES)
 CATEGORIES = list(CATEGORICAL_FEATURES)
 ROUNDED = {
     "listening_secs_last3": 2,
@@ -139,9 +139,8 @@ def sink_queue_without_label(spark, d):
 
 @query
 def source_inventory(spark, d):
-    return io.source_inventory(
-        spark, {t: f"{d}/{t}.parquet" for t in TABLES}, fmt="parquet"
-    )
+    found = io.source_inventory(spark, {t: f"{d}/{t}.parquet" for t in TABLES}, fmt="parquet")
+    return found.select("source", "columns", "rows", F.size("first_rows").alias("shown"))
 
 
 @query
@@ -154,12 +153,12 @@ def source_rows(spark, d):
 
 @query
 def date_coverage(spark, d):
-    return profile.date_coverage(A.transactions(spark, d)["v1"], "transaction_date")
+    return profile.date_coverage(rollup.stack_events(*A.transactions(spark, d).values()), "transaction_date")
 
 
 @query
 def rows_by_month(spark, d):
-    return profile.rows_by_period(A.transactions(spark, d)["v1"], "transaction_date")
+    return profile.rows_by_period(rollup.stack_events(*A.transactions(spark, d).values()), "transaction_date")
 
 
 @query
@@ -188,15 +187,15 @@ def value_anomalies(spark, d):
 @query
 def anomaly_examples(spark, d):
     found = profile.anomaly_examples(A.logs(spark, d), "total_secs", ids(spark, d))
-    return found.withColumn("total_secs", F.col("total_secs").cast("float").cast("string")).select(
-        "source", "msno", "date", "example"
-    )
+    value = F.col("total_secs").cast("double")
+    shown = F.when(F.isnan(value), "nan").when(value == float("inf"), "inf").otherwise(F.round(value, 2).cast("decimal(18,2)").cast("string"))
+    return found.select("source", "msno", "date", "example", shown.alias("total_secs"))
 
 
 @query
 def unreadable_values(spark, d):
     return profile.unreadable_values(
-        A.transactions(spark, d)["v1"], ["payment_plan_days", "payment_method_id", "is_cancel"]
+        rollup.stack_events(*A.transactions(spark, d).values()), ["payment_plan_days", "payment_method_id", "is_cancel"]
     )
 
 
@@ -225,7 +224,7 @@ def dedupe_transactions(spark, d):
 
 @query
 def restrict_to_cohort(spark, d):
-    return rollup.restrict_to(A.distinct_transactions(spark, d), A.labels(spark, d)["early"])
+    return rollup.restrict_to(A.distinct_transactions(spark, d), ids(spark, d))
 
 
 @query
@@ -437,8 +436,10 @@ def _numeric_members(spark, d):
 @query
 def prepare_numeric(spark, d):
     """Raw daily seconds as a feature: infinite, missing and negative values occur."""
-    raw = A.all_logs(spark, d).select("msno", "date", "num_25", "num_100", "total_secs")
-    out = prepare.prepare_numeric(raw, ["num_25", "num_100", "total_secs"])
+    raw = A.all_logs(spark, d).select(
+        "msno", "date", "num_25", "num_100", "total_secs", (F.col("num_25") - 3).alias("tenure_months_at_cutoff")
+    )
+    out = prepare.prepare_numeric(raw, ["num_25", "num_100", "total_secs", "tenure_months_at_cutoff"])
     return rounded(out, {"total_secs": 1})
 
 
@@ -522,17 +523,16 @@ def group_rare_levels(spark, d):
 # --- models ----------------------------------------------------------------
 
 
+SIGNAL = "transactions_history"
+#: Area under the curve that a model must reach; a tenth of the labels is turned around and the smallest cohort has a hundred rows.
+FLOOR = 0.65
+
+
 def _modelling_frame(spark, d):
-    """Snapshots with one feature that carries the planted signal."""
-    signal = A.planted_scores(spark, d).select(
-        "msno", "cohort", F.col("risk_score").alias("_signal")
-    )
-    return (
-        snapshot(spark, d)
-        .join(signal, ["msno", "cohort"])
-        .withColumn("paid_amount_last3", F.col("_signal") * 1000)
-        .drop("_signal")
-    )
+    """Snapshots whose label is made from one feature, with a tenth of the labels turned around."""
+    churned = F.col(SIGNAL) >= 8
+    turned = F.crc32(F.col("msno").cast("binary")) % 10 == 0
+    return snapshot(spark, d).withColumn(LABEL, (churned != turned).cast("int"))
 
 
 def _model_split(spark, d):
@@ -541,16 +541,23 @@ def _model_split(spark, d):
     return split.where(F.col("split") == "train"), cohort(frame, "late")
 
 
+def _judged(model, late):
+    """Who was scored, whether the score is a probability, and whether the model tells the classes apart."""
+    scored = durable(model.score(late).select("msno", LABEL, "risk_score"))
+    auc = metrics.roc_auc(scored).first()[0]
+    return scored.select("msno", F.col("risk_score").between(0, 1).alias("in_range"), F.lit(bool(auc >= FLOOR)).alias("separates"))
+
+
 @query
 def linear_scores(spark, d):
     train, late = _model_split(spark, d)
-    return models.fit_linear(train).score(late).select("msno", "risk_score")
+    return _judged(models.fit_linear(train), late)
 
 
 @query
 def boosted_scores(spark, d):
     train, late = _model_split(spark, d)
-    return models.fit_boosted(train, max_iter=20).score(late).select("msno", "risk_score")
+    return _judged(models.fit_boosted(train), late)
 
 
 @query
@@ -564,9 +571,9 @@ def isotonic_scores(spark, d):
 @query
 def permutation_importance(spark, d):
     train, late = _model_split(spark, d)
-    model = models.fit_linear(train)
-    sample = prepare.stratified_sample(late, 30_000)
-    return models.permutation_importance(model, sample, repeats=5)
+    found = durable(models.permutation_importance(models.fit_boosted(train), late, repeats=5))
+    top = found.agg(F.max("average_precision_drop_mean")).first()[0]
+    return found.select("feature", (F.col("average_precision_drop_mean") == top).alias("most_important"))
 
 
 # --- evaluation ------------------------------------------------------------
@@ -668,9 +675,10 @@ def calibration_bins_tied(spark, d):
 
 @query
 def calibration_comparison(spark, d):
-    scored = late_scores(spark, d).withColumn("_half", F.col("risk_score") / F.lit(2.0))
+    scored = A.planted_scores(spark, d)
+    calibrated = models.calibrate(models.fit_isotonic(cohort(scored, "early")), cohort(scored, "late"))
     out = metrics.calibration_comparison(
-        scored, {"Raw model score": "risk_score", "Isotonic calibrated": "_half"}
+        calibrated, {"Raw model score": "risk_score", "Isotonic calibrated": "calibrated_score"}
     )
     return rounded(out, {"brier_score": 6, "log_loss": 6})
 
@@ -777,12 +785,19 @@ def score_batch(spark, d):
     """Train on the early cohort, score the late one end to end, read the outputs back."""
     train, late = _model_split(spark, d)
     folder = scratch_path(spark, "score-batch")
-    models.fit_linear(train).save(f"{folder}/model")
+    models.fit_boosted(train).save(f"{folder}/model")
     io.write_table(late, f"{folder}/snapshot")
     scoring.score_batch(
         spark, f"{folder}/snapshot", f"{folder}/model", f"{folder}/out", cohort="late", share=0.10
     )
-    return io.read_table(spark, f"{folder}/out/customer_risk_scores").drop("run_time_utc")
+    scored = io.read_table(spark, f"{folder}/out/customer_risk_scores")
+    queued = io.read_raw(spark, f"{folder}/out/outreach_queue").select("msno", F.lit(1).alias("_queued"))
+    bands = scored.join(queued, "msno", "left").groupBy("risk_band").agg(
+        F.count("*").alias("customers"), F.min("risk_rank").alias("first_rank"), F.max("risk_rank").alias("last_rank"),
+        F.count("_queued").alias("queued"), F.min("risk_score").alias("_low"), F.max("risk_score").alias("_high"),
+    )
+    above = F.lag("_low").over(Window.orderBy("first_rank"))
+    return bands.select("risk_band", "customers", "first_rank", "last_rank", "queued", F.coalesce(above >= F.col("_high"), F.lit(True)).alias("ordered"))
 
 
 # --- integrity -------------------------------------------------------------

@@ -35,15 +35,24 @@ def months_crossed(start: Column, end: Column) -> Column:
     return (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start)
 
 
+#: Decimal text with an exponent, or a word for infinity or not-a-number; Spark's cast would also take "30D" and "0x1p3".
+NUMBER = "(?i)^\\s*[+-]?(\\d+\\.?\\d*(e[+-]?\\d+)?|\\.\\d+(e[+-]?\\d+)?|inf|infinity|nan)\\s*$"
+
+
 def real(c: Column) -> Column:
     """A number or numeric text as double, NULL where it is not a number."""
-    return c.try_cast("double")
+    return F.when(c.cast("string").rlike(NUMBER), c.try_cast("double"))
 
 
 def whole(c: Column) -> Column:
     """A number or numeric text rounded half away from zero to int, NULL where that is impossible."""
+    return rounded_to(c, "int")
+
+
+def rounded_to(c: Column, kind: str) -> Column:
+    """As :func:`whole`, in an integer type of choice."""
     value = real(c)
-    return (value + F.signum(value) * 0.5).try_cast("int")
+    return (value + F.signum(value) * 0.5).try_cast(kind)
 
 
 def is_finite(c: Column) -> Column:
@@ -55,6 +64,11 @@ def is_finite(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))
 
 
+def known(c: Column) -> Column:
+    """The number, NULL instead of NaN, which Spark would place above all numbers."""
+    return F.when(~F.isnan(c), c)
+
+
 def ratio(top: Column, bottom: Column) -> Column:
     """Double division; NULL when the divisor is zero."""
     return F.try_divide(top.cast("double"), bottom.cast("double"))

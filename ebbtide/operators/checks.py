@@ -191,10 +191,12 @@ def missing_columns(df: DataFrame, required: Sequence[str] = SCORING_COLUMNS) ->
 
 
 def batch_contract(
-    df: DataFrame, required: Sequence[str] = SCORING_COLUMNS, id_col: str = ID
+    df: DataFrame, required: Sequence[str] = SCORING_COLUMNS, id_col: str = ID, score: str = "risk_score"
 ) -> DataFrame:
     """Violations of the scoring contract as rows ``(violation, detail)``; none if the batch is fine.
 
+    A batch that has the score column already must have a number there in every row.
+
     The schema is compared first; data is read only if the id column exists.
     """
     spark = df.sparkSession
@@ -204,11 +206,13 @@ def batch_contract(
     )
     if id_col not in df.columns:
         return listed
-    per_id = df.groupBy(id_col).agg(F.count("*").alias("_n"))
+    unscored = F.count_if(F.col(score).isNull() | F.isnan(score)) if score in df.columns else F.lit(0).cast("bigint")
+    per_id = df.groupBy(id_col).agg(F.count("*").alias("_n"), unscored.alias("_u"))
     counted = per_id.agg(
         F.count("*").alias("_ids"),
         F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"),
         F.count_if(F.col("_n") > 1).alias("_repeated"),
+        F.coalesce(F.sum("_u"), F.lit(0)).alias("_unscored"),
     )
     findings = counted.select(
         F.inline(
@@ -222,6 +226,10 @@ def batch_contract(
                         F.when(F.col("_repeated") > 0, "duplicate ids").alias("violation"),
                         F.col("_repeated").cast("string").alias("detail"),
                     ),
+                    F.struct(
+                        F.when(F.col("_unscored") > 0, "missing scores").alias("violation"),
+                        F.col("_unscored").cast("string").alias("detail"),
+                    ),
                 ),
                 lambda v: v["violation"].isNotNull(),
             )

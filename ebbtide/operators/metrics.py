@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.functions.scalars import ratio, share_of
+from ebbtide.functions.scalars import known, ratio, share_of
 from ebbtide.operators.lookup import attach
 from ebbtide.operators.rank import exact_quantiles, group_number, ranked, running_totals
 from ebbtide.spec import ID, LABEL, SCORE_EPSILON
@@ -75,8 +75,8 @@ def topk_threshold(
     df: DataFrame, share: float = 0.10, score: str = "risk_score", by: Sequence[str] = ()
 ) -> DataFrame:
     """Score of the k-th highest row, with ``k = max(1, ceil(share * n))``."""
-    counts = df.groupBy(*by, F.col(score).alias("threshold")).agg(F.count("*").alias("n"))
-    totals = running_totals(counts, [F.col("threshold").desc()], ["n"], by)
+    counts = df.groupBy(*by, known(F.col(score)).alias("threshold")).agg(F.count("*").alias("n"))
+    totals = running_totals(counts, [F.col("threshold").desc_nulls_last()], ["n"], by)
     k = share_of(F.col("total_n"), share)
     return totals.where((F.col("cum_n") - F.col("n") < k) & (k <= F.col("cum_n"))).select(
         *by, F.col("total_n").alias("customers"), k.alias("k"), "threshold"
@@ -85,7 +85,7 @@ def topk_threshold(
 
 def threshold_metrics_of(label: Column, score: Column, threshold: Column) -> dict[str, Column]:
     """Aggregates describing the rows with a score at or above the threshold; 0 where undefined."""
-    flagged = score >= threshold
+    flagged = known(score) >= threshold
     n, positives = F.count("*"), F.count_if(label == 1)
     hit, called = F.count_if(flagged & (label == 1)), F.count_if(flagged)
     zero = F.lit(0.0)
@@ -119,7 +119,7 @@ def lift_table(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Churn, lift and cumulative recall per equal-size score group, best group first."""
-    order = [F.col(score).desc(), F.col(id_col).asc()]
+    order = [known(F.col(score)).desc_nulls_last(), F.col(id_col).asc()]
     placed = ranked(df.select(*by, id_col, score, label), order, by)
     per_group = placed.groupBy(
         *by, group_number(F.col("rank"), F.col("total"), groups).alias("group")

@@ -281,7 +281,8 @@ def permutation_importance(
 
     Every repeat pairs each row with a donor row through two seeded orders of the
     same ids. All feature and repeat combinations are scored as one table, so the
-    model runs once over ``rows * features * repeats`` rows; sample first.
+    model runs once over ``rows * features * repeats`` rows. A caller that wants less
+    passes a sample.
     """
     base = ranked(
         sample.select(id_col, label, *features).withColumn("_mix", shuffle_key(id_col, f"{seed}:base")),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.functions.scalars import ratio, share_of
+from ebbtide.functions.scalars import known, ratio, share_of
 from ebbtide.operators.rank import group_number, ranked
 from ebbtide.spec import (
     BAND_CUTS,
@@ -23,10 +23,12 @@ from ebbtide.spec import (
 def risk_rank(
     df: DataFrame, groups: int = 10, score: str = "risk_score", id_col: str = ID, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Rank by falling score, ties by id, and the equal-size group of that rank (1 is riskiest)."""
-    placed = ranked(
-        df, [F.col(score).desc(), F.col(id_col).asc()], by, rank="risk_rank", total="ranked_customers"
-    )
+    """Rank by falling score, ties by id, and the equal-size group of that rank (1 is riskiest).
+
+    Missing and not-a-number scores come last.
+    """
+    order = [known(F.col(score)).desc_nulls_last(), F.col(id_col).asc()]
+    placed = ranked(df, order, by, rank="risk_rank", total="ranked_customers")
     return placed.withColumn(
         "risk_decile", group_number(F.col("risk_rank"), F.col("ranked_customers"), groups)
     )

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.functions.scalars import day_text, is_finite, month_of, real, whole
+from ebbtide.functions.scalars import day_text, is_finite, month_of, real, rounded_to, whole
 from ebbtide.operators.profile import PERIOD_LENGTH
 from ebbtide.spec import (
     ID,
@@ -74,13 +74,13 @@ def _seconds(column: str) -> Column:
 def _counter(column: str, bad_numbers: str) -> Column:
     if bad_numbers == "error":
         return F.col(column).cast("bigint")
-    return whole(F.col(column)).cast("bigint")
+    return rounded_to(F.col(column), "bigint")
 
 
 def _usage_sums(counters: Sequence[str], seconds: str, bad_numbers: str) -> list[Column]:
     return [
         *[F.sum(_counter(c, bad_numbers)).alias(c) for c in counters],
-        F.sum(_seconds(seconds)).alias(seconds),
+        F.coalesce(F.sum(_seconds(seconds)), F.lit(0.0)).alias(seconds),
         F.count("*").alias("log_rows"),
     ]
 
@@ -118,8 +118,8 @@ def monthly_usage(
 ) -> DataFrame:
     """Counter and raw-seconds sums per customer and period.
 
-    Rows without a date are left out and missing seconds are ignored; infinite
-    seconds stay visible in the sum. ``bad_numbers="error"`` fails on counters
+    Rows without a date are left out and missing seconds are ignored, a period without
+    any has 0; infinite seconds stay visible in the sum. ``bad_numbers="error"`` fails on counters
     that are not integers instead of skipping them.
     """
     return _by_period(logs, id_col, date_col, grain).agg(

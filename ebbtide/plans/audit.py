@@ -16,7 +16,7 @@ from ebbtide.spec import DEFAULT_COHORTS, LOG_SECONDS
 
 
 def audit(spark: SparkSession, data_dir: str, output_dir: str) -> list[str]:
-    """Write one CSV report per check over the files that exist; return the missing file names."""
+    """Write one CSV report per check over the files that exist; return what is missing, files and date columns."""
     names = [*LABEL_FILES.values(), *LOG_FILES, *TRANSACTION_FILES, MEMBER_FILE]
     present, missing = io.available(spark, {n: f"{data_dir}/{n}" for n in names}, missing="skip")
 
@@ -28,12 +28,14 @@ def audit(spark: SparkSession, data_dir: str, output_dir: str) -> list[str]:
     report(inventory.withColumn("first_rows", inventory["first_rows"].cast("string")), "inventory")
     dated = {n: "date" for n in LOG_FILES} | {n: "transaction_date" for n in TRANSACTION_FILES}
     for n, column in dated.items():
-        if n in tables:
+        if n in tables and column not in tables[n].columns:
+            missing.append(f"{n}: {column}")
+        elif n in tables:
             report(profile.date_coverage(tables[n], column), f"coverage_{n}")
             report(profile.rows_by_period(tables[n], column), f"months_{n}")
     labels = {c: tables[f] for c, f in LABEL_FILES.items() if f in tables}
-    tx = {n: tables[n] for n in TRANSACTION_FILES if n in tables}
-    logs = {n: tables[n] for n in LOG_FILES if n in tables}
+    tx = {n: tables[n] for n in TRANSACTION_FILES if n in tables and f"{n}: transaction_date" not in missing}
+    logs = {n: tables[n] for n in LOG_FILES if n in tables and f"{n}: date" not in missing}
     cohorts = [c for c in DEFAULT_COHORTS if c.name in labels]
     if tx:
         report(

@@ -17,6 +17,7 @@ from ebbtide.session import durable
 from ebbtide.sources import io
 from ebbtide.spec import ID, QUEUE_SIGNALS
 
+# Fixed values of the public contract.
 SCORES = "customer_risk_scores"
 QUEUE = "outreach_queue"
 
@@ -41,6 +42,7 @@ def score_batch(
     batch = checks.enforce_contract(table)
     # Range partitioning samples its input, which would run the model a second time.
     scored = durable(ChurnModel.load(spark, model_path).score(batch).select(ID, "risk_score"))
+    scored = checks.enforce_contract(scored, required=(ID, "risk_score"))
     banded = queue.with_bands(queue.risk_rank(scored))
     run_time = datetime.now(timezone.utc).isoformat()
     io.write_table(

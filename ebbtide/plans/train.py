@@ -16,9 +16,9 @@ from ebbtide.session import durable
 from ebbtide.sources import io
 from ebbtide.spec import DEFAULT_COHORTS, ID, LABEL, REVIEW_ACTIONS
 
+# Fixed values of the reports.
 LINEAR, BOOSTED = "Logistic baseline", "Boosted trees"
 VALIDATION, LATER = "Internal validation", "Later cohort"
-IMPORTANCE_ROWS = 30_000
 
 
 def train_and_evaluate(
@@ -91,9 +91,8 @@ def train_and_evaluate(
     report(metrics.calibration_bins(calibrated), "raw_score_calibration_bins")
     report(metrics.calibration_bins(calibrated, score="calibrated_score"), "calibrated_score_bins")
 
-    sample = durable(prepare.stratified_sample(validation, IMPORTANCE_ROWS))
     report(
-        models.permutation_importance(fitted[BOOSTED], sample, repeats=repeats), "permutation_importance"
+        models.permutation_importance(fitted[BOOSTED], validation, repeats=repeats), "permutation_importance"
     )
     report(signals.signal_rates(snapshot), "signal_rates")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.spec import LABEL
@@ -85,6 +85,29 @@ def write_report(
     return out
 
 
+def files(spark: SparkSession, path: str) -> DataFrame:
+    """Path and bytes of every data file that a path or glob names, from the file system's listing."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, waiting = [], [s for s in fs.globStatus(at) or ()]
+    while waiting:
+        status = waiting.pop()
+        name = status.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        if status.isDirectory():
+            waiting.extend(fs.listStatus(status.getPath()))
+        else:
+            found.append((status.getPath().toUri().toString(), status.getLen()))
+    return spark.createDataFrame(found, "file string, bytes long").withColumn("file", _named(F.col("file")))
+
+
+def _named(path: Column) -> Column:
+    """A path with one slash after its scheme, however it was written."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+
 def _scan(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     return read_raw(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
 
@@ -97,25 +120,30 @@ def source_inventory(
 ) -> DataFrame:
     """One row per file: source, path, bytes, columns, row count and its first rows as JSON.
 
-    The counts scan no columns. Samples come from the first block of each file
-    only, cut to ``samples`` rows per task before anything is shuffled.
+    Files are listed from the file system, so that those without rows appear with 0. The counts
+    scan no columns. Of each block of a file the first ``samples`` rows are kept before anything
+    is shuffled, and of those the first in the file.
     """
     tables = []
     for name, path in sources.items():
         df = _scan(spark, path, fmt)
         columns = df.columns
         meta = F.col("_metadata")
-        counts = df.groupBy(
-            meta["file_path"].alias("file"), meta["file_size"].alias("bytes")
-        ).agg(F.count("*").alias("rows"))
+        rows = df.groupBy(_named(meta["file_path"]).alias("file")).agg(F.count("*").alias("rows"))
+        counts = files(spark, path).join(rows, "file", "left").select(
+            "file", "bytes", F.coalesce("rows", F.lit(0)).alias("rows")
+        )
+        block = Window.partitionBy("file", "_block").orderBy("_seq")
         head = (
-            df.where(meta["file_block_start"] == 0)
-            .select(
-                meta["file_path"].alias("file"),
+            df.select(
+                _named(meta["file_path"]).alias("file"),
+                meta["file_block_start"].alias("_block"),
                 F.monotonically_increasing_id().alias("_seq"),
                 F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("_row"),
             )
-            .withColumn("_n", F.row_number().over(Window.partitionBy("file").orderBy("_seq")))
+            .withColumn("_n", F.row_number().over(block))
+            .where(F.col("_n") <= samples)
+            .withColumn("_n", F.row_number().over(Window.partitionBy("file").orderBy("_block", "_seq")))
             .where(F.col("_n") <= samples)
             .groupBy("file")
             .agg(F.array_sort(F.collect_list(F.struct("_n", "_row"))).alias("_head"))

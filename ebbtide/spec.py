@@ -98,12 +98,6 @@ REVIEW_ACTIONS = ActionTexts(
     adoption="Offer a product-adoption check-in; do not use inactivity alone as the trigger.",
     personal="Personalized retention check-in; review recent account context.",
 )
-PROFILE_ACTIONS = ActionTexts(
-    cancellation="Review cancellation activity; understand the reason and offer a relevant resolution.",
-    renewal="Check expiry and renewal status; send a timely reminder. Troubleshoot payment only if an issue is confirmed.",
-    adoption="Consider a product-adoption check-in; inactivity alone should not trigger an expensive intervention.",
-    personal="Personalized retention review; check recent account context.",
-)
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.operators import metrics, queue
+from ebbtide.operators import checks, metrics, queue
 
 
 def frame(spark, labels, scores):
@@ -104,6 +104,16 @@ def test_single_class_has_no_ranking_metrics(spark):
     assert {r.lift for r in lift} == {None} and {r.cumulative_churn_recall for r in lift} == {None}
 
 
+def test_missing_scores_come_last(spark):
+    rows = [("a", 1, 0.9), ("b", 0, float("nan")), ("c", 1, None), ("d", 0, 0.1)]
+    df = spark.createDataFrame(rows, "msno string, is_churn int, risk_score double")
+    ranks = {r.msno: (r.risk_rank, r.risk_decile) for r in queue.risk_rank(df, groups=4).collect()}
+    assert ranks == {"a": (1, 1), "d": (2, 2), "b": (3, 3), "c": (4, 4)}
+    assert metrics.threshold_metrics(df, 0.5).first().customers_flagged == 1
+    assert metrics.topk_threshold(df, 0.25).first().threshold == 0.9
+    assert [tuple(r) for r in checks.batch_contract(df, ["msno"]).collect()] == [("missing scores", "2")]
+
+
 def test_nobody_flagged_is_zero(spark):
     m = metrics.threshold_metrics(frame(spark, [0, 1], [0.1, 0.2]), 0.9).first()
     assert (m.customers_flagged, m.flagged_share, m.precision, m.recall) == (0, 0.0, 0.0, 0.0)

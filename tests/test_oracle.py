@@ -11,9 +11,7 @@ import __spark_entry__ as registry
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES, ORACLE = registry.queries(), registry.oracle_sql()
 OWN_QUERIES, OWN_ORACLE = registry.QUERIES, registry.ORACLE
-WITHOUT_SQL = {
-    "source_inventory", "file_manifest", "linear_scores", "boosted_scores", "permutation_importance", "score_batch",
-}
+WITHOUT_SQL = {"file_manifest"}
 TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")

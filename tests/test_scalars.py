@@ -27,6 +27,15 @@ def test_text_to_whole_number(spark):
     assert results(df, S.whole(F.col("v"))) == [2, 100, None, None, 1, -2, 3, None, None, None]
 
 
+def test_only_decimal_text_is_a_number(spark):
+    df = one_column(spark, ["30D", "30f", "0x1p3", "1e3", "-.5", "7.", "Infinity", "-inf", "NaN", "1_000", "+4"])
+    found = results(df, S.real(F.col("v")))
+    assert found[:8] == [None, None, None, 1000.0, -0.5, 7.0, float("inf"), float("-inf")]
+    assert found[8] != found[8] and found[9:] == [None, 4.0]
+    df = one_column(spark, [1.5e300, float("inf"), -2e-7, None], "double")
+    assert results(df, S.real(F.col("v"))) == [1.5e300, float("inf"), -2e-7, None]
+
+
 def test_finite_comes_before_comparison(spark):
     inf, nan = float("inf"), float("nan")
     df = one_column(spark, [1.0, nan, inf, -inf, None], "double")
