@@ -16,6 +16,8 @@ from ebbtide.llm.common import stored
 
 BLANK = "[ \\t\\r\\f\\x0B]+"
 MASK = "<*>"
+#: A token with a digit; tried at the start of a token only, without going back.
+FIELD = "(?<![^ \\t\\r\\f\\x0B])[^ \\t\\r\\f\\x0B0-9]*+[0-9][^ \\t\\r\\f\\x0B]*+"
 NO_ID = -(2**63)
 
 
@@ -32,10 +34,10 @@ def masked_lines(docs: DataFrame, depth: int, id_col: str, text_col: str) -> Dat
     """Every line that isn't blank: row key, place, number of tokens, leaf, hashes of the masked line, tokens."""
     lines = docs.where(F.col(text_col).isNotNull()).select(*_key(id_col, text_col), F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("pos", "line"))
     trimmed = F.expr("btrim(line, ' \\t\\r\\f\\u000B')")
-    lines = lines.withColumn("line", trimmed)
-    fields = F.regexp_replace("line", "[^ \\t\\r\\f\\x0B]*[0-9][^ \\t\\r\\f\\x0B]*", MASK)
-    masked = F.when(F.col("line").rlike("[0-9]"), fields).otherwise(F.col("line"))
-    tokens = lines.withColumn("masked", masked).where("masked <> ''").withColumn("tokens", F.split("masked", BLANK))
+    # The filter comes before the masking, which Spark would otherwise run once for the filter and once for the rows.
+    lines = lines.withColumn("line", trimmed).where("line <> ''")
+    masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", FIELD, MASK)).otherwise(F.col("line"))
+    tokens = lines.withColumn("tokens", F.split(masked, BLANK))
     path = F.slice("tokens", 1, depth)
     return tokens.select(
         "_id", "_th", "pos", F.size("tokens").alias("n"),
@@ -59,10 +61,11 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 4, depth: int = 3, sim
     kinds = keyed.groupBy("leaf", "l1", "l2").agg(F.count(F.lit(1)).alias("c"))
     mixed = kinds.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), F.sum("c").alias("c")).where((F.col("kinds") > 1) & (F.col("c") >= min_docs)).select("leaf")
     mixed = stored(mixed, "leaves")
-    places = lines.join(mixed, "leaf").select("leaf", "n", F.posexplode("tokens").alias("place", "token"))
+    # The leading tokens are the same in a whole leaf, so only the places behind them are looked at.
+    places = lines.join(mixed, "leaf").select("leaf", "n", F.posexplode(F.slice("tokens", depth + 1, F.greatest(F.col("n") - depth, F.lit(0)))).alias("place", "token"))
     places = places.select("leaf", "n", "place", F.xxhash64("token").alias("h")).groupBy("leaf", "n", "place").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
     constant = places.groupBy("leaf", "n").agg(F.sum((F.col("lo") == F.col("hi")).cast("int")).alias("same"))
-    general = constant.where(F.col("same") >= F.col("n") * similarity).select("leaf", F.lit(True).alias("general"))
+    general = constant.where(F.col("same") + depth >= F.col("n") * similarity).select("leaf", F.lit(True).alias("general"))
     template = keyed.join(stored(general, "general"), "leaf", "left").select(
         "_id", "_th", "pos",
         F.when(F.col("general"), F.col("leaf")).otherwise(F.col("l1")).alias("t1"), F.when(F.col("general"), F.lit(0)).otherwise(F.col("l2")).alias("t2"),
