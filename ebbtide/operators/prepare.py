@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ebbtide.functions.scalars import is_finite, ratio, real
 from ebbtide.operators.lookup import attach
 from ebbtide.operators.rank import exact_quantiles, ranked
+from ebbtide.session import durable
 from ebbtide.spec import (
     CATEGORICAL_FEATURES,
     ID,
@@ -208,7 +209,8 @@ def group_rare_levels(
     fit_on: DataFrame | None = None,
 ) -> DataFrame:
     """Replace levels by their modelling level; a level never seen in fitting becomes NULL."""
-    levels = level_map(df if fit_on is None else fit_on, columns, min_rows)
+    # Stored, so that the source is scanned once and not once per column.
+    levels = durable(level_map(df if fit_on is None else fit_on, columns, min_rows))
     out = prepare_categories(df, columns)
     for c in columns:
         mapping = levels.where(F.col("feature") == c).select(F.col("level").alias(c), "model_level")

@@ -45,8 +45,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Materialise once on reliable storage, so every later read sees the same rows in the same partitions."""
+    """Materialise once on reliable storage, so every later read sees the same rows in the same partitions.
+
+    Spark deletes the files when no plan refers to them any more.
+    """
     ensure_checkpoint_dir(df.sparkSession)
+    # Read when a checkpoint is made, so it also holds in a session that was built elsewhere.
+    df.sparkSession.sparkContext._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     return df.checkpoint(eager=True)
 
 

@@ -1,11 +1,12 @@
 import hashlib
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from ebbtide.operators import experiment, integrity, metrics, models, monitoring, prepare
-from ebbtide.plans import audit, feature_build, score_batch, train
+from ebbtide.plans import audit, feature_build, score_batch, train, validate
 from ebbtide.sources import io
 from ebbtide.spec import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
@@ -138,6 +139,59 @@ def test_scoring_job(spark, built, trained, tmp_path):
         score_batch.score_batch(spark, f"{built}/snapshot_features", f"{out}/boosted_trees", target, share=0)
 
 
+def test_validation_job(spark, built, trained, tmp_path):
+    out, _ = trained
+    batch = str(tmp_path / "batch")
+    score_batch.score_batch(spark, f"{built}/snapshot_features", f"{out}/boosted_trees", batch)
+    assert validate.validate(spark, str(tmp_path / "good"), built, batch) == []
+    assert len(list((tmp_path / "good").iterdir())) == 13
+    bands = spark.read.option("header", True).csv(str(tmp_path / "good" / "churn_by_band")).collect()
+    assert sum(int(r.customers) for r in bands) == 240
+    bad = str(tmp_path / "bad")
+    scores = spark.read.parquet(f"{batch}/customer_risk_scores")
+    broken = scores.unionByName(scores.limit(1)).withColumn("risk_score", F.when(F.col("risk_rank") > 1, F.col("risk_score")))
+    io.write_table(broken, f"{bad}/customer_risk_scores")
+    spark.createDataFrame([("u1", 1)], "msno string, is_churn int").write.option("header", True).csv(f"{bad}/outreach_queue")
+    assert set(validate.validate(spark, str(tmp_path / "found"), batch=bad)) == {"scores: repeated", "scores: missing", "queue: label"}
+    with pytest.raises(SystemExit):
+        validate.main(["--batch", bad, "--output-dir", str(tmp_path / "again")])
+
+
+def test_validation_of_files(spark, tmp_path):
+    at = tmp_path / "files"
+    at.mkdir()
+    (at / "model.bin").write_bytes(b"one")
+    lines = [f'{{"path": "model.bin", "sha256": "{hashlib.sha256(b"one").hexdigest()}"}}']
+    (tmp_path / "list.json").write_text("\n".join(lines))
+    args = {"folder": str(at), "manifest": str(tmp_path / "list.json"), "required": ["model.bin"]}
+    assert validate.validate(spark, str(tmp_path / "a"), **args) == []
+    (at / "model.bin").write_bytes(b"two")
+    assert validate.validate(spark, str(tmp_path / "b"), **args) == ["files: failed"]
+
+
+def test_inventory_of_files_without_rows_and_of_late_blocks(spark, tmp_path):
+    write(tmp_path / "a.csv", "k,v", [f"a{i},{i}" for i in range(5)])
+    (tmp_path / "b.csv").write_text("k,v\n")
+    found = {r.file.rsplit("/", 1)[-1]: r for r in io.source_inventory(spark, {"s": str(tmp_path / "*.csv")}).collect()}
+    assert (found["a.csv"].rows, found["b.csv"].rows) == (5, 0)
+    one = str(tmp_path / "one.parquet")
+    spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("t")).coalesce(1).write.parquet(one)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        big = io.source_inventory(spark, {"s": one}, fmt="parquet").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(big) == 1 and big[0].rows == 20_000 and len(big[0].first_rows) == 3
+    assert '"id":0,' in big[0].first_rows[0]
+
+
+def test_audit_reports_a_missing_date_column(spark, raw, tmp_path):
+    at = tmp_path / "raw"
+    shutil.copytree(raw, at)
+    write(at / "user_logs_v2.csv", "msno,total_secs", ["u1,5"])
+    assert audit.audit(spark, str(at), str(tmp_path / "out")) == ["user_logs_v2.csv: date"]
+
+
 def test_unseen_levels_and_missing_numbers_are_scored(spark, built, trained):
     out, _ = trained
     late = spark.read.parquet(f"{built}/snapshot_features").where("cohort = 'train_v2'")

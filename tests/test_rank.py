@@ -1,4 +1,7 @@
+import gc
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -101,6 +104,33 @@ def test_lookup_beyond_the_broadcast_limit_gives_the_same_rows(spark, rows):
     assert salted.count() == 2000 and salted.where("n is null").count() == 1
 
 
+def test_files_of_a_rank_go_with_its_last_plan(spark):
+    def files():
+        at = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+        return {p for p in at.rglob("part-*")}
+
+    queue.risk_rank(scored(spark, [(0, 0.5)])).count()
+    before = files()
+    placed = queue.risk_rank(scored(spark, [(i, 0.5) for i in range(50)]))
+    made = files() - before
+    assert made and placed.count() == 50
+    derived = placed.where("risk_rank > 10")
+    del placed
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(1)
+    assert made <= files() and derived.count() == 40
+    del derived
+    for _ in range(20):
+        gc.collect()
+        spark.range(1).count()  # other plans take the place of the last one
+        spark.sparkContext._jvm.System.gc()
+        if not made & files():
+            break
+        time.sleep(0.5)
+    assert not made & files()
+
+
 def test_ranks_need_no_single_task_window(spark):
     """Only the few rows describing partitions go through an unpartitioned window."""
     out = queue.risk_rank(scored(spark, [(i, 0.5) for i in range(50)]))
