@@ -10,7 +10,8 @@
 Links matter only through the classes they connect, so the pairs are taken in two rounds. First every member is
 compared with the leader of its group, and the leaders with the leader that is most typical of each shingle: that
 needs as many pairs as rows, however large a family of near copies is, and mostly connects it. Then the
-candidates that are still in different components are compared, all of them.
+candidates that are still in different components are compared, all of them, each pair at the first shingle they
+share and only if the sketches of their prefixes allow the similarity.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ from ebbtide.llm.common import pieces_for, stored
 from ebbtide.llm.components import components
 
 NO_ID = -(2**63)
-SETS = "doc_id long, id long, n long, f1 long, f2 long, g1 long, g2 long, rare int, prefix array<long>, items binary"
+SETS = "doc_id long, id long, n long, f1 long, f2 long, g1 long, g2 long, rare int, prefix array<long>, sketch array<long>, items binary"
+#: Words of 64 bits in the sketch of a prefix, and shingles of a prefix that its later rows carry.
+SKETCH, HEAD = 4, 16
 
 _blank = np.zeros(256, dtype=bool)
 _blank[[32, *range(9, 14)]] = True
@@ -83,12 +86,19 @@ def _digest(items: np.ndarray, seed: int) -> int:
     return int(rolling.mix(np.array([total + np.uint64(len(items))]))[0].astype(np.int64))
 
 
+def _sketch(items: np.ndarray) -> list[int]:
+    """A bit per element, by its hash."""
+    bits = np.zeros(SKETCH, dtype=np.uint64)
+    np.bitwise_or.at(bits, (items >> np.uint64(6)) % np.uint64(SKETCH), np.uint64(1) << (items & np.uint64(63)))
+    return bits.astype(np.int64).tolist()
+
+
 def _prefixer(words: int, percent: int):
     def prefixes(key: tuple, docs: pa.Table, counted: pa.Table) -> pa.Table:
         sets = _sets(docs, words)
         hashes = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]))
         levels = rolling.unpack(counted)
-        rows = {c: [] for c in ("n", "f1", "f2", "g1", "g2", "rare", "prefix", "items")}
+        rows = {c: [] for c in ("n", "f1", "f2", "g1", "g2", "rare", "prefix", "sketch", "items")}
         for items in sets:
             n = len(items)
             level = levels[np.searchsorted(hashes, items)]
@@ -98,10 +108,10 @@ def _prefixer(words: int, percent: int):
             rare = int((level == 1).sum())
             live = len(shared) > 0
             values = (n, _digest(items, 1), _digest(items, 2), _digest(items[first], 3), _digest(items[first], 4), rare,
-                      shared.astype(np.int64) if live else None, items.tobytes() if live else None)
+                      shared.astype(np.int64) if live else None, _sketch(shared) if live else None, items.tobytes() if live else None)
             for c, v in zip(rows, values):
                 rows[c].append(v)
-        kinds = {"rare": pa.int32(), "prefix": pa.list_(pa.int64()), "items": pa.binary()}
+        kinds = {"rare": pa.int32(), "prefix": pa.list_(pa.int64()), "sketch": pa.list_(pa.int64()), "items": pa.binary()}
         return pa.table({"doc_id": docs["doc_id"], "id": docs["id"], **{c: pa.array(v, kinds.get(c, pa.int64())) for c, v in rows.items()}})
 
     return prefixes
@@ -147,6 +157,20 @@ def _possible(a: str, b: str, percent: int) -> Column:
     return fits & F.when(smaller, x(a, "indexed")).otherwise(x(b, "indexed"))
 
 
+def _alike(a: str, b: str, percent: int) -> Column:
+    """Whether the whole prefixes of two rows allow the similarity; never false for a similar pair.
+
+    Columns (a + ..., b + ...): n; shared, the number of prefix shingles that other documents have; sketch, a bit for each of
+    them. A bit that only one side has is a prefix shingle the other lacks. What is shared lies in both prefixes, or
+    behind the prefix that ends first.
+    """
+    x = lambda side, c: F.col(side + c)
+    alone = lambda s, t: sum(F.bit_count(x(s, "sketch")[i].bitwiseAND(F.bitwise_not(x(t, "sketch")[i]))) for i in range(SKETCH))
+    common = F.least(x(a, "shared") - alone(a, b), x(b, "shared") - alone(b, a))
+    behind = F.greatest(*(F.ceil(x(s, "n") * percent / 100) - 1 for s in (a, b)))
+    return (common + behind) * (100 + percent) >= (x(a, "n") + x(b, "n")) * percent
+
+
 def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links, its own included).
 
@@ -167,7 +191,8 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col
     # equal sets are one class, named by its smallest id; a class without ids by a hash below all ids that are in use
     classes = live.groupBy("f1", "f2").agg(
         F.min(F.when(F.col("doc_id").isNotNull(), F.col("id"))).alias("least"), F.first("n").alias("n"), F.first("g1").alias("g1"),
-        F.first("g2").alias("g2"), F.first("rare").alias("rare"), F.first("prefix").alias("prefix"), F.first("items").alias("items"),
+        F.first("g2").alias("g2"), F.first("rare").alias("rare"), F.first("prefix").alias("prefix"),
+        F.first("sketch").alias("sketch"), F.first("items").alias("items"),
     )
     classes = stored(classes.withColumn("class", F.xxhash64("f1", "f2")), "classes")
     typical = F.struct("rare", "class", "n")
@@ -189,11 +214,20 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col
     labelled = stored(labelled, "labelled")
     lists = listed.select("shingle", "place", "indexed", F.col("class").alias("leader")).join(labelled.select("leader", "class", "n", "rare", "component"), "leader")
     apart = lists.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("shingle")
-    mixed = stored(lists.join(apart, "shingle"), "mixed")
+    # a row carries the first shingles before its own: a pair that shares one of them is met there
+    prefixes = classes.select(F.col("class").alias("leader"), "prefix", "sketch")
+    mixed = lists.join(apart, "shingle").join(prefixes, "leader").select(
+        "shingle", "place", "indexed", "class", "n", "rare", "component", "sketch", F.size("prefix").alias("shared"),
+        F.slice("prefix", F.lit(1), F.least("place", F.lit(HEAD))).alias("head"),
+    )
+    mixed = stored(mixed, "mixed")
     largest = mixed.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("shingle").agg(F.max(F.struct("c", "component")).alias("top"))
-    outside = mixed.join(largest, "shingle").where(F.col("component") != F.col("top.component"))
-    side = lambda df, x: df.select("shingle", F.col("class").alias(x), *(F.col(c).alias(x + c) for c in ("n", "rare", "place", "indexed", "component")))
-    second = side(outside, "a").join(side(mixed, "b"), "shingle").where((F.col("acomponent") != F.col("bcomponent")) & _possible("a", "b", percent)).select("a", "b")
+    tagged = mixed.join(largest, "shingle").withColumn("outside", F.col("component") != F.col("top.component"))
+    carried = ("n", "rare", "place", "indexed", "component", "sketch", "shared", "head", "outside")
+    side = lambda df, x: df.select("shingle", F.col("class").alias(x), *(F.col(c).alias(x + c) for c in carried))
+    once = (~F.col("boutside") | (F.col("a") < F.col("b"))) & ~F.arrays_overlap("ahead", "bhead")
+    met = (F.col("acomponent") != F.col("bcomponent")) & _possible("a", "b", percent) & _alike("a", "b", percent) & once
+    second = side(tagged.where("outside"), "a").join(side(tagged, "b"), "shingle").where(met).select("a", "b")
     links = links.unionByName(_links(second, classes, percent))
     label = components(links).withColumnRenamed("node", "class")
     named = classes.select("class", "f1", "f2", "least").join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))

@@ -149,7 +149,7 @@ def brute_components(rows, words, percent):
     return {d: (len(s), find(d)) for d, s in sets.items()}
 
 
-@pytest.mark.parametrize(("words", "percent", "chunk"), [(3, 90, 4_000_000), (5, 80, 2000)])
+@pytest.mark.parametrize(("words", "percent", "chunk"), [(3, 90, 4_000_000), (5, 80, 2000), (2, 70, 3000)])
 def test_similar_documents_against_brute_force(spark, monkeypatch, words, percent, chunk):
     monkeypatch.setattr(rolling, "CHUNK_BYTES", chunk)
     rng = random.Random(words)
