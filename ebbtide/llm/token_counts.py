@@ -29,7 +29,7 @@ from ebbtide.llm.sp_model import BPE, CONTROL, NORMAL, SPACE, UNKNOWN, USER_DEFI
 #: Characters that run together; a longer text is a run of its own.
 RUN_CHARS = 500_000
 CHUNK = 48
-#: States a worker keeps; beyond that it compiles anew.
+#: States a worker keeps; beyond that it forgets the younger half, which is the rarer one.
 MOST_STATES = 125_000
 
 _machines: dict[str, "Transducer"] = {}
@@ -62,6 +62,15 @@ class Transducer:
         self.gain = np.zeros((1024, 64), dtype=np.int8)
         self.state(("", (None,), (0,)))
 
+    def trim(self) -> None:
+        """Forget all but the states met first, and the transitions to them."""
+        keep = max(1, MOST_STATES // 2)
+        for key in self.keys[keep:]:
+            del self.states[key]
+        del self.keys[keep:]
+        self.next[keep:] = -1
+        self.next[self.next >= keep] = -1
+
     def merged(self, text: str) -> list[str]:
         """The encoding by its definition: of all adjacent pairs that form a piece the best, then the leftmost, merges."""
         parts = list(text)
@@ -155,7 +164,7 @@ class Transducer:
     def count(self, texts: list[str]) -> np.ndarray:
         """Tokens of each text; an empty text has none."""
         if len(self.keys) > MOST_STATES:
-            self.reset()
+            self.trim()
         full = [(self.prefix + t.replace(" ", SPACE)) if t else "" for t in texts]
         codes = np.frombuffer("".join(full).encode("utf-32-le", "replace"), dtype="<u4")
         ends = np.cumsum([len(t) for t in full])

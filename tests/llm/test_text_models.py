@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.llm import topk_search
+from ebbtide.llm import token_counts, topk_search
 from ebbtide.llm.language import identify_languages, letter_vector, trigram_counts
 from ebbtide.llm.packing import best_fit_pack, pack_lengths
 from ebbtide.llm.piece_codec import build_tokenizer, encode_documents, merges_of
@@ -123,6 +123,15 @@ def test_transducer_counts_like_the_library():
     assert Transducer(model_bytes()).count([]).tolist() == []
 
 
+def test_counts_hold_when_states_are_forgotten(monkeypatch):
+    monkeypatch.setattr(token_counts, "MOST_STATES", 300)
+    texts, own, most = samples(300), Transducer(model_bytes()), 0
+    for i in range(0, 300, 10):
+        assert own.count(texts[i : i + 10]).tolist() == [len(x) for x in sentencepiece_model().encode(texts[i : i + 10])]
+        most = max(most, len(own.keys))
+    assert most > 300 and len(own.keys) < most
+
+
 @needs_data
 def test_token_counts_of_all_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
