@@ -30,7 +30,7 @@ from ebbtide.llm.sp_model import BPE, CONTROL, NORMAL, SPACE, UNKNOWN, USER_DEFI
 RUN_CHARS = 500_000
 CHUNK = 48
 #: States a worker keeps; beyond that it forgets the younger half, which is the rarer one.
-MOST_STATES = 125_000
+MOST_STATES = 200_000
 
 _machines: dict[str, "Transducer"] = {}
 
