@@ -41,7 +41,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by word 5-shingles with a similarity of 0.8 or more, the one with the smallest id stays."""
     ship_package(spark)
-    rest = similar_documents(docs, words=5, percent=80).where("doc_id = component_id").select("doc_id").distinct()
+    rest = similar_documents(docs, words=5, percent=80, count_links=False).where("doc_id = component_id").select("doc_id").distinct()
     return docs.join(rest, "doc_id").select(*COLUMNS).unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 

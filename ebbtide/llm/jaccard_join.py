@@ -12,6 +12,9 @@ compared with the leader of its group, and the leaders with the leader that is m
 needs as many pairs as rows, however large a family of near copies is, and mostly connects it. Then the
 candidates that are still in different components are compared, all of them, each pair at the first shingle they
 share and only if the sketches of their prefixes allow the similarity.
+
+4. Both ends of a link lie in one component, so links are counted by comparing all classes of a component with each other.
+Its classes are dealt into blocks, and each two blocks meet once; a cell of two blocks returns sums per class and no pairs.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ NO_ID = -(2**63)
 SETS = "doc_id long, id long, n long, f1 long, f2 long, g1 long, g2 long, rare int, prefix array<long>, sketch array<long>, items binary"
 #: Words of 64 bits in the sketch of a prefix, and shingles of a prefix that its later rows carry.
 SKETCH, HEAD = 4, 16
+#: Classes and shingles in a block of a component, about, and shingles compared at a time.
+BLOCK_CLASSES, BLOCK_ITEMS, COLUMNS = 256, 2_000_000, 4096
 
 _blank = np.zeros(256, dtype=bool)
 _blank[[32, *range(9, 14)]] = True
@@ -171,8 +176,56 @@ def _alike(a: str, b: str, percent: int) -> Column:
     return (common + behind) * (100 + percent) >= (x(a, "n") + x(b, "n")) * percent
 
 
-def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links, its own included).
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """For each two sets how many elements they share."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, place, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = held[place] > 1
+    owner, place = owner[several], (np.cumsum(held > 1) - 1)[place[several]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    total = np.zeros((len(sets), len(sets)), dtype=np.int64)
+    for begin in range(0, int(place[-1]) + 1 if len(place) else 0, COLUMNS):
+        own = slice(*np.searchsorted(place, [begin, begin + COLUMNS]))
+        has = np.zeros((len(sets), COLUMNS), dtype=np.float32)  # exact for whole numbers up to 2**24
+        has[owner[own], place[own] - begin] = 1
+        total += (has @ has.T).astype(np.int64)
+    return total
+
+
+def _cell_counter(percent: int):
+    def count(key: tuple, rows: pa.Table) -> pa.Table:
+        low, high = key[1].as_py(), key[2].as_py()
+        block, weight = rows["block"].to_numpy(), rows["weight"].to_numpy()
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in rows["items"].to_pylist()]
+        size = np.array([len(x) for x in sets])
+        same = _shared(sets)
+        linked = 100 * same >= percent * (size[:, None] + size[None, :] - same)
+        np.fill_diagonal(linked, False)
+        if low != high:
+            linked &= block[:, None] != block[None, :]
+        return pa.table({"class": rows["class"], "links": pa.array(linked @ weight, pa.int64())})
+
+    return count
+
+
+def _links_beyond(classes: DataFrame, weights: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """class, links: how many documents of other classes are similar, for every class that has links."""
+    found = classes.select(F.col("class").alias("node"), "f1", "f2", "n", "items").join(label, "node").join(weights, ["f1", "f2"])
+    found = stored(found.select(F.col("node").alias("class"), "component", "n", "weight", "items"), "linked")
+    blocks = found.groupBy("component").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_ITEMS)).cast("int").alias("blocks"))
+    dealt = found.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("class", F.lit(1)), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    parts = cells.select("component", "low", "high", "class", "block", "weight", "items").groupBy("component", "low", "high").applyInArrow(_cell_counter(percent), "class long, links long")
+    return stored(parts.groupBy("class").agg(F.sum("links").alias("links")), "counts")
+
+
+def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", count_links: bool = True) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links, its own included), n_links.
+
+    n_links is the number of other documents it links with; rows of one id and set are one document, each row without an id is
+    one of its own. Without `count_links` the column and the work for it are left out.
 
     Two documents link if 100 * shared shingles >= percent * all their shingles. Missing texts, empty ones and those
     without words have no shingles and link with nothing. Repeated rows (same id) are one node.
@@ -229,12 +282,16 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col
     met = (F.col("acomponent") != F.col("bcomponent")) & _possible("a", "b", percent) & _alike("a", "b", percent) & once
     second = side(tagged.where("outside"), "a").join(side(tagged, "b"), "shingle").where(met).select("a", "b")
     links = links.unionByName(_links(second, classes, percent))
-    label = components(links).withColumnRenamed("node", "class")
+    label = stored(components(links).withColumnRenamed("node", "class"), "labels")
     named = classes.select("class", "f1", "f2", "least").join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))
     named = stored(named, "named")
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    found = named.join(smallest, "component").select("f1", "f2", "component_id")
-    return (
-        sets.select("doc_id", "n", F.col("prefix").isNotNull().alias("live"), "f1", "f2").join(found, ["f1", "f2"], "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("live"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
-    )
+    found = named.join(smallest, "component").select("class", "f1", "f2", "component_id")
+    columns = ["doc_id", F.col("n").alias("n_shingles"), F.when(F.col("live"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")]
+    if count_links:
+        nodes = live.groupBy("f1", "f2", "doc_id").agg(F.count(F.lit(1)).alias("c"))
+        weights = stored(nodes.groupBy("f1", "f2").agg(F.sum(F.when(F.col("doc_id").isNull(), F.col("c")).otherwise(1)).alias("weight")), "weights")
+        beyond = _links_beyond(classes, weights, label.withColumnRenamed("class", "node"), percent)
+        found = found.join(weights, ["f1", "f2"]).join(beyond, "class", "left").withColumn("links", F.col("weight") - 1 + F.coalesce("links", F.lit(0)))
+        columns.append(F.when(F.col("live"), F.col("links")).otherwise(0).cast("long").alias("n_links"))
+    return sets.select("doc_id", "n", F.col("prefix").isNotNull().alias("live"), "f1", "f2").join(found, ["f1", "f2"], "left").select(*columns)
