@@ -2,7 +2,8 @@
 
 A line goes down a tree of fixed depth: first its number of tokens, then its leading tokens, fields with
 digits masked. In a leaf, the places where all lines agree are constant and the others are
-variable; if enough places are constant the whole leaf is one template, else every masked line is its own.
+variable; if enough places are constant, one of them behind the leading tokens, the whole leaf is one template, else every
+masked line is its own.
 What a leaf keeps per place is a minimum and a maximum, so leaves of any size are merged
 before they are shuffled. Templates found in several documents recur, and their lines are dropped.
 """
@@ -65,7 +66,8 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 4, depth: int = 3, sim
     places = lines.join(mixed, "leaf").select("leaf", "n", F.posexplode(F.slice("tokens", depth + 1, F.greatest(F.col("n") - depth, F.lit(0)))).alias("place", "token"))
     places = places.select("leaf", "n", "place", F.xxhash64("token").alias("h")).groupBy("leaf", "n", "place").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
     constant = places.groupBy("leaf", "n").agg(F.sum((F.col("lo") == F.col("hi")).cast("int")).alias("same"))
-    general = constant.where(F.col("same") + depth >= F.col("n") * similarity).select("leaf", F.lit(True).alias("general"))
+    # The leading tokens are the path, so they alone don't make lines alike.
+    general = constant.where((F.col("same") > 0) & (F.col("same") + depth >= F.col("n") * similarity)).select("leaf", F.lit(True).alias("general"))
     template = keyed.join(stored(general, "general"), "leaf", "left").select(
         "_id", "_th", "pos",
         F.when(F.col("general"), F.col("leaf")).otherwise(F.col("l1")).alias("t1"), F.when(F.col("general"), F.lit(0)).otherwise(F.col("l2")).alias("t2"),

@@ -5,6 +5,7 @@ import re
 
 from ebbtide.llm import jaccard_join
 from ebbtide.llm.jaccard_join import similar_documents
+from ebbtide.llm.line_templates import drop_recurring_lines
 from tests.llm.test_dedup import LOWER, frame
 
 # similarity join: the number of links
@@ -37,3 +38,13 @@ def test_links_of_repeated_rows_and_rows_without_id(spark):
     found = sorted(((r.doc_id or 0), r.n_links) for r in similar_documents(frame(spark, rows), 3, 90).collect())
     assert found == [(0, 1), (0, 1), (0, 2), (5, 2), (5, 2), (6, 2), (9, 0)]
     assert "n_links" not in similar_documents(frame(spark, rows), 3, 90, count_links=False).columns
+
+
+# line dedup
+
+
+def test_lines_that_share_only_their_leading_tokens_stay(spark):
+    rows = [(i, f"The capital is {x}") for i, x in enumerate(["Paris", "Rome", "Oslo", "Bern", "Riga"])]
+    rows += [(10 + i, f"It was page {i}") for i in range(5)]
+    found = {r.doc_id: r.n_dropped for r in drop_recurring_lines(frame(spark, rows)).collect()}
+    assert found == {i: 0 for i in range(5)} | {10: 0} | {10 + i: 1 for i in range(1, 5)}
