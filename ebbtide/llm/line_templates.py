@@ -2,15 +2,16 @@
 
 A line goes down a tree of fixed depth: first its number of tokens, then its leading tokens, fields with
 digits masked. In a leaf, the places where all lines agree are constant and the others are
-variable; if enough places are constant, one of them behind the leading tokens, the whole leaf is one template, else every
-masked line is its own.
+variable; if enough places are constant, one of them behind the leading tokens, the whole leaf is one template. Else the
+leaf is split: every masked line takes, of the patterns it has with one place hashed out and the one with as many of its rarest
+places hashed out as the similarity permits, that which most texts share; if too few do, the line is its own.
 What a leaf keeps per place is a minimum and a maximum, so leaves of any size are merged
 before they are shuffled. Templates found in several documents recur, and their lines are dropped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm.common import stored
@@ -46,6 +47,36 @@ def masked_lines(docs: DataFrame, depth: int, id_col: str, text_col: str) -> Dat
     )
 
 
+def _split(lines: DataFrame, min_docs: int, depth: int, similarity: float) -> DataFrame:
+    """leaf, l1, l2, p1, p2: the masked lines that have a pattern of `min_docs` texts, with their best pattern.
+
+    How common a token is at a place is the number of distinct masked lines of the leaf that have it there, so neither the
+    order of lines nor copies matter. A pattern is known by exclusive ors of the hashes of its places.
+    """
+    kind = ["leaf", "l1", "l2"]
+    # at least one place behind the leading tokens stays constant
+    room = F.least(F.col("n") - F.ceil(F.col("n") * similarity), F.col("n") - depth - 1).cast("int")
+    lines = stored(lines.withColumn("room", room).where("room > 0").select(*kind, "_th", "room", F.transform(F.slice("tokens", depth + 1, F.col("n") - depth), lambda t: F.xxhash64(t)).alias("hs")), "split")
+    texts = lines.select(*kind, "_th").distinct()
+    cells = lines.groupBy(*kind).agg(F.first("room").alias("room"), F.first("hs").alias("hs")).select(*kind, "room", F.posexplode("hs").alias("place", "h"))
+    cells = stored(cells, "cells")
+    common = cells.groupBy("leaf", "place", "h").agg(F.count(F.lit(1)).alias("common"))
+    own = Window.partitionBy(*kind)
+    cells = cells.join(common, ["leaf", "place", "h"]).withColumn("rarest", F.row_number().over(own.orderBy("common", "place")))
+    for i in ("1", "2"):
+        held, open_ = _hash("leaf", "place", "h", seed=int(i) + 3), _hash("leaf", "place", F.lit(MASK), seed=int(i) + 5)
+        cells = cells.withColumn("c" + i, held.bitwiseXOR(open_)).withColumn("all" + i, F.bit_xor(held).over(own))
+    cells = stored(cells, "places")
+    rarest = lambda i: F.first("all" + i).bitwiseXOR(F.bit_xor(F.when(F.col("rarest") <= F.col("room"), F.col("c" + i)).otherwise(0)))
+    found = cells.select(*kind, F.col("all1").bitwiseXOR(F.col("c1")).alias("p1"), F.col("all2").bitwiseXOR(F.col("c2")).alias("p2")).unionByName(
+        cells.groupBy(*kind).agg(rarest("1").alias("p1"), rarest("2").alias("p2"))
+    ).distinct()
+    found = stored(found, "patterns")
+    shared = found.join(texts, kind).select("p1", "p2", "_th").distinct().groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_docs)
+    best = found.join(shared, ["p1", "p2"]).groupBy(*kind).agg(F.max(F.struct("texts", "p1", "p2")).alias("best"))
+    return stored(best.select(*kind, "best.p1", "best.p2"), "best")
+
+
 def drop_recurring_lines(docs: DataFrame, min_docs: int = 4, depth: int = 3, similarity: float = 0.75, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """The documents without lines of recurring templates: all columns, the text changed, with n_lines and n_dropped.
@@ -68,13 +99,16 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 4, depth: int = 3, sim
     constant = places.groupBy("leaf", "n").agg(F.sum((F.col("lo") == F.col("hi")).cast("int")).alias("same"))
     # The leading tokens are the path, so they alone don't make lines alike.
     general = constant.where((F.col("same") > 0) & (F.col("same") + depth >= F.col("n") * similarity)).select("leaf", F.lit(True).alias("general"))
-    template = keyed.join(stored(general, "general"), "leaf", "left").select(
-        "_id", "_th", "pos",
-        F.when(F.col("general"), F.col("leaf")).otherwise(F.col("l1")).alias("t1"), F.when(F.col("general"), F.lit(0)).otherwise(F.col("l2")).alias("t2"),
+    general = stored(general, "general")
+    best = _split(lines.join(mixed.join(general, "leaf", "left_anti"), "leaf"), min_docs, depth, similarity)
+    template = keyed.join(general, "leaf", "left").join(best, ["leaf", "l1", "l2"], "left").select(
+        "_id", "_th", "pos", F.col("p1").isNotNull().alias("shared"),
+        F.when(F.col("general"), F.col("leaf")).otherwise(F.coalesce("p1", "l1")).alias("t1"), F.when(F.col("general"), F.lit(0)).otherwise(F.coalesce("p2", "l2")).alias("t2"),
     )
     template = stored(template, "templates")
-    per_text = template.groupBy("t1", "t2", "_th").agg(F.min(F.struct("_id", "pos")).alias("first"))
-    recurring = per_text.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("texts"), F.min("first").alias("first")).where(F.col("texts") >= min_docs)
+    per_text = template.groupBy("t1", "t2", "_th").agg(F.min(F.struct("_id", "pos")).alias("first"), F.max("shared").alias("shared"))
+    # a shared pattern has its texts, also if some of them take another pattern
+    recurring = per_text.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("texts"), F.min("first").alias("first"), F.max("shared").alias("shared")).where(F.col("shared") | (F.col("texts") >= min_docs))
     gone = template.join(recurring.select("t1", "t2", "first"), ["t1", "t2"]).where(F.struct("_id", "pos") != F.col("first"))
     gone = gone.groupBy("_id", "_th").agg(F.collect_set("pos").alias("_gone"))
     rows = docs.drop("n_lines", "n_dropped").select("*", *_key(id_col, text_col))

@@ -48,3 +48,11 @@ def test_lines_that_share_only_their_leading_tokens_stay(spark):
     rows += [(10 + i, f"It was page {i}") for i in range(5)]
     found = {r.doc_id: r.n_dropped for r in drop_recurring_lines(frame(spark, rows)).collect()}
     assert found == {i: 0 for i in range(5)} | {10: 0} | {10 + i: 1 for i in range(1, 5)}
+
+
+def test_other_lines_in_a_leaf_undo_no_template(spark):
+    rows = [(i, f"seen on monday at {x} again") for i, x in enumerate("home work sea play school".split())] + [(9, "seen on monday we all left")]
+    rows += [(20 + i, f"made by the {x} team of {x}ville in the far old {x}land") for i, x in enumerate("red blue green grey".split())]
+    rows += [(30, "made by the way we went on and on with no end"), (31, "made by the sea where all our boats lay dry last year")]
+    found = {r.doc_id: r.n_dropped for r in drop_recurring_lines(frame(spark, rows)).collect()}
+    assert found == {0: 0, 1: 1, 2: 1, 3: 1, 4: 1, 9: 0, 20: 0, 21: 1, 22: 1, 23: 1, 30: 0, 31: 0}
