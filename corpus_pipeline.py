@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.llm.common import ship_package, stored, table
-from ebbtide.llm.jaccard_join import similar_documents
+from ebbtide.llm.jaccard_join import NO_ID, similar_documents
 from ebbtide.llm.line_templates import drop_recurring_lines
 from ebbtide.llm.packing import best_fit_pack
 from ebbtide.llm.quality import keep_good
@@ -38,11 +38,25 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _documents(left.where((F.col("n_dropped") == 0) | F.col("text").rlike("\\S") | F.col("text").isNull()))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """A row is known by its id and a hash of its text: ids may be missing or stand for several texts."""
+    return docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_th": F.xxhash64(F.coalesce("text", F.lit("")))})
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by word 5-shingles with a similarity of 0.8 or more, the one with the smallest id stays."""
+    """Of documents linked by word 5-shingles with a similarity of 0.8 or more, the one with the smallest id stays.
+
+    Any id comes before none, and of several texts under the smallest id that with the smallest hash stays. Repeated rows
+    (same id and text) are one document, of which one row stays.
+    """
     ship_package(spark)
-    rest = similar_documents(docs, words=5, percent=80, count_links=False).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(rest, "doc_id").select(*COLUMNS).unionByName(docs.where("doc_id is null").select(*COLUMNS))
+    found = similar_documents(docs, words=5, percent=80, count_links=False)
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("text_hash").alias("_th"))
+    found = stored(found.select("component", key.alias("key")), "found")
+    linked = found.where("component is not null").groupBy("component").agg(F.min("key").alias("key"))
+    rest = linked.select("key").unionByName(found.where("component is null").select("key")).select("key._id", "key._th").distinct()
+    rows = _keyed(docs).groupBy("_id", "_th").agg(F.min(F.struct("lang", "source", "n_chars")).alias("other"), F.first("doc_id").alias("doc_id"), F.max("text").alias("text"))
+    return rows.join(rest, ["_id", "_th"]).select("doc_id", "text", "other.*").select(*COLUMNS)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +65,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A cut may fall within a character; the bytes of such a character go as well.
     """
     ship_package(spark)
-    found = remove_repeats(docs).where("n_removed > 0").select("doc_id", "kept")
-    left = docs.join(found.dropDuplicates(["doc_id"]).withColumn("cut", F.lit(True)), "doc_id", "left")
+    found = remove_repeats(docs).where("n_removed > 0").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("text_hash").alias("_th"), "kept")
+    left = _keyed(docs).join(found.dropDuplicates(["_id", "_th"]).withColumn("cut", F.lit(True)), ["_id", "_th"], "left")
     text = F.when(F.col("cut"), F.col("kept")).otherwise(F.col("text"))
     return _documents(left.withColumn("text", text).where("cut is null or text rlike '\\\\S'"))
 

@@ -29,7 +29,7 @@ from ebbtide.llm.common import pieces_for, stored
 from ebbtide.llm.components import components
 
 NO_ID = -(2**63)
-SETS = "doc_id long, id long, n long, f1 long, f2 long, g1 long, g2 long, rare int, prefix array<long>, sketch array<long>, items binary"
+SETS = "doc_id long, id long, hash long, n long, f1 long, f2 long, g1 long, g2 long, rare int, prefix array<long>, sketch array<long>, items binary"
 #: Words of 64 bits in the sketch of a prefix, and shingles of a prefix that its later rows carry.
 SKETCH, HEAD = 4, 16
 #: Classes and shingles in a block of a component, about, and shingles compared at a time.
@@ -117,7 +117,7 @@ def _prefixer(words: int, percent: int):
             for c, v in zip(rows, values):
                 rows[c].append(v)
         kinds = {"rare": pa.int32(), "prefix": pa.list_(pa.int64()), "sketch": pa.list_(pa.int64()), "items": pa.binary()}
-        return pa.table({"doc_id": docs["doc_id"], "id": docs["id"], **{c: pa.array(v, kinds.get(c, pa.int64())) for c, v in rows.items()}})
+        return pa.table({"doc_id": docs["doc_id"], "id": docs["id"], "hash": docs["hash"], **{c: pa.array(v, kinds.get(c, pa.int64())) for c, v in rows.items()}})
 
     return prefixes
 
@@ -224,6 +224,8 @@ def _links_beyond(classes: DataFrame, weights: DataFrame, label: DataFrame, perc
 def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", count_links: bool = True) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links, its own included), n_links.
 
+    text_hash, xxhash64 of the text (a missing one as empty), tells apart texts under one id, and component names the component
+    also if it has no id; it is missing for documents that share no shingle.
     n_links is the number of other documents it links with; rows of one id and set are one document, each row without an id is
     one of its own. Without `count_links` the column and the work for it are left out.
 
@@ -233,7 +235,7 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col
     empty result. Extra columns are ignored. Equality of shingles and sets is decided by 64 and 128 bits of hash.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), text.alias("text"))
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
     chunked, _, total = rolling.chunked(source, "id", "text")
     by_chunk = chunked.groupBy("chunk")
     buckets = pieces_for(total / 6, rolling.BUCKET_HASHES)
@@ -286,12 +288,13 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col
     named = classes.select("class", "f1", "f2", "least").join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))
     named = stored(named, "named")
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    found = named.join(smallest, "component").select("class", "f1", "f2", "component_id")
+    found = named.join(smallest, "component").select("class", "f1", "f2", "component", "component_id")
     columns = ["doc_id", F.col("n").alias("n_shingles"), F.when(F.col("live"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")]
+    columns += [F.col("hash").alias("text_hash"), F.when(F.col("live"), F.col("component")).alias("component")]
     if count_links:
         nodes = live.groupBy("f1", "f2", "doc_id").agg(F.count(F.lit(1)).alias("c"))
         weights = stored(nodes.groupBy("f1", "f2").agg(F.sum(F.when(F.col("doc_id").isNull(), F.col("c")).otherwise(1)).alias("weight")), "weights")
         beyond = _links_beyond(classes, weights, label.withColumnRenamed("class", "node"), percent)
         found = found.join(weights, ["f1", "f2"]).join(beyond, "class", "left").withColumn("links", F.col("weight") - 1 + F.coalesce("links", F.lit(0)))
         columns.append(F.when(F.col("live"), F.col("links")).otherwise(0).cast("long").alias("n_links"))
-    return sets.select("doc_id", "n", F.col("prefix").isNotNull().alias("live"), "f1", "f2").join(found, ["f1", "f2"], "left").select(*columns)
+    return sets.select("doc_id", "hash", "n", F.col("prefix").isNotNull().alias("live"), "f1", "f2").join(found, ["f1", "f2"], "left").select(*columns)

@@ -38,7 +38,7 @@ NO_ID = -(2**63)
 
 PIECES = "bucket int, key long, check long, doc long, hash long, start int, strings int, text binary"
 SPANS = "chunk int, doc long, hash long, start int, strings int"
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string, spans array<struct<start:int,end:int>>"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string, spans array<struct<start:int,end:int>>, text_hash long"
 SHORT_RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -273,10 +273,10 @@ def _cutter(length: int, with_text: bool):
             ends = [0, *(x for span in merged for x in span), len(raw)]
             kept = b"".join(raw[a:b] for a, b in zip(ends[::2], ends[1::2]))
             row = {"doc_id": real, "n_bytes": len(raw), "n_removed": len(raw) - len(kept), "n_spans": len(merged), "kept_sha256": hashlib.sha256(kept).hexdigest()}
-            rows.append(row | ({"kept": kept.decode("utf-8", "ignore"), "spans": [{"start": a, "end": b} for a, b in merged]} if with_text else {}))
+            rows.append(row | ({"kept": kept.decode("utf-8", "ignore"), "spans": [{"start": a, "end": b} for a, b in merged], "text_hash": h} if with_text else {}))
         fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
         if with_text:
-            fields += [("kept", pa.string()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]
+            fields += [("kept", pa.string()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("text_hash", pa.int64())]
         return pa.Table.from_pylist(rows, schema=pa.schema(fields))
 
     return cut
@@ -284,13 +284,14 @@ def _cutter(length: int, with_text: bool):
 
 def remove_repeats(docs: DataFrame, length: int = 100, gram: int | None = None, with_text: bool = True, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept text and removed spans.
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept text, the removed spans and text_hash.
 
     Every byte covered by a string of `length` bytes that also starts earlier goes: in a document with a smaller id, or
     in the same one further left. Strings are judged on the input, not on what is left, may overlap, and never cross
     documents. Missing and empty texts have no bytes. Texts under one id are ordered by a
     hash; repeated rows (same id and text) count as one document and get the same result. Rows without an id
     come before all ids. An empty table gives an empty result. Extra columns are ignored.
+    text_hash, xxhash64 of the text (a missing one as empty), tells apart texts under one id.
     Characters that a cut splits are missing from `kept`; the counts and the digest are those of bytes.
     """
     gram = gram or length - length // 2 + 2

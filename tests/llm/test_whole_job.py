@@ -3,6 +3,7 @@
 import random
 import re
 
+import corpus_pipeline
 from ebbtide.llm import jaccard_join
 from ebbtide.llm.jaccard_join import similar_documents
 from ebbtide.llm.line_templates import drop_recurring_lines
@@ -56,3 +57,26 @@ def test_other_lines_in_a_leaf_undo_no_template(spark):
     rows += [(30, "made by the way we went on and on with no end"), (31, "made by the sea where all our boats lay dry last year")]
     found = {r.doc_id: r.n_dropped for r in drop_recurring_lines(frame(spark, rows)).collect()}
     assert found == {0: 0, 1: 1, 2: 1, 3: 1, 4: 1, 9: 0, 20: 0, 21: 1, 22: 1, 23: 1, 30: 0, 31: 0}
+
+
+# pipeline: rows are known by id and text
+
+
+def test_pipeline_keeps_one_row_of_each_text(spark):
+    words = lambda seed, n=40: " ".join(f"{seed}{i}" for i in range(n))
+    a, b, c, d, e = (words(x) for x in "abcde")
+    rows = [(1, a), (1, a), (None, a + " end"), (2, b), (2, c), (None, d), (None, d + " end"), (3, e), (4, None), (4, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    one = [t for i, t in kept if i is None]
+    assert len(one) == 1 and one[0] in (d, d + " end")
+    assert sorted(((i, t or "") for i, t in kept if i is not None)) == [(1, a), (2, b), (2, c), (3, e), (4, "")]
+
+
+def test_repeats_are_cut_in_the_text_that_has_them(spark):
+    same = " ".join(f"s{i}" for i in range(60))
+    rows = [(None, "first " + same + " x"), (None, "second " + same + " y"), (5, "early " + same + " z"), (5, "another text"), (None, "no repeat")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = [(r.doc_id, r.text) for r in corpus_pipeline.repeats(spark, docs, "").collect()]
+    assert len(found) == 5 and (5, "another text") in found and (None, "no repeat") in found
+    assert sum(same in t for _, t in found) == 1 and (5, "earlyz") in [(i, t.replace(" ", "")) for i, t in found]
