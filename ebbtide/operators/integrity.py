@@ -3,18 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MANIFEST_NAME = "manifest.json"
+#: Bytes up to which a task takes a file as one value, and larger files read at a time.
+WHOLE_BYTES, STREAMS = 256_000_000, 8
+
+
+def _streamed(spark: SparkSession, path: str) -> str:
+    """SHA-256 of a file, read piece by piece through Spark's file system."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    try:
+        return jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()
 
 
 def file_manifest(spark: SparkSession, folder: str, exclude: Sequence[str] = (MANIFEST_NAME,)) -> DataFrame:
     """Path below ``folder``, size and SHA-256 of every file in it.
 
-    A file is hashed as a whole by one task; Spark refuses files above 2 GB here,
-    which fits model and report files.
+    A file of up to ``WHOLE_BYTES`` is hashed as one value by a task. Larger ones are streamed by
+    the driver when this is called, in constant memory whatever their size.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
@@ -24,9 +38,19 @@ def file_manifest(spark: SparkSession, folder: str, exclude: Sequence[str] = (MA
         F.substring_index("path", root, -1), "^/+", ""
     )
     name = F.element_at(F.split("path", "/"), -1)
-    return files.where(~name.isin(list(exclude))).select(
+    files = files.where(~name.isin(list(exclude)))
+    limit = min(WHOLE_BYTES, int(spark.conf.get("spark.sql.sources.binaryFile.maxLength")))
+    # The condition on the length is pushed into the reader, which opens no larger file.
+    hashed = files.where(F.col("length") <= limit).select(
         relative.alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
     )
+    large = files.where(F.col("length") > limit).select("path", relative.alias("relative"), "length").collect()
+    if not large:
+        return hashed
+    with ThreadPoolExecutor(STREAMS) as pool:
+        digests = list(pool.map(lambda r: _streamed(spark, r["path"]), large))
+    rows = [(r["relative"], r["length"], d) for r, d in zip(large, digests)]
+    return hashed.unionByName(spark.createDataFrame(rows, "path string, bytes long, sha256 string"))
 
 
 def _names(spark: SparkSession, names: Sequence[str], column: str) -> DataFrame:
