@@ -6,7 +6,10 @@ import math
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +34,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Each batch with numbers that no other row of the scan has; fixed once the result is stored."""
+    from pyspark import TaskContext
+
+    at = TaskContext.get().partitionId() << 40
+    for batch in batches:
+        yield batch, np.arange(at, at + batch.num_rows)
+        at += batch.num_rows
+
+
 def pieces_for(amount: float, per_piece: float, least: int = 1) -> int:
     """How many partitions keep each below per_piece."""
     return max(least, math.ceil((amount or 0) / per_piece))

@@ -71,3 +71,16 @@ s AS (SELECT q.vec_id AS query_id, u.vec_id, CAST(sum(q.c * u.c) AS BIGINT) AS s
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+ORACLE["op13_ranked_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents WHERE text IS NOT NULL),
+s AS (SELECT count(*) AS n_all, sum(len(w)) AS l_all FROM d WHERE len(w) > 0),
+p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+i AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+f AS (SELECT term, CAST(floor(1000 * ln((2 * n_all + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM p, s GROUP BY term, n_all),
+v AS (SELECT r, doc_id, term, (1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_all) // l_all))) AS v FROM p, s),
+o AS (SELECT item_id, r, doc_id, CAST(sum(w * v) AS BIGINT) AS score FROM i JOIN f USING (term) JOIN v USING (term) GROUP BY item_id, r, doc_id HAVING sum(w * v) > 0),
+k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM o)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 50
+"""

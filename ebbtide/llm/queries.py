@@ -17,6 +17,7 @@ from ebbtide.llm.oracle import ORACLE  # noqa: F401
 from ebbtide.llm.packing import best_fit_pack
 from ebbtide.llm.piece_codec import encode_documents
 from ebbtide.llm.quality import quality_scores
+from ebbtide.llm.ranked_search import ranked_search
 from ebbtide.llm.suffix_dedup import remove_repeats
 from ebbtide.llm.token_counts import count_tokens
 from ebbtide.llm.topk_search import exact_top_k
@@ -95,3 +96,8 @@ def op9_packing(spark, sf_dir):
 @query
 def op10_piece_codec(spark, sf_dir):
     return encode_documents(table(spark, sf_dir, "documents"), model_bytes(), with_ids=False)
+
+
+@query
+def op13_ranked_search(spark, sf_dir):
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
