@@ -19,6 +19,7 @@ from ebbtide.llm.piece_codec import encode_documents
 from ebbtide.llm.quality import quality_scores
 from ebbtide.llm.ranked_search import ranked_search
 from ebbtide.llm.suffix_dedup import remove_repeats
+from ebbtide.llm.token_alignment import align_tokenizers
 from ebbtide.llm.token_counts import count_tokens
 from ebbtide.llm.topk_search import exact_top_k
 
@@ -28,10 +29,15 @@ QUERIES: dict[str, Query] = {}
 
 def model_bytes(path: str | None = None) -> bytes:
     """A SentencePiece model file; by default the public 32k one, read where it is installed."""
+    return vocabulary_bytes("piece_bpe_32k.model", path)
+
+
+def vocabulary_bytes(name: str, path: str | None = None) -> bytes:
+    """A vocabulary file, by default the public one of that name, read where it is installed."""
     if path is None:
         import public_tokenizers
 
-        path = public_tokenizers.path("piece_bpe_32k.model")
+        path = public_tokenizers.path(name)
     with open(path, "rb") as f:
         return f.read()
 
@@ -98,6 +104,11 @@ def op10_piece_codec(spark, sf_dir):
     return encode_documents(table(spark, sf_dir, "documents"), model_bytes(), with_ids=False)
 
 
+@query
+def op12_token_alignment(spark, sf_dir):
+    return align_tokenizers(table(spark, sf_dir, "documents"), vocabulary_bytes("byte_bpe_50k.json"), model_bytes())
+
+
 @query
 def op13_ranked_search(spark, sf_dir):
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
