@@ -16,6 +16,7 @@ from ebbtide.llm.line_templates import drop_recurring_lines
 from ebbtide.llm.oracle import ORACLE  # noqa: F401
 from ebbtide.llm.packing import best_fit_pack
 from ebbtide.llm.piece_codec import encode_documents
+from ebbtide.llm.pii_bootstrap import find_personal_data, spelt_spans
 from ebbtide.llm.quality import quality_scores
 from ebbtide.llm.ranked_search import ranked_search
 from ebbtide.llm.suffix_dedup import remove_repeats
@@ -104,6 +105,12 @@ def op10_piece_codec(spark, sf_dir):
     return encode_documents(table(spark, sf_dir, "documents"), model_bytes(), with_ids=False)
 
 
+@query
+def op11_personal_data(spark, sf_dir):
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", spelt_spans(F.concat("base", "added")).alias("spans"))
+
+
 @query
 def op12_token_alignment(spark, sf_dir):
     return align_tokenizers(table(spark, sf_dir, "documents"), vocabulary_bytes("byte_bpe_50k.json"), model_bytes())
