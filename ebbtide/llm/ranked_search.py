@@ -109,11 +109,12 @@ class BallTree:
             held = np.flatnonzero(centre)
             self.nodes.append((first, last, _up(far.max()), held, centre[held]))
             if len(rows) > leaf:
-                # halves by which of two distant vectors is nearer
+                # parted by which of two distant vectors is nearer, or in halves where one part would be very small
                 one = distances(self._dense(cols, vals, ptr, rows[far.argmax()]))
                 two = distances(self._dense(cols, vals, ptr, rows[one.argmax()]))
                 order[first:last] = rows[np.argsort(one - two, kind="stable")]
-                half = (first + last) // 2
+                nearer = int((one < two).sum())
+                half = first + (nearer if len(rows) < 16 * min(nearer, len(rows) - nearer) else len(rows) // 2)
                 self.children[me] = len(todo), len(todo) + 1
                 todo += [(first, half), (half, last)]
         at = _stretches(ptr[order], ptr[order + 1])

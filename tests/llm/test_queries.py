@@ -24,7 +24,7 @@ TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "d
 
 def test_each_operator_is_registered_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(registry.queries()) and set(ORACLE) <= set(registry.oracle_sql())
 
 
