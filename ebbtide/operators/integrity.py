@@ -2,55 +2,97 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterator, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MANIFEST_NAME = "manifest.json"
-#: Bytes up to which a task takes a file as one value, and larger files read at a time.
-WHOLE_BYTES, STREAMS = 256_000_000, 8
+#: Bytes of a file that a task holds at a time.
+PIECE_BYTES = 4_000_000
+#: A folder has no bytes.
+LISTED = "path string, bytes long"
+MANIFEST = "path string, bytes long, sha256 string"
 
 
-def _streamed(spark: SparkSession, path: str) -> str:
-    """SHA-256 of a file, read piece by piece through Spark's file system."""
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
-    try:
-        return jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
-    finally:
-        stream.close()
+def _opened_as(spark: SparkSession, folder: str) -> str:
+    """The folder as tasks open it: mount points resolved, every scheme by the name that Arrow's file systems know."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    resolved = at.getFileSystem(spark._jsc.hadoopConfiguration()).resolvePath(at).toString()
+    scheme, _, rest = resolved.partition(":")
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    return f"{scheme}:{'//' * (not rest.startswith('//'))}{quote(rest, safe='/:@')}"
+
+
+Rows = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+# Tasks get the functions below by value, with their imports inside, so executors needn't have the package.
+
+
+def _lister(uri: str, recursive: bool) -> Rows:
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+        from pyarrow import fs
+
+        files, root = fs.FileSystem.from_uri(uri)
+        root = root.rstrip("/")
+        for batch in batches:
+            for folder in batch["path"].to_pylist():
+                found = files.get_file_info(fs.FileSelector(f"{root}/{folder}" if folder else root, recursive=recursive))
+                kept = [x for x in found if x.type == fs.FileType.File or not recursive]
+                yield pa.RecordBatch.from_pydict({
+                    "path": pa.array([x.path[len(root) + 1 :] for x in kept], pa.string()),
+                    "bytes": pa.array([x.size if x.type == fs.FileType.File else None for x in kept], pa.int64()),
+                })
+
+    return listed
+
+
+def _hasher(uri: str, piece: int) -> Rows:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        files, root = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for path in batch["path"].to_pylist():
+                digest, size = hashlib.sha256(), 0
+                with files.open_input_stream(f"{root.rstrip('/')}/{path}", compression=None) as stream:
+                    while data := stream.read(piece):
+                        digest.update(data)
+                        size += len(data)
+                yield pa.RecordBatch.from_pydict({"path": [path], "bytes": pa.array([size], pa.int64()), "sha256": [digest.hexdigest()]})
+
+    return hashed
+
+
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Path below ``folder`` and size of every file in it, hidden and empty ones too.
+
+    One task lists the folder itself, the others the trees below its folders.
+    """
+    uri = _opened_as(spark, folder)
+    top = spark.createDataFrame([("",)], "path string").mapInArrow(_lister(uri, False), LISTED)
+    folders = top.where("bytes is null").select("path").repartition("path")
+    return top.where("bytes is not null").unionByName(folders.mapInArrow(_lister(uri, True), LISTED))
 
 
 def file_manifest(spark: SparkSession, folder: str, exclude: Sequence[str] = (MANIFEST_NAME,)) -> DataFrame:
-    """Path below ``folder``, size and SHA-256 of every file in it.
+    """Path below ``folder``, size and SHA-256 of every file in it, but for files of the excluded names.
 
-    A file of up to ``WHOLE_BYTES`` is hashed as one value by a task. Larger ones are streamed by
-    the driver when this is called, in constant memory whatever their size.
+    Files are dealt to tasks. A task reads one after another in pieces of ``PIECE_BYTES``, so
+    neither its memory nor the driver's depends on the size of a file. The file system has to be one that Arrow can
+    open on the executors; mount points are resolved.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    )
-    root = folder.rstrip("/") + "/"
-    relative = F.regexp_replace(
-        F.substring_index("path", root, -1), "^/+", ""
-    )
     name = F.element_at(F.split("path", "/"), -1)
-    files = files.where(~name.isin(list(exclude)))
-    limit = min(WHOLE_BYTES, int(spark.conf.get("spark.sql.sources.binaryFile.maxLength")))
-    # The condition on the length is pushed into the reader, which opens no larger file.
-    hashed = files.where(F.col("length") <= limit).select(
-        relative.alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
-    )
-    large = files.where(F.col("length") > limit).select("path", relative.alias("relative"), "length").collect()
-    if not large:
-        return hashed
-    with ThreadPoolExecutor(STREAMS) as pool:
-        digests = list(pool.map(lambda r: _streamed(spark, r["path"]), large))
-    rows = [(r["relative"], r["length"], d) for r, d in zip(large, digests)]
-    return hashed.unionByName(spark.createDataFrame(rows, "path string, bytes long, sha256 string"))
+    files = list_files(spark, folder).where(~name.isin(list(exclude)))
+    dealt = files.repartition("path").sortWithinPartitions(F.desc("bytes"))
+    return dealt.select("path").mapInArrow(_hasher(_opened_as(spark, folder), PIECE_BYTES), MANIFEST)
 
 
 def _names(spark: SparkSession, names: Sequence[str], column: str) -> DataFrame:
