@@ -39,7 +39,7 @@ def assign_arms(
         new = customers.join(previous.select(id_col), id_col, "left_anti")
     mixed = ranked(
         new.withColumn("_mix", shuffle_key(id_col, seed)),
-        [F.col("_mix").asc(), F.col(id_col).asc()],
+        [F.col("_mix"), F.col(id_col)],
         ["route"],
         rank="_place",
     )

@@ -13,18 +13,19 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import known, ratio, share_of
 from ebbtide.operators.lookup import attach
-from ebbtide.operators.rank import exact_quantiles, group_number, ranked, running_totals
+from ebbtide.operators.rank import exact_quantiles, falling, group_number, ranked, totals_by_value
 from ebbtide.spec import ID, LABEL, SCORE_EPSILON
 
 
 def score_counts(
     df: DataFrame, label: str = LABEL, score: str = "risk_score", by: Sequence[str] = ()
 ) -> DataFrame:
-    """Positives and negatives per distinct score with totals from the top score down."""
-    counts = df.groupBy(*by, F.col(score).alias("score")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
-    )
-    return running_totals(counts, [F.col("score").desc()], ["pos", "neg"], by)
+    """Positives and negatives per distinct score with totals from the top score down.
+
+    Missing and not-a-number scores are one value that comes last.
+    """
+    sums = {name: F.coalesce((F.col(label) == value).cast("bigint"), F.lit(0)) for name, value in (("pos", 1), ("neg", 0))}
+    return totals_by_value(df, known(F.col(score)), "score", sums, by, descending=True)
 
 
 def _flagged() -> Column:
@@ -55,9 +56,12 @@ def roc_auc(df: DataFrame, label: str = LABEL, score: str = "risk_score", by: Se
 
 
 def pr_curve(df: DataFrame, label: str = LABEL, score: str = "risk_score", by: Sequence[str] = ()) -> DataFrame:
-    """Precision and recall at every distinct score, plus the end point without a threshold."""
+    """Precision and recall at every distinct score, plus the end point without a threshold.
+
+    Rows without a score count in the totals, but no threshold reaches them, so they are no point of the curve.
+    """
     counts = score_counts(df, label, score, by)
-    points = counts.select(
+    points = counts.where(F.col("score").isNotNull()).select(
         *by,
         ratio(F.col("cum_pos"), _flagged()).alias("precision"),
         ratio(F.col("cum_pos"), F.col("total_pos")).alias("recall"),
@@ -75,8 +79,7 @@ def topk_threshold(
     df: DataFrame, share: float = 0.10, score: str = "risk_score", by: Sequence[str] = ()
 ) -> DataFrame:
     """Score of the k-th highest row, with ``k = max(1, ceil(share * n))``."""
-    counts = df.groupBy(*by, known(F.col(score)).alias("threshold")).agg(F.count("*").alias("n"))
-    totals = running_totals(counts, [F.col("threshold").desc_nulls_last()], ["n"], by)
+    totals = totals_by_value(df, known(F.col(score)), "threshold", {"n": F.lit(1)}, by, descending=True)
     k = share_of(F.col("total_n"), share)
     return totals.where((F.col("cum_n") - F.col("n") < k) & (k <= F.col("cum_n"))).select(
         *by, F.col("total_n").alias("customers"), k.alias("k"), "threshold"
@@ -119,7 +122,7 @@ def lift_table(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Churn, lift and cumulative recall per equal-size score group, best group first."""
-    order = [known(F.col(score)).desc_nulls_last(), F.col(id_col).asc()]
+    order = [falling(known(F.col(score))), F.col(id_col)]
     placed = ranked(df.select(*by, id_col, score, label), order, by)
     per_group = placed.groupBy(
         *by, group_number(F.col("rank"), F.col("total"), groups).alias("group")

@@ -58,7 +58,7 @@ def _levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def category_schema(df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES) -> DataFrame:
     """Every prepared level of each feature with its 0-based place in sorted order."""
     placed = ranked(
-        _levels(df, columns).select("feature", "level"), [F.col("level").asc()], ["feature"]
+        _levels(df, columns).select("feature", "level"), [F.col("level")], ["feature"]
     )
     return placed.select("feature", "level", (F.col("rank") - 1).cast("int").alias("position"))
 
@@ -98,7 +98,7 @@ def _quotas(sizes: DataFrame, wanted: Column, by: str) -> DataFrame:
 def _pick(df: DataFrame, quotas: DataFrame, label: str, id_col: str, seed: int | str) -> DataFrame:
     mixed = ranked(
         df.withColumn("_mix", shuffle_key(id_col, seed)),
-        [F.col("_mix").asc(), F.col(id_col).asc()],
+        [F.col("_mix"), F.col(id_col)],
         [label],
         rank="_place",
         total="_size",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import known, ratio, share_of
-from ebbtide.operators.rank import group_number, ranked
+from ebbtide.operators.rank import falling, group_number, ranked
 from ebbtide.spec import (
     BAND_CUTS,
     BAND_REST,
@@ -27,7 +27,7 @@ def risk_rank(
 
     Missing and not-a-number scores come last.
     """
-    order = [known(F.col(score)).desc_nulls_last(), F.col(id_col).asc()]
+    order = [falling(known(F.col(score))), F.col(id_col)]
     placed = ranked(df, order, by, rank="risk_rank", total="ranked_customers")
     return placed.withColumn(
         "risk_decile", group_number(F.col("risk_rank"), F.col("ranked_customers"), groups)

@@ -1,36 +1,79 @@
-"""Exact global ranks, running totals and quantiles without a single-task window.
+"""Exact global ranks, running totals and quantiles without a single-task window or a stored copy.
 
-Rows are range-partitioned on the full ordering (ending in a unique id), sorted
-inside each partition and materialised on reliable storage. A block of tied
-scores, however large, is therefore split by id. The position of a row is its
-place inside its partition plus the number of rows in the partitions before it;
-only one small row per partition (and group) is needed for that.
+Cut points of the full ordering (ending in a unique id) are fixed once, from a sample of rows taken by a hash of
+their keys. The part of a row is then a plain expression, a binary search among the cuts, so any
+scan gives the same answer. The position of a row is its place inside its part, from a window over
+that part, plus the number of rows in the parts before it; only one small row per part (and group) is
+needed for that. A block of tied scores, however large, is cut by id.
+
+The input must give the same rows whenever it is read; store it first if it holds random values.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+import math
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.operators.lookup import attach
-from ebbtide.session import durable
+#: Rows of a part, about, and sampled keys for each of them.
+ROWS_PER_PART, KEYS_PER_PART = 2_000_000, 20
 
 
-def _laid_out(df: DataFrame, order: Sequence[Column], by: Sequence[str]) -> DataFrame:
-    keys = [F.col(b).asc() for b in by] + list(order)
-    laid = durable(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
-    return laid.select(
-        "*",
-        F.spark_partition_id().alias("_part"),
-        F.monotonically_increasing_id().alias("_seq"),
-    )
+def falling(c: Column) -> Column:
+    """An ordering by falling number, missing ones last."""
+    return F.struct(c.isNull().alias("missing"), (-c).alias("negated"))
 
 
-def _before(by: Sequence[str]) -> Window:
-    return Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+def _cuts(keys: DataFrame, parts: int, n: int) -> tuple[DataFrame, int]:
+    """One row with the sorted cut points among the keys, and how many there are at most.
+
+    A key is sampled by its hash, so equal keys are one, and the same ones are found again.
+    """
+    share = parts * KEYS_PER_PART / max(n, 1)
+    if share < 1:
+        keys = keys.where(F.xxhash64("key") < F.lit(int(share * 2**64) - 2**63))
+    # Local rows: later plans can't see other cuts.
+    rows = keys.distinct().toArrow()
+    step = max(1, math.ceil(rows.num_rows / parts))
+    sample = keys.sparkSession.createDataFrame(rows, keys.schema)
+    every = F.filter(F.array_sort(F.collect_list("key")), lambda _, i: (i + 1) % step == 0)
+    return sample.agg(every.alias("cuts")), rows.num_rows // step
+
+
+def _laid_out(df: DataFrame, order: Sequence[Column], by: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The rows with their part (and group, as text that is never missing), and the names of these columns."""
+    key = F.struct(*[F.col(b) for b in by], *[c.alias(f"_{i}") for i, c in enumerate(order)])
+    n = df.count()
+    parts = max(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / ROWS_PER_PART))
+    cuts, many = _cuts(df.select(key.alias("key")), parts, n)
+    at = F.lit(0)
+    if many:
+        steps = F.array(*[F.lit(2**i) for i in reversed(range(many.bit_length()))])
+
+        def advance(place: Column, step: Column) -> Column:
+            held = (place + step <= many) & (F.get("_cuts", place + step - 1) <= F.col("_key"))
+            return F.when(held, place + step).otherwise(place)
+
+        at = F.aggregate(steps, F.lit(0), advance)
+    laid = df.withColumns({"_cuts": cuts.scalar(), "_key": key}).withColumn("_part", at).drop("_cuts", "_key")
+    if not by:
+        return laid, ["_part"]
+    return laid.withColumn("_group", F.to_json(F.struct(*by))), ["_group", "_part"]
+
+
+def _offsets(laid: DataFrame, keys: Sequence[str], sums: Mapping[str, Column]) -> DataFrame:
+    """Per part: sums over the parts before it (``_o_<name>``) and over the group (``_t_<name>``)."""
+    group = Window.partitionBy(*keys[:-1])
+    before = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    cells = laid.groupBy(*keys).agg(*[c.alias(f"_s_{name}") for name, c in sums.items()])
+    return cells.select(
+        *keys,
+        *[F.coalesce(F.sum(f"_s_{name}").over(before), F.lit(0)).alias(f"_o_{name}") for name in sums],
+        *[F.sum(f"_s_{name}").over(group).alias(f"_t_{name}") for name in sums],
+    )
 
 
 def ranked(
@@ -42,26 +85,24 @@ def ranked(
 ) -> DataFrame:
     """Add the 1-based position of each row under ``order`` (per group ``by``) and the group size.
 
-    ``order`` must end in a column that is unique within the group; the result is
-    then the same for every partitioning of the input.
+    ``order`` holds ascending expressions, missing values first (see :func:`falling`), and must end in a column that is
+    unique within the group; the result is then the same for every partitioning of the input.
     """
-    by = list(by)
-    laid = _laid_out(df, order, by)
-    cells = laid.groupBy(*by, "_part").agg(
-        F.count("*").alias("_n"), F.min("_seq").alias("_first")
-    )
-    offsets = cells.select(
-        *by,
-        "_part",
-        "_first",
-        F.coalesce(F.sum("_n").over(_before(by)), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(Window.partitionBy(*by)).alias(total),
+    laid, keys = _laid_out(df, order, list(by))
+    placed = laid.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return placed.join(_offsets(laid, keys, {"n": F.count("*")}), keys).select(
+        *df.columns, (F.col("_place") + F.col("_o_n")).alias(rank), F.col("_t_n").alias(total)
     )
-    out = attach(laid, offsets, [*by, "_part"])
+
+
+def _with_totals(rows: DataFrame, laid: DataFrame, keys: Sequence[str], order: Sequence[Column], values: Sequence[str]) -> DataFrame:
+    so_far = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = rows.select("*", *[F.sum(v).over(so_far).alias(f"_c_{v}") for v in values])
+    out = summed.join(_offsets(laid, keys, {v: F.sum(v) for v in values}), list(keys))
     return out.select(
-        *df.columns,
-        (F.col("_seq") - F.col("_first") + F.col("_offset") + 1).alias(rank),
-        total,
+        *[c for c in rows.columns if c not in keys],
+        *[(F.col(f"_c_{v}") + F.col(f"_o_{v}")).alias(f"cum_{v}") for v in values],
+        *[F.col(f"_t_{v}").alias(f"total_{v}") for v in values],
     )
 
 
@@ -73,27 +114,31 @@ def running_totals(
 ) -> DataFrame:
     """Add ``cum_<v>`` (inclusive) and ``total_<v>`` for each value column, per group ``by``.
 
-    ``order`` must be unique within the group, so aggregate ties before calling.
+    ``order`` (as in :func:`ranked`) must be unique within the group; see :func:`totals_by_value` for ties.
     """
-    by = list(by)
-    laid = _laid_out(df, order, by).drop("_seq")
-    cells = laid.groupBy(*by, "_part").agg(*[F.sum(v).alias(f"_s_{v}") for v in values])
-    offsets = cells.select(
-        *by,
-        "_part",
-        *[F.coalesce(F.sum(f"_s_{v}").over(_before(by)), F.lit(0)).alias(f"_o_{v}") for v in values],
-        *[F.sum(f"_s_{v}").over(Window.partitionBy(*by)).alias(f"total_{v}") for v in values],
-    )
-    local = Window.partitionBy(*by, "_part").orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    summed = laid.select("*", *[F.sum(v).over(local).alias(f"_c_{v}") for v in values])
-    out = attach(summed, offsets, [*by, "_part"])
-    return out.select(
-        *df.columns,
-        *[(F.col(f"_c_{v}") + F.col(f"_o_{v}")).alias(f"cum_{v}") for v in values],
-        *[f"total_{v}" for v in values],
-    )
+    laid, keys = _laid_out(df, order, list(by))
+    return _with_totals(laid, laid, keys, order, values)
+
+
+def totals_by_value(
+    df: DataFrame,
+    value: Column,
+    name: str,
+    sums: Mapping[str, Column],
+    by: Sequence[str] = (),
+    descending: bool = False,
+) -> DataFrame:
+    """One row per group and distinct value: the sums of its rows, running totals up to it and group totals.
+
+    Columns are ``by``, ``name`` and per sum ``<s>``, ``cum_<s>`` and ``total_<s>``. A missing value is one
+    of its own, last if descending. Rows are read for the cuts, and again for the sums of parts; only distinct values
+    are shuffled.
+    """
+    rows = df.select(*by, value.alias(name), *[c.alias(s) for s, c in sums.items()])
+    order = [falling(F.col(name)) if descending else F.col(name)]
+    laid, keys = _laid_out(rows, order, list(by))
+    counts = laid.groupBy(*by, *keys, name).agg(*[F.sum(s).alias(s) for s in sums])
+    return _with_totals(counts, laid, keys, order, list(sums))
 
 
 def group_number(rank: Column, total: Column, groups: int) -> Column:
@@ -103,6 +148,72 @@ def group_number(rank: Column, total: Column, groups: int) -> Column:
     return F.least(whole_groups + 1, F.lit(groups)).cast("int")
 
 
+#: Points of a sketch, its accuracy, and rows of a bracket that one task may order.
+SKETCH_POINTS, SKETCH_ACCURACY, BRACKET_ROWS = 200, 4000, 500_000
+
+
+@dataclass(frozen=True)
+class _Bracket:
+    """The value at a 0-based place of a column lies within ``[low, high]``; about ``rows`` lie between these."""
+
+    column: str
+    place: int
+    low: float = -math.inf
+    high: float = math.inf
+    rows: float = math.inf
+
+
+def _narrowed(values: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]:
+    """One scan: every bracket cut down to the stretch between two points of a sketch of what lies in it."""
+    bounds = list(dict.fromkeys((b.column, b.low, b.high) for b in brackets))
+    shares = [i / SKETCH_POINTS for i in range(SKETCH_POINTS + 1)]
+    columns = []
+    for i, (c, low, high) in enumerate(bounds):
+        v = F.col(f"`{c}`")
+        inside = F.when((v > low) & (v < high), v)
+        columns += [
+            F.count_if(v <= low).alias(f"low{i}"), F.count(inside).alias(f"n{i}"),
+            F.percentile_approx(inside, shares, F.lit(SKETCH_ACCURACY)).alias(f"points{i}"),
+        ]
+    row = values.agg(*columns).first()
+    out = []
+    for b in brackets:
+        i = bounds.index((b.column, b.low, b.high))
+        n, points, place = row[f"n{i}"], row[f"points{i}"], b.place - row[f"low{i}"]
+        if place < 0 or place >= n:
+            at = b.low if place < 0 else b.high
+            out.append(replace(b, low=at, high=at, rows=0))
+            continue
+        # a point may be off by 1 / accuracy of the rows, on either side
+        off = n / SKETCH_ACCURACY + 1
+        a, z = math.floor((place - off) / n * SKETCH_POINTS) - 1, math.ceil((place + 1 + off) / n * SKETCH_POINTS) + 1
+        low, high = points[a] if a >= 0 else b.low, points[z] if z <= SKETCH_POINTS else b.high
+        out.append(replace(b, low=low, high=high, rows=(z - a) / SKETCH_POINTS * n + 2 * off))
+    return out
+
+
+def _at_places(values: DataFrame, brackets: Sequence[_Bracket]) -> DataFrame:
+    """``column``, ``place``, ``value``: of the rows, those below a bracket are counted and those within it ordered."""
+    per_column: dict[str, list[_Bracket]] = {}
+    for b in brackets:
+        per_column.setdefault(b.column, []).append(b)
+
+    def met(c: str, own: list[_Bracket]) -> Column:
+        """The column's brackets that a value is in or below, with the value or, below, with none."""
+        v = F.col(f"`{c}`")
+        bounds = F.array(*[F.struct(F.lit(b.place).alias("place"), F.lit(b.low).alias("low"), F.lit(b.high).alias("high")) for b in own])
+        return F.transform(
+            F.filter(bounds, lambda b: v <= b["high"]),
+            lambda b: F.struct(F.lit(c).alias("column"), b["place"].cast("long").alias("place"), F.when(v >= b["low"], v).alias("value")),
+        )
+
+    found = [met(c, own) for c, own in per_column.items()]
+    counts = values.select(F.inline(F.flatten(F.array(*found)))).groupBy("column", "place", "value").agg(F.count("*").alias("_n"))
+    up_to = Window.partitionBy("column", "place").orderBy(F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = counts.withColumn("_to", F.sum("_n").over(up_to))
+    return held.where((F.col("_to") > F.col("place")) & (F.col("_to") - F.col("_n") <= F.col("place"))).select("column", "place", "value")
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -110,46 +221,26 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles of each column over its non-missing values.
 
-    Returns rows ``(column, probability, value)``. Equal values are counted before
-    the shuffle and the order statistics are read off running totals, so no task
-    has to hold all values of a column.
+    Returns rows ``(column, probability, value)``. A mergeable sketch with a known error brackets each order
+    statistic, and scans narrow the bracket until few rows lie in it. Only distinct values within the
+    brackets are shuffled and ordered, so the result is exact and no task holds a column.
     """
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column", "value"
-    )
-    counts = (
-        long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("column", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    totals = running_totals(counts, [F.col("value").asc()], ["n"], by=["column"])
-    first, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
-
-    def place(p: float) -> Column:
-        return (F.col("total_n") - 1).cast("double") * F.lit(float(p))
-
-    def covers(at: Column) -> Column:
-        return (F.floor(at) >= first) & (F.floor(at) <= last) | (F.ceil(at) >= first) & (F.ceil(at) <= last)
-
-    # The plain filter keeps a few rows per column; only those are looked at per probability.
-    wanted = reduce(lambda a, b: a | b, [covers(place(p)) for p in probabilities])
-    hits = totals.where(wanted).select(
-        "column",
-        "value",
-        first.alias("_first"),
-        last.alias("_last"),
-        F.explode(
-            F.array(*[F.struct(F.lit(float(p)).alias("p"), place(p).alias("h")) for p in probabilities])
-        ).alias("q"),
-    )
-
-    def at(position: Column) -> Column:
-        return F.max(F.when((position >= F.col("_first")) & (position <= F.col("_last")), F.col("value")))
-
-    return hits.groupBy("column", F.col("q.p").alias("probability"), F.col("q.h").alias("_h")).agg(
-        at(F.floor("q.h")).alias("_low"), at(F.ceil("q.h")).alias("_high")
-    ).select(
+    numbers = {c: F.col(c).cast("double") for c in columns}
+    values = df.select(*[F.when(~F.isnan(v), v).alias(c) for c, v in numbers.items()])
+    sizes = values.agg(*[F.count(f"`{c}`").alias(c) for c in columns]).first()
+    wanted = [(c, float(p), (sizes[c] - 1) * float(p)) for c in columns for p in probabilities if sizes[c]]
+    places = {(c, at) for c, _, h in wanted for at in (math.floor(h), math.ceil(h))}
+    if not wanted:
+        return df.sparkSession.createDataFrame([], "column string, probability double, value double")
+    brackets = _narrowed(values, [_Bracket(c, at) for c, at in sorted(places)])
+    while any(b.rows > BRACKET_ROWS for b in brackets):
+        brackets = [b for b in brackets if b.rows <= BRACKET_ROWS] + _narrowed(values, [b for b in brackets if b.rows > BRACKET_ROWS])
+    rows = [(c, p, float(h - math.floor(h)), at) for c, p, h in wanted for at in {math.floor(h), math.ceil(h)}]
+    asked = df.sparkSession.createDataFrame(rows, "column string, probability double, part double, place long")
+    joined = _at_places(values, brackets).join(F.broadcast(asked), ["column", "place"])
+    low, high = F.min_by("value", "place"), F.max_by("value", "place")
+    return joined.groupBy("column", "probability", "part").agg(low.alias("_low"), high.alias("_high")).select(
         "column",
         "probability",
-        (F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_h") - F.floor("_h"))).alias("value"),
+        F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("part")).alias("value"),
     )

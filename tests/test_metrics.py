@@ -175,3 +175,13 @@ def test_bands_cover_everyone(spark):
         (1, "High"), (2, "Elevated"), *[(d, "Moderate") for d in range(3, 7)], *[(d, "Low") for d in range(7, 11)],
     ]
     assert sum(r.customers for r in summary) == 33
+
+
+def test_missing_scores_come_last_in_curves(spark):
+    """Neither NaN nor NULL outranks a score, and neither is a threshold."""
+    data = [(0, float("nan")), (1, 0.9), (0, 0.1), (1, 0.8), (0, None)]
+    df = spark.createDataFrame(data, "is_churn int, risk_score double")
+    assert metrics.average_precision(df).first()[0] == 1.0
+    assert metrics.roc_auc(df).first()[0] == 1.0
+    curve = sorted((r.threshold is None, r.threshold or 0, r.precision, r.recall) for r in metrics.pr_curve(df).collect())
+    assert curve == [(False, 0.1, pytest.approx(2 / 3), 1.0), (False, 0.8, 1.0, 1.0), (False, 0.9, 1.0, 0.5), (True, 0, 1.0, 0.0)]

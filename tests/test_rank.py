@@ -1,13 +1,11 @@
-import gc
 import random
-import time
 from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.operators import lookup, prepare, queue, rank
+from ebbtide.operators import lookup, metrics, prepare, queue, rank
 
 
 def scored(spark, pairs, parts=5):
@@ -49,16 +47,40 @@ def test_decile_rule(spark, n, deciles):
     assert [r.risk_decile for r in found.orderBy("risk_rank").collect()] == deciles
 
 
-def test_a_tied_block_is_spread_over_partitions(spark):
-    """Equal scores are split by id, so no task gets the whole block."""
+def test_a_tied_block_is_spread_over_parts(spark):
+    """Equal scores are cut by id, so no task gets the whole block."""
     df = scored(spark, [(i, 0.5) for i in range(4000)], 4)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        laid = rank._laid_out(df, [F.col("risk_score").desc(), F.col("msno").asc()], [])
-        sizes = [r["count"] for r in laid.groupBy("_part").count().collect()]
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert len(sizes) >= 6 and max(sizes) < 4000 / 3
+    laid, keys = rank._laid_out(df, [rank.falling(F.col("risk_score")), F.col("msno")], [])
+    sizes = [r["count"] for r in laid.groupBy(*keys).count().collect()]
+    assert len(sizes) >= 20 and max(sizes) < 4000 / 10
+
+
+def test_cuts_do_not_depend_on_partitioning(spark, rows, monkeypatch):
+    """Parts are the same for every layout of the input, also when only some of the keys are sampled."""
+    monkeypatch.setattr(rank, "KEYS_PER_PART", 3)
+    order = [rank.falling(F.col("risk_score")), F.col("msno")]
+    found = [
+        rows(rank._laid_out(scored(spark, [(i, (i * 7919 % 613) / 613) for i in range(3000)], parts), order, [])[0])
+        for parts in (1, 6)
+    ]
+    assert found[0] == found[1]
+    parts = [p for *_, p in sorted(found[0], key=lambda r: (-r[1], r[0]))]
+    assert parts == sorted(parts) and len(set(parts)) > 20
+
+
+@pytest.mark.parametrize("sampled", [1, 20])
+def test_ranks_of_groups_match_a_sort(spark, monkeypatch, sampled):
+    """Groups of very different sizes, without names and with missing scores, over several parts each."""
+    monkeypatch.setattr(rank, "KEYS_PER_PART", sampled)
+    noise = random.Random(8)
+    data = [(f"id{i:05d}", noise.choice([None, float("nan"), 0.0, -0.0, 0.5, noise.random()]), noise.choice(["a"] * 30 + ["b", None])) for i in range(1500)]
+    df = spark.createDataFrame(data, "msno string, risk_score double, g string").repartition(5)
+    found = {r.msno: (r.risk_rank, r.ranked_customers) for r in queue.risk_rank(df, by=["g"]).collect()}
+    expected = {}
+    for g in ("a", "b", None):
+        own = [(s is None or s != s, -(s or 0.0) if s == s else 0.0, i) for i, s, h in data if h == g]
+        expected |= {i: (n, len(own)) for n, (_, _, i) in enumerate(sorted(own), 1)}
+    assert found == expected
 
 
 def test_groups_and_missing_group(spark):
@@ -72,7 +94,7 @@ def test_groups_and_missing_group(spark):
 
 def test_running_totals(spark):
     df = spark.range(300).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"), (F.col("id") % 2).alias("g"))
-    found = rank.running_totals(df.repartition(6), [F.col("k").desc()], ["v"], ["g"]).collect()
+    found = rank.running_totals(df.repartition(6), [rank.falling(F.col("k"))], ["v"], ["g"]).collect()
     for g in (0, 1):
         total = 0
         for r in sorted((r for r in found if r.g == g), key=lambda r: -r.k):
@@ -104,38 +126,73 @@ def test_lookup_beyond_the_broadcast_limit_gives_the_same_rows(spark, rows):
     assert salted.count() == 2000 and salted.where("n is null").count() == 1
 
 
-def test_files_of_a_rank_go_with_its_last_plan(spark):
+def test_ranks_write_no_files(spark):
+    """Neither building nor reading a rank, a lift table or a threshold stores a copy of the rows."""
+    folder = spark.sparkContext.getCheckpointDir()
+
     def files():
-        at = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
-        return {p for p in at.rglob("part-*")}
+        return {p for p in Path(folder.removeprefix("file:")).rglob("part-*")} if folder else set()
 
-    queue.risk_rank(scored(spark, [(0, 0.5)])).count()
     before = files()
-    placed = queue.risk_rank(scored(spark, [(i, 0.5) for i in range(50)]))
-    made = files() - before
-    assert made and placed.count() == 50
-    derived = placed.where("risk_rank > 10")
-    del placed
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    time.sleep(1)
-    assert made <= files() and derived.count() == 40
-    del derived
-    for _ in range(20):
-        gc.collect()
-        spark.range(1).count()  # other plans take the place of the last one
-        spark.sparkContext._jvm.System.gc()
-        if not made & files():
-            break
-        time.sleep(0.5)
-    assert not made & files()
+    df = scored(spark, [(i, (i % 17) / 17) for i in range(500)]).withColumn("is_churn", F.lit(1))
+    for out in (queue.risk_rank(df), metrics.lift_table(df), metrics.topk_threshold(df), metrics.average_precision(df)):
+        assert out.count() > 0
+    assert spark.sparkContext.getCheckpointDir() == folder and files() == before
 
 
 def test_ranks_need_no_single_task_window(spark):
-    """Only the few rows describing partitions go through an unpartitioned window."""
+    """Rows meet in windows over parts only; an unpartitioned window sees one row per part."""
     out = queue.risk_rank(scored(spark, [(i, 0.5) for i in range(50)]))
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "SinglePartition" not in plan
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    numbered = [line for line in windows if "row_number" in line]
+    assert len(numbered) == 1 and "[_part#" in numbered[0]
+    assert all("_s_n" in line for line in windows if line not in numbered)
+
+
+def test_totals_by_value(spark, monkeypatch):
+    monkeypatch.setattr(rank, "KEYS_PER_PART", 2)
+    noise = random.Random(2)
+    data = [(noise.choice("xy"), noise.choice([None, *range(300)]), noise.randint(0, 5)) for _ in range(4000)]
+    df = spark.createDataFrame(data, "g string, v long, n long").repartition(6)
+    for falling in (False, True):
+        found = rank.totals_by_value(df, F.col("v"), "value", {"n": F.col("n")}, ["g"], falling).collect()
+        for g in "xy":
+            sums = {}
+            for h, v, n in data:
+                if h == g:
+                    sums[v] = sums.get(v, 0) + n
+            order = sorted((v for v in sums if v is not None), reverse=falling)
+            order = order + [None] * (None in sums) if falling else [None] * (None in sums) + order
+            cum = np.cumsum([sums[v] for v in order]).tolist()
+            own = {r.value: (r.n, r.cum_n, r.total_n) for r in found if r.g == g}
+            assert own == {v: (sums[v], c, cum[-1]) for v, c in zip(order, cum)}
+
+
+@pytest.mark.parametrize("kind", ["distinct", "tied", "two values", "skewed", "infinite"])
+def test_quantiles_by_narrow_brackets(spark, monkeypatch, kind):
+    """Several scans narrow each bracket, and the plan orders only what lies within."""
+    monkeypatch.setattr(rank, "BRACKET_ROWS", 40)
+    noise = np.random.default_rng(7)
+    values = {
+        "distinct": noise.normal(size=20_000), "tied": noise.integers(0, 50, 20_000) / 7, "two values": np.repeat([1.0, 2.0], [9_999, 10_001]),
+        "skewed": np.exp(noise.normal(size=20_000) * 6), "infinite": np.concatenate([[np.inf] * 50, [-np.inf] * 50, noise.normal(size=9_000)]),
+    }[kind]
+    df = spark.createDataFrame([(float(v),) for v in values], "a double").repartition(7)
+    probabilities = [0.0, 0.001, 0.25, 0.4999, 0.5, 0.99, 1.0]
+    out = rank.exact_quantiles(df, ["a"], probabilities)
+    found = {r.probability: r.value for r in out.collect()}
+    ordered = np.sort(values)
+    for p in probabilities:
+        h = (len(values) - 1) * p
+        low, high = ordered[int(np.floor(h))], ordered[int(np.ceil(h))]
+        assert found[p] == pytest.approx(low if low == high else low + (high - low) * (h - np.floor(h)))
+
+
+def test_quantiles_of_empty_columns(spark):
+    df = spark.createDataFrame([(None, 1.0), (float("nan"), None)], "a double, b double")
+    assert [tuple(r) for r in rank.exact_quantiles(df, ["a", "b"], [0.5]).collect()] == [("b", 0.5, 1.0)]
+    assert rank.exact_quantiles(df.limit(0), ["a"], [0.5]).collect() == []
 
 
 @pytest.mark.parametrize("n", [1, 2, 10, 97])
