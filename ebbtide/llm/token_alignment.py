@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -20,10 +22,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.common import identified, row_numbers, stored
-from ebbtide.llm.sp_model import BYTE, SPACE, read_model
+from ebbtide.llm.sp_model import BPE, BYTE, NORMAL, SPACE, USER_DEFINED, read_model
 
 #: Bytes of text whose links are counted together, and that are aligned in one go.
 CHUNK_BYTES, RUN_BYTES = 8_000_000, 1_000_000
+#: A blank between other characters. Pre-tokens of byte-level vocabularies never reach across one.
+BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+_UNSURE = re.compile(r"\s\s|^\s|\s$")
+#: Words whose tokens a task remembers.
+KNOWN_WORDS = 200_000
+#: New words that are encoded as one text.
+JOINED_WORDS = 200
 #: Needles that one lane of the search takes one after another.
 LANE = 64
 #: Document rows have `links`, places of id pairs within their chunk; the other rows are these pairs.
@@ -51,6 +60,10 @@ class ByteLevel:
         for token, i in vocab.items():
             self.bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
 
+        # that blanks stay with the word behind them is what the built-in pattern says
+        self.by_word = self.tokenizer.normalizer is None and json.loads(data)["pre_tokenizer"] in (
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": t, "use_regex": True} for t in (True, False))
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
@@ -62,17 +75,96 @@ class Pieces:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_proto=data)
-        self.bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(SPACE, " ").encode() for p, _, kind in read_model(data).pieces]
+        model = read_model(data)
+        self.bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(SPACE, " ").encode() for p, _, kind in model.pieces]
+        # no piece reaches across a blank, and texts are taken as they are
+        self.by_word = (
+            model.kind == BPE and model.add_dummy_prefix and model.escape_spaces and not model.charsmap and not model.remove_extra_spaces
+            and not any(SPACE in p.lstrip(SPACE) for p, _, kind in model.pieces if kind in (NORMAL, USER_DEFINED))
+        )
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
 
-@functools.lru_cache(4)
-def _loaded(kind: type, data: bytes):
-    out = kind(data)
-    out.lengths = np.array([len(x) for x in out.bytes])
-    return out
+
+
+class Coder:
+    """Encodes texts by both sides, word by word where that is the same, each distinct word once while it is remembered.
+
+    Ids are kept as bytes, four each, so that texts are put together without a loop over tokens.
+    """
+
+    def __init__(self, one: ByteLevel, two: Pieces):
+        self.sides = one, two
+        self.by_word = one.by_word and two.by_word
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.wrong: set[str] = set()  # words that either side does not spell
+        for side in self.sides:
+            side.lengths = np.array([len(x) for x in side.bytes])
+
+    def _coded(self, texts: list[str]) -> tuple[list[tuple[bytes, bytes]], np.ndarray]:
+        """The ids of either side, and whether they spell the text with a blank in front."""
+        wholes = [(" " + t).encode() for t in texts]
+        out, right = [], np.ones(len(texts), dtype=bool)
+        for side in self.sides:
+            lists = side.encode(texts)
+            out.append([np.array(x, dtype="<i4").tobytes() for x in lists])
+            right &= np.array([b"".join([side.bytes[i] for i in x]) == w for x, w in zip(lists, wholes)], dtype=bool)
+        return list(zip(*out)), right
+
+    def _coded_words(self, words: list[str]) -> dict[str, tuple[bytes, bytes]]:
+        """As above, many words a text: a word's tokens are those that end within its bytes. Notes the wrong ones."""
+        out: dict[str, tuple[bytes, bytes]] = {}
+        alone = [w for w in words if not w or w[0].isspace() or w[-1].isspace()]
+        words = list(set(words).difference(alone))
+        rows = [words[i : i + JOINED_WORDS] for i in range(0, len(words), JOINED_WORDS)]
+        texts = [" ".join(row) for row in rows]
+        for row, text, *lists in zip(rows, texts, *(side.encode(texts) for side in self.sides)):
+            ends = np.cumsum([len(w.encode()) + 1 for w in row])
+            parts = []
+            for side, own in zip(self.sides, lists):
+                ids = np.array(own, dtype="<i4")
+                at = np.cumsum(side.lengths[ids])
+                cuts = np.searchsorted(at, ends, side="right")
+                if b"".join([side.bytes[i] for i in own]) != (" " + text).encode() or not np.array_equal(at[cuts - 1], ends):
+                    break
+                data, cuts = ids.tobytes(), (4 * cuts).tolist()
+                parts.append([data[s:e] for s, e in zip([0, *cuts], cuts)])
+            if len(parts) == len(self.sides):
+                out.update(zip(row, zip(*parts)))
+            else:
+                alone += row
+        coded, right = self._coded(alone)
+        out.update(zip(alone, coded))
+        self.wrong.update(w for w, good in zip(alone, right) if not good)
+        return out
+
+    def __call__(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """The ids of either side, None for a text without tokens."""
+        if not self.by_word:
+            return [ids if t and good else None for t, ids, good in zip(texts, *self._coded(texts))]
+        parted = [(BETWEEN.split(t) if _UNSURE.search(t) else t.split(" ")) if t else [] for t in texts]
+        found = self._coded_words(list(set(chain.from_iterable(parted)).difference(self.known)))
+        if len(self.known) < KNOWN_WORDS:
+            self.known.update(found)
+        known = self.known.get
+        out: list[tuple[bytes, bytes] | None] = []
+        for t, words in zip(texts, parted):
+            ids = tuple(b"".join(x) for x in zip(*[known(w) or found[w] for w in words]))
+            out.append(ids if t and (self.wrong.isdisjoint(words) or self._spells(t, ids)) else None)
+        self.wrong = {w for w in self.wrong if w in self.known}
+        return out
+
+    def _spells(self, text: str, ids: tuple[bytes, bytes]) -> bool:
+        whole = (" " + text).encode()
+        return all(b"".join(map(side.bytes.__getitem__, np.frombuffer(x, dtype="<i4").tolist())) == whole for side, x in zip(self.sides, ids))
+
+
+@functools.lru_cache(2)
+def _coder(first: bytes, second: bytes) -> Coder:
+    """Kept by the worker, with the words it knows."""
+    return Coder(ByteLevel(first), Pieces(second))
 
 
 def gallop(needles: np.ndarray, hay: np.ndarray, lane: int = LANE) -> np.ndarray:
@@ -149,20 +241,20 @@ class Aligned:
         return ["".join(spelt[s:e])[:-1] for s, e in zip(edges, edges[1:])]
 
 
-def _align(one: ByteLevel, two: Pieces, texts: list[str], words: list[str], n: int) -> tuple[list[tuple], list[np.ndarray]]:
+def _align(coder: Coder, texts: list[str], words: list[str], n: int) -> tuple[list[tuple], list[np.ndarray]]:
     """(n_a, n_b, n_groups, n_links, groups) of every text, and its links as first id * n + second id."""
-    lists_a, lists_b = one.encode(texts), two.encode(texts)
+    one, two = coder.sides
+    coded = coder(texts)
     facts: list[tuple] = [(0, 0, 0, 0, None)] * len(texts)
     links = [np.zeros(0, dtype=np.int64)] * len(texts)
     drives: tuple[list[int], list[int]] = [], []
-    for i, (t, x, y) in enumerate(zip(texts, lists_a, lists_b)):
-        whole = (" " + t).encode()
-        if t and b"".join([one.bytes[c] for c in x]) == whole and b"".join([two.bytes[c] for c in y]) == whole:
-            drives[len(x) > len(y)].append(i)
+    for i, ids in enumerate(coded):
+        if ids:
+            drives[len(ids[0]) > len(ids[1])].append(i)
     for kind, docs in enumerate(drives):
         if not docs:
             continue
-        flat = [(np.fromiter(chain.from_iterable(lists[i] for i in docs), dtype=np.int64), np.array([len(lists[i]) for i in docs])) for lists in (lists_a, lists_b)]
+        flat = [(np.frombuffer(b"".join([coded[i][side] for i in docs]), dtype="<i4").astype(np.int64), np.array([len(coded[i][side]) // 4 for i in docs])) for side in (0, 1)]
         (a, a_sizes), (b, b_sizes) = flat
         found = Aligned(a, b, a_sizes, b_sizes, np.cumsum(one.lengths[a]), np.cumsum(two.lengths[b]), kind == 0)
         spelt = found.written(words, n)
@@ -194,8 +286,8 @@ def _chunk_rows(chunk: int, ids: list, facts: list[tuple], links: list[np.ndarra
 def _aligner(first: bytes, second: bytes, with_groups: bool):
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        one, two = _loaded(ByteLevel, first), _loaded(Pieces, second)
-        n = max(len(one.bytes), len(two.bytes))
+        coder = _coder(first, second)
+        n = max(len(side.bytes) for side in coder.sides)
         words = [f"{i}{end}" for end in ",|;" for i in range(n)]
         chunk, ids, facts, links, size = None, [], [], [], 0
         for batch, rows in row_numbers(batches):
@@ -208,7 +300,7 @@ def _aligner(first: bytes, second: bytes, with_groups: bool):
                 while end < len(texts) and run < RUN_BYTES:
                     run += 4 + len(texts[end])
                     end += 1
-                more, found = _align(one, two, texts[start:end], words, n)
+                more, found = _align(coder, texts[start:end], words, n)
                 ids, facts, links, size = ids + own_ids[start:end], facts + more, links + found, size + run
                 start = end
                 if size >= CHUNK_BYTES:

@@ -1,6 +1,7 @@
 """Token alignment against a plain double loop, the galloping search, and edge frames."""
 
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -99,3 +100,24 @@ def test_empty_table(spark):
 def test_gallop_counts_smaller_entries(needles, hay, lane):
     needles, hay = (np.array(sorted(set(x)), dtype=np.int64) for x in (needles, hay))
     assert gallop(needles, hay, lane).tolist() == np.searchsorted(hay, needles).tolist()
+
+
+def test_words_make_the_whole(sides):
+    """Coding word by word gives what the libraries give for whole texts, whatever stands around blanks."""
+    coder = token_alignment.Coder(*sides)
+    assert coder.by_word
+    rng = random.Random(4)
+    pool = [" ", " ", "  ", "\n", "\t", "\u3000", "\xa0", "\x1c", "'s", "'", "a", "the", "12", "é", "漢", "🙂", ".", "▁", "ß-x", "\u180e", "\u200b", "<s>", "don't", "\x00"]
+    texts = ["".join(rng.choices(pool, k=rng.randint(1, 12))) for _ in range(4000)]
+    for start in range(0, len(texts), 100):
+        part = texts[start : start + 100]
+        for t, got, *whole in zip(part, coder(part), *(s.encode(part) for s in sides)):
+            right = all(b"".join(s.bytes[i] for i in ids) == (" " + t).encode() for s, ids in zip(sides, whole))
+            assert (got and [np.frombuffer(x, dtype="<i4").tolist() for x in got]) == (whole if right else None), repr(t)
+
+
+def test_words_beyond_those_remembered(sides, monkeypatch):
+    monkeypatch.setattr(token_alignment, "KNOWN_WORDS", 3)
+    full, small = token_alignment.Coder(*sides), token_alignment.Coder(*sides)
+    texts = ["a b c", "d ▁ a", "e f ▁", "a d e", "▁ x", "b b b"]
+    assert [small([t])[0] for t in texts] == full(texts) and len(small.known) == 3
