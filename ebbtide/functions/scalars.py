@@ -39,9 +39,16 @@ def months_crossed(start: Column, end: Column) -> Column:
 NUMBER = "(?i)^\\s*[+-]?(\\d+\\.?\\d*(e[+-]?\\d+)?|\\.\\d+(e[+-]?\\d+)?|inf|infinity|nan)\\s*$"
 
 
+NUMERIC_TYPES = "^(tinyint|smallint|int|bigint|float|double|decimal.*)$"
+
+
 def real(c: Column) -> Column:
-    """A number or numeric text as double, NULL where it is not a number."""
-    return F.when(c.cast("string").rlike(NUMBER), c.try_cast("double"))
+    """A number or numeric text as double, NULL where it is not a number.
+
+    The type is known when the plan is optimised, so columns of numbers are only cast and no text is matched.
+    """
+    readable = F.typeof(c).rlike(NUMERIC_TYPES) | c.cast("string").rlike(NUMBER)
+    return F.when(readable, c.try_cast("double"))
 
 
 def whole(c: Column) -> Column:

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from ebbtide.operators import profile, rollup, snapshot
 from tests.test_snapshot import ANCHORS, MEMBERS, TX, USAGE
@@ -62,3 +63,12 @@ def test_roll_ups_of_raw_events_do_not_sort_them(no_broadcast, stored):
     assert "SortAggregate" not in plan_of(rollup.monthly_transactions(rollup.dedupe_events(tx, tx)))
     labels = stored("msno string, cohort string, target_expiry_month string, is_churn int", "labels")
     assert "SortAggregate" not in plan_of(rollup.cohort_anchors(labels, tx))
+
+
+def test_numbers_are_not_matched_as_text(spark):
+    """The pattern for numeric text stays out of plans over columns of numbers."""
+    typed = spark.createDataFrame([], "msno string, date string, num_25 int, num_50 bigint, num_75 int, num_985 int, num_100 int, num_unq decimal(9,0), total_secs double")
+    text = typed.select(*[F.col(c).cast("string").alias(c) for c in typed.columns])
+    for logs, expected in ((typed, False), (text, True)):
+        plan = rollup.monthly_clean_usage(logs)._jdf.queryExecution().optimizedPlan().toString()
+        assert ("RLIKE" in plan) == expected
