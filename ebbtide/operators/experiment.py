@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import ratio
 from ebbtide.operators.prepare import shuffle_key
-from ebbtide.operators.rank import ranked
+from ebbtide.operators.rank import hexadecimal, ranked
 from ebbtide.spec import ID, LABEL, ActionTexts
 from ebbtide.operators.queue import suggested_action
 
@@ -39,7 +39,7 @@ def assign_arms(
         new = customers.join(previous.select(id_col), id_col, "left_anti")
     mixed = ranked(
         new.withColumn("_mix", shuffle_key(id_col, seed)),
-        [F.col("_mix"), F.col(id_col)],
+        [hexadecimal(F.col("_mix")), F.col(id_col)],
         ["route"],
         rank="_place",
     )

@@ -30,7 +30,7 @@ from ebbtide.operators.prepare import (
     stratified_split,
 )
 from ebbtide.operators.lookup import attach
-from ebbtide.operators.rank import ranked
+from ebbtide.operators.rank import hexadecimal, ranked
 from ebbtide.session import durable, ensure_checkpoint_dir
 from ebbtide.spec import (
     CATEGORICAL_FEATURES,
@@ -286,7 +286,7 @@ def permutation_importance(
     """
     base = ranked(
         sample.select(id_col, label, *features).withColumn("_mix", shuffle_key(id_col, f"{seed}:base")),
-        [F.col("_mix"), F.col(id_col)],
+        [hexadecimal(F.col("_mix")), F.col(id_col)],
         rank="_place",
     ).drop("_mix", "total")
     rounds = F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat")
@@ -295,7 +295,7 @@ def permutation_importance(
             "_mix",
             F.md5(F.concat(F.lit(f"{seed}:"), F.col("repeat").cast("string"), F.lit(":"), F.col(id_col))),
         ),
-        [F.col("_mix"), F.col(id_col)],
+        [hexadecimal(F.col("_mix")), F.col(id_col)],
         ["repeat"],
         rank="_place",
     ).select("repeat", "_place", "_donor")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import is_finite, ratio, real
 from ebbtide.operators.lookup import attach
-from ebbtide.operators.rank import exact_quantiles, ranked
+from ebbtide.operators.rank import exact_quantiles, hexadecimal, ranked
 from ebbtide.session import durable
 from ebbtide.spec import (
     CATEGORICAL_FEATURES,
@@ -98,7 +98,7 @@ def _quotas(sizes: DataFrame, wanted: Column, by: str) -> DataFrame:
 def _pick(df: DataFrame, quotas: DataFrame, label: str, id_col: str, seed: int | str) -> DataFrame:
     mixed = ranked(
         df.withColumn("_mix", shuffle_key(id_col, seed)),
-        [F.col("_mix"), F.col(id_col)],
+        [hexadecimal(F.col("_mix")), F.col(id_col)],
         [label],
         rank="_place",
         total="_size",

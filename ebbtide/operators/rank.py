@@ -1,8 +1,7 @@
 """Exact global ranks, running totals and quantiles without a single-task window or a stored copy.
 
 Cut points of the full ordering (ending in a unique id) are fixed once, from a sample of rows taken by a hash of
-their keys. The part of a row is then a plain expression, a binary search among the cuts, so any
-scan gives the same answer. The position of a row is its place inside its part, from a window over
+their keys. The part of a row is then a plain expression, so any scan gives the same answer. The position of a row is its place inside its part, from a window over
 that part, plus the number of rows in the parts before it; only one small row per part (and group) is
 needed for that. A block of tied scores, however large, is cut by id.
 
@@ -12,53 +11,99 @@ The input must give the same rows whenever it is read; store it first if it hold
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows of a part, about, and sampled keys for each of them.
 ROWS_PER_PART, KEYS_PER_PART = 2_000_000, 20
+#: More than there are cuts.
+CUTS = 2**24
 
 
-def falling(c: Column) -> Column:
+@dataclass(frozen=True)
+class Key:
+    """An ascending ordering expression, missing values first, and a number that never falls along it."""
+
+    column: Column
+    code: Column
+
+
+def _code(c: Column, missing: float) -> Column:
+    """A finite number, and no negative zero."""
+    bounded = F.greatest(F.least(c.cast("double"), F.lit(sys.float_info.max)), F.lit(-sys.float_info.max))
+    return F.when(c.isNull(), missing).otherwise(bounded) + F.lit(0.0)
+
+
+def rising(c: Column) -> Key:
+    """An ordering by number, missing ones first."""
+    return Key(c, _code(c, -sys.float_info.max))
+
+
+def falling(c: Column) -> Key:
     """An ordering by falling number, missing ones last."""
-    return F.struct(c.isNull().alias("missing"), (-c).alias("negated"))
+    return Key(F.struct(c.isNull().alias("missing"), (-c).alias("negated")), _code(-c, sys.float_info.max))
+
+
+def hexadecimal(c: Column) -> Key:
+    """An ordering by lower-case hexadecimal text of one length."""
+    return Key(c, _code(F.conv(F.substring(c, 1, 12), 16, 10), -sys.float_info.max))
+
+
+def _columns(order: Sequence[Column | Key]) -> list[Column]:
+    return [k.column if isinstance(k, Key) else k for k in order]
 
 
-def _cuts(keys: DataFrame, parts: int, n: int) -> tuple[DataFrame, int]:
-    """One row with the sorted cut points among the keys, and how many there are at most.
+def _part(df: DataFrame, order: Sequence[Column | Key]) -> DataFrame:
+    """The rows with the part they fall in; parts rise along the order.
 
-    A key is sampled by its hash, so equal keys are one, and the same ones are found again.
+    The cuts are every so-manieth of the keys whose hash is low enough, so equal keys are one and any layout
+    of the rows has the same cuts. Numbers are looked up in them by Spark's bucketizer; only where several cuts
+    have one number (ties) is the whole key searched among them.
     """
+    n = df.count()
+    parts = max(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / ROWS_PER_PART))
+    code = order[0].code if isinstance(order[0], Key) else F.lit(0.0)
+    key = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(_columns(order))])
+    keys = df.select(code.alias("code"), key.alias("key"))
     share = parts * KEYS_PER_PART / max(n, 1)
     if share < 1:
         keys = keys.where(F.xxhash64("key") < F.lit(int(share * 2**64) - 2**63))
-    # Local rows: later plans can't see other cuts.
-    rows = keys.distinct().toArrow()
-    step = max(1, math.ceil(rows.num_rows / parts))
-    sample = keys.sparkSession.createDataFrame(rows, keys.schema)
-    every = F.filter(F.array_sort(F.collect_list("key")), lambda _, i: (i + 1) % step == 0)
-    return sample.agg(every.alias("cuts")), rows.num_rows // step
-
-
-def _laid_out(df: DataFrame, order: Sequence[Column], by: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    step = F.greatest(F.lit(1), F.ceil(F.size("keys") / F.lit(parts)))
+    sample = keys.agg(F.array_sort(F.collect_set(F.struct("code", "key"))).alias("keys")).select(
+        F.filter("keys", lambda _, i: (i + 1) % step == 0).alias("cuts")
+    )
+    tied = F.filter("cuts", lambda x, i: (F.get("cuts.code", i - 1) == x["code"]) | (F.get("cuts.code", i + 1) == x["code"]))
+    sample = sample.select("cuts.code", F.transform(tied, lambda x: x["key"]).alias("ties"))
+    codes, ties, many = sample.select("code", F.to_json("ties"), F.size("ties")).first()
+    splits = sorted(set(codes))
+    out = df.withColumn("_part", F.lit(0))
+    if splits and isinstance(order[0], Key):
+        spread = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol="_code", outputCol="_bucket", handleInvalid="keep")
+        out = spread.transform(df.withColumn("_code", code)).withColumn("_part", F.col("_bucket").cast("long")).drop("_code", "_bucket")
+    if not many:
+        return out
+    cuts = F.from_json(F.lit(ties), sample.schema["ties"].dataType)
+
+    def advance(place: Column, step: Column) -> Column:
+        return F.when((place + step <= many) & (F.get(cuts, place + step - 1) <= key), place + step).otherwise(place)
+
+    steps = F.array(*[F.lit(2**i) for i in reversed(range(many.bit_length()))])
+    shared = [c for c in set(codes) if codes.count(c) > 1]
+    within = F.when(code.isin(shared), F.aggregate(steps, F.lit(0), advance))
+    # of a bucket, rows with the shared number come first
+    return out.withColumn("_part", F.col("_part") * CUTS + F.coalesce(within, F.lit(CUTS - 1)))
+
+
+def _laid_out(df: DataFrame, order: Sequence[Column | Key], by: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """The rows with their part (and group, as text that is never missing), and the names of these columns."""
-    key = F.struct(*[F.col(b) for b in by], *[c.alias(f"_{i}") for i, c in enumerate(order)])
-    n = df.count()
-    parts = max(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / ROWS_PER_PART))
-    cuts, many = _cuts(df.select(key.alias("key")), parts, n)
-    at = F.lit(0)
-    if many:
-        steps = F.array(*[F.lit(2**i) for i in reversed(range(many.bit_length()))])
-
-        def advance(place: Column, step: Column) -> Column:
-            held = (place + step <= many) & (F.get("_cuts", place + step - 1) <= F.col("_key"))
-            return F.when(held, place + step).otherwise(place)
-
-        at = F.aggregate(steps, F.lit(0), advance)
-    laid = df.withColumns({"_cuts": cuts.scalar(), "_key": key}).withColumn("_part", at).drop("_cuts", "_key")
+    laid = _part(df, order)
     if not by:
         return laid, ["_part"]
     return laid.withColumn("_group", F.to_json(F.struct(*by))), ["_group", "_part"]
@@ -78,25 +123,26 @@ def _offsets(laid: DataFrame, keys: Sequence[str], sums: Mapping[str, Column]) -
 
 def ranked(
     df: DataFrame,
-    order: Sequence[Column],
+    order: Sequence[Column | Key],
     by: Sequence[str] = (),
     rank: str = "rank",
     total: str = "total",
 ) -> DataFrame:
     """Add the 1-based position of each row under ``order`` (per group ``by``) and the group size.
 
-    ``order`` holds ascending expressions, missing values first (see :func:`falling`), and must end in a column that is
-    unique within the group; the result is then the same for every partitioning of the input.
+    ``order`` holds ascending expressions, missing values first, and must end in a column that is unique within the
+    group; the result is then the same for every partitioning of the input. Where the first is a :class:`Key`, as
+    :func:`falling` gives, parts are found by its number, else by a slower search among whole keys.
     """
     laid, keys = _laid_out(df, order, list(by))
-    placed = laid.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    placed = laid.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*_columns(order))))
     return placed.join(_offsets(laid, keys, {"n": F.count("*")}), keys).select(
         *df.columns, (F.col("_place") + F.col("_o_n")).alias(rank), F.col("_t_n").alias(total)
     )
 
 
-def _with_totals(rows: DataFrame, laid: DataFrame, keys: Sequence[str], order: Sequence[Column], values: Sequence[str]) -> DataFrame:
-    so_far = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _with_totals(rows: DataFrame, laid: DataFrame, keys: Sequence[str], order: Sequence[Column | Key], values: Sequence[str]) -> DataFrame:
+    so_far = Window.partitionBy(*keys).orderBy(*_columns(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = rows.select("*", *[F.sum(v).over(so_far).alias(f"_c_{v}") for v in values])
     out = summed.join(_offsets(laid, keys, {v: F.sum(v) for v in values}), list(keys))
     return out.select(
@@ -108,7 +154,7 @@ def _with_totals(rows: DataFrame, laid: DataFrame, keys: Sequence[str], order: S
 
 def running_totals(
     df: DataFrame,
-    order: Sequence[Column],
+    order: Sequence[Column | Key],
     values: Sequence[str],
     by: Sequence[str] = (),
 ) -> DataFrame:
@@ -135,7 +181,7 @@ def totals_by_value(
     are shuffled.
     """
     rows = df.select(*by, value.alias(name), *[c.alias(s) for s, c in sums.items()])
-    order = [falling(F.col(name)) if descending else F.col(name)]
+    order = [falling(F.col(name)) if descending else rising(F.col(name))]
     laid, keys = _laid_out(rows, order, list(by))
     counts = laid.groupBy(*by, *keys, name).agg(*[F.sum(s).alias(s) for s in sums])
     return _with_totals(counts, laid, keys, order, list(sums))
@@ -193,25 +239,19 @@ def _narrowed(values: DataFrame, brackets: Sequence[_Bracket]) -> list[_Bracket]
 
 
 def _at_places(values: DataFrame, brackets: Sequence[_Bracket]) -> DataFrame:
-    """``column``, ``place``, ``value``: of the rows, those below a bracket are counted and those within it ordered."""
-    per_column: dict[str, list[_Bracket]] = {}
-    for b in brackets:
-        per_column.setdefault(b.column, []).append(b)
-
-    def met(c: str, own: list[_Bracket]) -> Column:
-        """The column's brackets that a value is in or below, with the value or, below, with none."""
-        v = F.col(f"`{c}`")
-        bounds = F.array(*[F.struct(F.lit(b.place).alias("place"), F.lit(b.low).alias("low"), F.lit(b.high).alias("high")) for b in own])
-        return F.transform(
-            F.filter(bounds, lambda b: v <= b["high"]),
-            lambda b: F.struct(F.lit(c).alias("column"), b["place"].cast("long").alias("place"), F.when(v >= b["low"], v).alias("value")),
-        )
-
-    found = [met(c, own) for c, own in per_column.items()]
-    counts = values.select(F.inline(F.flatten(F.array(*found)))).groupBy("column", "place", "value").agg(F.count("*").alias("_n"))
-    up_to = Window.partitionBy("column", "place").orderBy(F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    held = counts.withColumn("_to", F.sum("_n").over(up_to))
-    return held.where((F.col("_to") > F.col("place")) & (F.col("_to") - F.col("_n") <= F.col("place"))).select("column", "place", "value")
+    """``column``, ``place``, ``value``: the rows below a bracket are counted, and the values within it are ordered."""
+    own = [F.col(f"`{b.column}`") for b in brackets]
+    below = values.agg(*[F.count_if(v < b.low).alias(f"n{i}") for i, (v, b) in enumerate(zip(own, brackets))]).first()
+    rows = [(b.column, b.place, b.low, b.high, n) for b, n in zip(brackets, below)]
+    places = values.sparkSession.createDataFrame(rows, "column string, place long, low double, high double, below long")
+    within = {c: reduce(or_, [v.between(b.low, b.high) for v, b in zip(own, brackets) if b.column == c]) for c in values.columns if any(b.column == c for b in brackets)}
+    near = values.where(reduce(or_, within.values())).select(*[F.when(w, F.col(f"`{c}`")).alias(c) for c, w in within.items()])
+    long = near.unpivot([], list(within), "column", "value").where("value is not null")
+    # As many rows as there are places asked for.
+    met = long.groupBy("column", "value").agg(F.count("*").alias("n")).join(F.broadcast(places), "column").where(F.col("value").between(F.col("low"), F.col("high")))
+    up_to = Window.partitionBy("column", "place").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = met.withColumn("to", F.sum("n").over(up_to) + F.col("below"))
+    return held.where((F.col("to") > F.col("place")) & (F.col("to") - F.col("n") <= F.col("place"))).select("column", "place", "value")
 
 
 def exact_quantiles(
