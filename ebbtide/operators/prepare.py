@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import is_finite, ratio, real
-from ebbtide.operators.lookup import attach
-from ebbtide.operators.rank import exact_quantiles, hexadecimal, ranked
+from ebbtide.operators.lookup import attach, bounded
+from ebbtide.operators.rank import exact_quantiles, ranked
 from ebbtide.session import durable
 from ebbtide.spec import (
     CATEGORICAL_FEATURES,
@@ -21,6 +21,8 @@ from ebbtide.spec import (
 )
 
 INFREQUENT_LEVEL = "infrequent"
+#: Hexadecimal digits of a hash, digits that one histogram looks at, and rows that one task may order.
+HASH_DIGITS, RADIX_DIGITS, RADIX_ROWS = 32, 3, 100_000
 
 
 def numeric_value(column: str) -> Column:
@@ -95,17 +97,52 @@ def _quotas(sizes: DataFrame, wanted: Column, by: str) -> DataFrame:
     )
 
 
-def _pick(df: DataFrame, quotas: DataFrame, label: str, id_col: str, seed: int | str) -> DataFrame:
-    mixed = ranked(
-        df.withColumn("_mix", shuffle_key(id_col, seed)),
-        [hexadecimal(F.col("_mix")), F.col(id_col)],
-        [label],
-        rank="_place",
-        total="_size",
+def _held(df: DataFrame) -> DataFrame:
+    """The rows as they are now: local if they are few, else stored."""
+    small = bounded(df)
+    return durable(df) if small is None else small
+
+
+def _histogram(rows: DataFrame, by: Sequence[str], depth: int) -> DataFrame:
+    digits = F.substring("_mix", depth + 1, RADIX_DIGITS).alias("_digits")
+    return _held(rows.groupBy(*by, digits).agg(F.count("*").alias("_n")))
+
+
+def _ends(counts: DataFrame, label: str) -> DataFrame:
+    """Per class the digits in which its first ``_left`` rows end, and how many of these are left there."""
+    up_to = Window.partitionBy(label).orderBy("_digits").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.col("_to") - F.col("_n")
+    ends = counts.withColumn("_to", F.sum("_n").over(up_to)).where((F.col("_to") >= F.col("_left")) & (before < F.col("_left")))
+    found = ends.select(label, F.concat("_prefix", "_digits").alias("_prefix"), (F.col("_left") - before).alias("_left"), "_n")
+    return _held(found)
+
+
+def _pick(df: DataFrame, wanted: Callable[[Column], Column], label: str, id_col: str, seed: int | str) -> DataFrame:
+    """Mark the first rows of each class in a seeded order of the ids, ``wanted`` (of the number of rows) altogether.
+
+    Radix selection: a histogram of the next digits of the hashes finds the stretch in which a class's quota ends, scan by
+    scan, until it holds few rows; only those are ordered. The rows themselves are marked by a filter, and none moves.
+    """
+    rows = df.select(label, shuffle_key(id_col, seed).alias("_mix"), F.col(id_col).alias("_id"))
+    counts = _histogram(rows, [label], 0)
+    sizes = counts.groupBy(label).agg(F.sum("_n").alias("_n"))
+    quotas = _quotas(sizes, wanted(F.sum("_n").over(Window.partitionBy())), label).select(
+        F.col(label).alias("_class"), F.lit("").alias("_prefix"), F.col("_quota").alias("_left")
     )
-    return attach(mixed, quotas, [label]).withColumn(
-        "_picked", F.col("_place") <= F.col("_quota")
-    ).drop("_mix", "_place", "_size", "_quota")
+    state = _ends(counts.join(quotas, F.col(label).eqNullSafe(F.col("_class"))).drop("_class"), label)
+    depth = RADIX_DIGITS
+
+    def near() -> DataFrame:
+        return attach(rows, state, [label]).where(F.substring("_mix", 1, depth) == F.col("_prefix"))
+
+    while depth < HASH_DIGITS and (state.agg(F.max("_n")).first()[0] or 0) > RADIX_ROWS:
+        state = _ends(_histogram(near(), [label, "_prefix", "_left"], depth), label)
+        depth += RADIX_DIGITS
+    placed = near().withColumn("_place", F.row_number().over(Window.partitionBy(label).orderBy("_mix", "_id")))
+    last = placed.where(F.col("_place") == F.col("_left")).select(label, F.col("_mix").alias("_last_mix"), F.col("_id").alias("_last_id"))
+    ended = attach(df.withColumn("_mix", shuffle_key(id_col, seed)), last, [label])
+    picked = F.col("_last_mix").isNotNull() & (F.struct("_mix", F.col(id_col)) <= F.struct("_last_mix", "_last_id"))
+    return ended.withColumn("_picked", picked).drop("_mix", "_last_mix", "_last_id")
 
 
 def stratified_split(
@@ -115,12 +152,10 @@ def stratified_split(
 
     The test part has ``ceil(test_share * n)`` rows. The training rows of each
     class are the first ones in a seeded pseudo-random order of the ids, so the
-    split does not depend on partitioning.
+    split does not depend on partitioning. Ids have to be unique within a class: rows
+    that share one fall on the same side.
     """
-    sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
-    n = F.sum("_n").over(Window.partitionBy())
-    train = n - F.ceil(F.lit(float(test_share)) * n.cast("double"))
-    picked = _pick(df, _quotas(sizes, train, label), label, id_col, seed)
+    picked = _pick(df, lambda n: n - F.ceil(F.lit(float(test_share)) * n.cast("double")), label, id_col, seed)
     return picked.withColumn("split", F.when(F.col("_picked"), "train").otherwise("test")).drop("_picked")
 
 
@@ -128,9 +163,7 @@ def stratified_sample(
     df: DataFrame, n: int, seed: int | str = 42, label: str = LABEL, id_col: str = ID
 ) -> DataFrame:
     """``min(n, rows)`` rows with the class shares of the input."""
-    sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
-    wanted = F.least(F.lit(n).cast("bigint"), F.sum("_n").over(Window.partitionBy()))
-    picked = _pick(df, _quotas(sizes, wanted, label), label, id_col, seed)
+    picked = _pick(df, lambda rows: F.least(F.lit(n).cast("bigint"), rows), label, id_col, seed)
     return picked.where("_picked").drop("_picked")
 
 

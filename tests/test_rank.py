@@ -1,3 +1,4 @@
+import hashlib
 import random
 from pathlib import Path
 
@@ -216,3 +217,26 @@ def test_sample_is_capped_at_the_rows_there_are(spark):
     per_class = prepare.stratified_sample(df, 10).groupBy("is_churn").count()
     assert sorted(tuple(r) for r in per_class.collect()) == [(0, 5), (1, 5)]
     assert prepare.stratified_sample(df, 1000).count() == 30
+
+
+@pytest.mark.parametrize("digits, most", [(1, 1), (1, 10), (2, 3), (3, 100_000)])
+def test_radix_selection_equals_an_order(spark, monkeypatch, digits, most):
+    """The members are the first of each class by hash and id, whatever the number of scans that find them."""
+    monkeypatch.setattr(prepare, "RADIX_DIGITS", digits)
+    monkeypatch.setattr(prepare, "RADIX_ROWS", most)
+    data = [(f"c{i}", [0, 0, 0, 0, 1, 1, None][i % 7]) for i in range(400)] + [("lone", 9)]
+    df = spark.createDataFrame(data, "msno string, is_churn int").repartition(4)
+    split = {r.msno: r.split for r in prepare.stratified_split(df, seed=7).collect()}
+    sample = {r.msno for r in prepare.stratified_sample(df, 57, seed=7).collect()}
+    assert len(split) == 401 and len(sample) == 57
+    for chosen in ({i for i, part in split.items() if part == "train"}, sample):
+        for c in (0, 1, None, 9):
+            order = sorted((i for i, k in data if k == c), key=lambda i: (hashlib.md5(f"7:{i}".encode()).hexdigest(), i))
+            own = [i for i in order if i in chosen]
+            assert own == order[: len(own)]
+
+
+def test_selection_moves_no_row(spark):
+    plan = prepare.stratified_split(spark.range(100).select(F.col("id").cast("string").alias("msno"), (F.col("id") % 2).alias("is_churn")))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in text and "Window" not in text and "Sort" not in text
