@@ -746,8 +746,16 @@ BODIES: dict[str, str] = {
             FROM orders GROUP BY 1, 2),
         runs AS (SELECT run_id, CAST(SUM(n) AS BIGINT) AS rows, CAST(SUM(n - 1) AS BIGINT) AS duplicate_rows,
             strftime(MAX(latest), '%Y%m%d') AS latest_feature_date FROM per_id GROUP BY run_id),
-        c AS (SELECT *, lag(rows) OVER (ORDER BY run_id) AS before, lag(latest_feature_date) OVER (ORDER BY run_id) AS seen FROM runs)
-        SELECT run_id, rows, duplicate_rows, latest_feature_date, ROUND((rows - before) / CAST(before AS DOUBLE), 6) AS row_change,
+        c AS (SELECT *, lag(rows) OVER (ORDER BY run_id) AS before, lag(latest_feature_date) OVER (ORDER BY run_id) AS seen,
+            lag(run_id) OVER (ORDER BY run_id) AS earlier FROM runs),
+        kinds AS (SELECT strftime(o_orderdate, '%Y%m') AS run_id, least(floor(o_totalprice / 30000) + 1, 10) AS decile, COUNT(*) AS n FROM orders GROUP BY 1, 2),
+        every AS (SELECT c.run_id, c.earlier, c.rows, c.before, k.decile FROM c CROSS JOIN (SELECT DISTINCT decile FROM kinds) k WHERE c.earlier IS NOT NULL),
+        shifts AS (SELECT e.run_id, bool_or(CASE WHEN a.n IS NULL AND b.n IS NULL THEN FALSE
+                WHEN a.n IS NULL OR b.n IS NULL THEN TRUE
+                ELSE abs(a.n / CAST(e.rows AS DOUBLE) - b.n / CAST(e.before AS DOUBLE)) > 0.04 END) AS moved
+            FROM every e LEFT JOIN kinds a ON a.run_id = e.run_id AND a.decile = e.decile
+            LEFT JOIN kinds b ON b.run_id = e.earlier AND b.decile = e.decile GROUP BY e.run_id)
+        SELECT run_id, COALESCE((SELECT moved FROM shifts WHERE shifts.run_id = c.run_id), FALSE) AS decile_alert, rows, duplicate_rows, latest_feature_date, ROUND((rows - before) / CAST(before AS DOUBLE), 6) AS row_change,
             COALESCE(abs((rows - before) / CAST(before AS DOUBLE)) > 0.5, FALSE) AS volume_alert,
             duplicate_rows > 0 AS duplicate_alert, COALESCE(latest_feature_date <= seen, FALSE) AS freshness_alert FROM c""",
 }

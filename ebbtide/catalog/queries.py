@@ -872,11 +872,13 @@ def feature_drift(spark, d):
 
 @query
 def control_limits(spark, d):
-    """Order months as batches: volume and repeat customers against the batch before."""
+    """Order months as batches: volume, repeat customers and value classes against the batch before."""
     orders = A.table(spark, d, "orders").select(
         F.date_format("o_orderdate", "yyyyMM").alias("run_id"),
         A.customer_id("o_custkey"),
         F.to_date("o_orderdate").alias("feature_date"),
+        F.least(F.floor(F.col("o_totalprice") / 30000) + 1, F.lit(10)).alias("risk_decile"),
     )
     runs = monitoring.run_metrics(orders, "run_id", "msno", "feature_date")
-    return rounded(monitoring.control_limits(runs, max_change=0.5), {"row_change": 6})
+    deciles = monitoring.decile_counts(orders, "run_id")
+    return rounded(monitoring.control_limits(runs, 0.5, deciles, max_decile_shift=0.04), {"row_change": 6})

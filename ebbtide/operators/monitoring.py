@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import ratio
 from ebbtide.operators.prepare import align_categories, category_schema, numeric_value
-from ebbtide.operators.rank import exact_quantiles
+from ebbtide.operators.rank import exact_quantiles, ranked
 
 
 def _missing(df: DataFrame, numeric: Sequence[str], categories: Sequence[str], name: str) -> DataFrame:
@@ -93,16 +93,36 @@ def run_metrics(batches: DataFrame, run_col: str, id_col: str, date_col: str) ->
     )
 
 
-def control_limits(runs: DataFrame, max_change: float = 0.5) -> DataFrame:
+def decile_counts(batches: DataFrame, run_col: str, decile_col: str = "risk_decile") -> DataFrame:
+    """Rows per scoring run and decile."""
+    return batches.groupBy(F.col(run_col).alias("run_id"), F.col(decile_col).alias("decile")).agg(F.count("*").alias("decile_rows"))
+
+
+def _decile_alerts(numbered: DataFrame, deciles: DataFrame, max_shift: float) -> DataFrame:
+    """``run_id`` and whether a decile's share of the run moved, or a decile appeared or went, since the run before."""
+    counts = deciles.join(numbered.select("run_id", "rows", "_no"), "run_id")
+    shares = counts.select("_no", "decile", ratio(F.col("decile_rows"), F.col("rows")).alias("_share"))
+    before = shares.select((F.col("_no") + 1).alias("_no"), "decile", F.col("_share").alias("_was"))
+    both = shares.join(before, (shares["_no"] == before["_no"]) & shares["decile"].eqNullSafe(before["decile"]), "full")
+    moved = F.coalesce(F.abs(F.col("_share") - F.col("_was")) > max_shift, F.lit(True))
+    per_run = both.select(F.coalesce(shares["_no"], before["_no"]).alias("_no"), moved.alias("_moved")).groupBy("_no").agg(F.max("_moved").alias("_moved"))
+    return numbered.join(per_run, "_no", "left").select("run_id", (F.coalesce("_moved", F.lit(False)) & (F.col("_no") > 1)).alias("decile_alert"))
+
+
+def control_limits(
+    runs: DataFrame, max_change: float = 0.5, deciles: DataFrame | None = None, max_decile_shift: float = 0.05
+) -> DataFrame:
     """Compare every run with the one before it and flag volume, duplicates and stale features.
 
-    ``runs`` has one row per scoring run.
+    ``runs`` has one row per scoring run. With ``deciles`` (see :func:`decile_counts`) a column ``decile_alert`` tells
+    runs in which the share of a decile moved by more than ``max_decile_shift`` or a decile came or went.
+    Runs are numbered by a distributed rank and joined to the one before by number.
     """
-    ordered = Window.orderBy("run_id")
-    rows, before = F.col("rows"), F.lag("rows").over(ordered)
-    change = F.try_divide((rows - before).cast("double"), before.cast("double"))
-    stale = F.col("latest_feature_date") <= F.lag("latest_feature_date").over(ordered)
-    return runs.select(
+    numbered = ranked(runs, [F.col("run_id")], rank="_no", total="_runs").drop("_runs")
+    before = numbered.select((F.col("_no") + 1).alias("_no"), F.col("rows").alias("_before"), F.col("latest_feature_date").alias("_seen"))
+    rows = F.col("rows")
+    change = F.try_divide((rows - F.col("_before")).cast("double"), F.col("_before").cast("double"))
+    out = numbered.join(before, "_no", "left").select(
         "run_id",
         "rows",
         "duplicate_rows",
@@ -110,5 +130,6 @@ def control_limits(runs: DataFrame, max_change: float = 0.5) -> DataFrame:
         change.alias("row_change"),
         F.coalesce(F.abs(change) > max_change, F.lit(False)).alias("volume_alert"),
         (F.col("duplicate_rows") > 0).alias("duplicate_alert"),
-        F.coalesce(stale, F.lit(False)).alias("freshness_alert"),
+        F.coalesce(F.col("latest_feature_date") <= F.col("_seen"), F.lit(False)).alias("freshness_alert"),
     )
+    return out if deciles is None else out.join(_decile_alerts(numbered, deciles, max_decile_shift), "run_id")

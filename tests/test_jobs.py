@@ -272,3 +272,14 @@ def test_drift_is_zero_for_equal_data_and_counts_missing(spark):
     assert same["a"] == pytest.approx(0) and same["b"] == pytest.approx(0)
     moved = monitoring.drift(df.withColumn("a", F.col("a") + 50).withColumn("b", F.lit(1.0)), df, ["a", "b"])
     assert all(r.psi > 0.25 for r in moved.collect())
+
+
+def test_a_collapsed_decile_raises_an_alert(spark):
+    """A decile that shrinks, goes or comes is told; the first run and steady ones are not."""
+    sizes = {"r1": [10] * 10, "r2": [20] * 10, "r3": [20] * 9 + [0], "r4": [22] * 9, "r5": [22] * 8 + [2], "r6": [20] * 8 + [2, 3]}
+    data = [(run, f"{run}-{d}-{i}", d) for run, own in sizes.items() for d, n in enumerate(own, 1) for i in range(n)]
+    batches = spark.createDataFrame(data, "run string, msno string, risk_decile int").withColumn("day", F.lit("2017-01-01").cast("date"))
+    runs = monitoring.run_metrics(batches, "run", "msno", "day")
+    found = monitoring.control_limits(runs, deciles=monitoring.decile_counts(batches, "run"))
+    assert {r.run_id: r.decile_alert for r in found.collect()} == {"r1": False, "r2": False, "r3": True, "r4": False, "r5": True, "r6": True}
+    assert "decile_alert" not in monitoring.control_limits(runs).columns
