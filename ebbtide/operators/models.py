@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
@@ -17,12 +17,13 @@ from ebbtide.operators.metrics import average_precision, clipped
 from ebbtide.operators.prepare import (
     align_categories,
     balanced_weights,
-    category_schema,
+    category_value,
     impute,
     incomplete_columns,
     indicator_name,
     level_map,
     medians,
+    numeric_value,
     population_std,
     prepare_categories,
     prepare_numeric,
@@ -31,7 +32,9 @@ from ebbtide.operators.prepare import (
 )
 from ebbtide.operators.lookup import attach
 from ebbtide.operators.rank import hexadecimal, ranked
-from ebbtide.session import durable, ensure_checkpoint_dir
+from ebbtide.operators.trees import BoostedTrees, fit_trees
+from ebbtide.session import durable
+from ebbtide.sources.io import path_exists
 from ebbtide.spec import (
     CATEGORICAL_FEATURES,
     ID,
@@ -43,6 +46,8 @@ from ebbtide.spec import (
 
 PARAMETERS = "column string, fill double, flagged boolean, scale double"
 FEATURES = "features"
+#: Folder of stored trees.
+TREES = "trees"
 
 
 @dataclass
@@ -93,7 +98,10 @@ class ChurnModel:
         self.levels.write.mode("overwrite").parquet(f"{path}/levels")
 
     @staticmethod
-    def load(spark: SparkSession, path: str) -> ChurnModel:
+    def load(spark: SparkSession, path: str) -> ChurnModel | TreeModel:
+        """A stored model of either kind."""
+        if path_exists(spark, f"{path}/{TREES}"):
+            return TreeModel.of_rows(spark.read.parquet(f"{path}/{TREES}"))
         return ChurnModel(
             spark.read.parquet(f"{path}/parameters"),
             spark.read.parquet(f"{path}/levels"),
@@ -167,6 +175,34 @@ def fit_linear(
     return ChurnModel(parameters, levels, Pipeline(stages=stages).fit(data))
 
 
+@dataclass
+class TreeModel:
+    """Boosted trees over prepared inputs; same use as :class:`ChurnModel`."""
+
+    numeric: list[str]
+    categories: list[str]
+    trees: BoostedTrees
+
+    def score(self, df: DataFrame, column: str = "risk_score") -> DataFrame:
+        """Add the score of the positive class."""
+        ready = df.withColumns(_tree_inputs(self.numeric, self.categories))
+        return self.trees.probability(ready, column).select(*df.columns, column)
+
+    def save(self, path: str) -> None:
+        spark = SparkSession.getActiveSession()
+        self.trees.rows(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/{TREES}")
+
+    @staticmethod
+    def of_rows(rows: DataFrame) -> TreeModel:
+        trees = BoostedTrees.of_rows(rows)
+        plain = [[f.removesuffix("_in") for f in kind] for kind in (trees.bins.cuts, trees.bins.levels)]
+        return TreeModel(*plain, trees)
+
+
+def _tree_inputs(numeric: Sequence[str], categories: Sequence[str]) -> dict[str, Column]:
+    return {f"{c}_in": numeric_value(c) for c in numeric} | {f"{c}_in": category_value(c) for c in categories}
+
+
 def fit_boosted(
     train: DataFrame,
     numeric: Sequence[str] = NUMERIC_FEATURES,
@@ -176,72 +212,32 @@ def fit_boosted(
     schema: DataFrame | None = None,
     step: float = 0.08,
     max_iter: int = 150,
-    max_depth: int = 5,
+    max_leaves: int = 31,
     min_leaf: int = 50,
+    l2: float = 1.0,
     validation_share: float = 0.10,
     max_bins: int = 255,
+    patience: int = 15,
     seed: int = 42,
-) -> ChurnModel:
+) -> TreeModel:
     """Class-balanced gradient-boosted trees with early stopping on a stratified tenth.
 
-    Trees have no missing branch in Spark ML, so a missing number is placed below
-    the smallest value seen, next to an indicator. Categories are split natively
-    on the levels of ``schema`` (default: the training levels).
+    Trees grow best first to ``max_leaves`` leaves with an L2 penalty. Missing numbers take a branch that is learnt at
+    each split, categories are parted into sets of levels; levels outside ``schema``, if it is given, are missing.
     """
-    spark = train.sparkSession
-    ensure_checkpoint_dir(spark)
-    levels = (schema if schema is not None else category_schema(train, categories)).select(
-        "feature", "level", F.col("level").alias("model_level")
+    rows = train.select(id_col, label, *numeric, *categories)
+    if schema is not None:
+        rows = align_categories(rows, schema, categories)
+    marked = stratified_split(rows, validation_share, seed, label, id_col)
+    ready = balanced_weights(marked, label).select(
+        F.col(label).alias("label"), "weight", (F.col("split") == "test").alias("is_validation"),
+        *[c.alias(name) for name, c in _tree_inputs(numeric, []).items()],
+        *[(category_value(c) if schema is None else F.col(c)).alias(f"{c}_in") for c in categories],
     )
-    levels = durable(levels)
-    marked = stratified_split(
-        train.select(id_col, label, *numeric, *categories), validation_share, seed, label, id_col
-    )
-    ready = durable(
-        prepare_categories(prepare_numeric(marked, numeric), categories)
-        .withColumn("is_validation", F.col("split") == "test")
-        .select(label, "is_validation", *numeric, *categories)
-    )
-    low = ready.agg(*[F.min(c).alias(c) for c in numeric]).first()
-    flagged = incomplete_columns(ready, numeric)
-    parameters = spark.createDataFrame(
-        [
-            (c, float(low[c]) - 1.0 if low[c] is not None else -1.0, c in flagged, 1.0)
-            for c in numeric
-        ],
-        PARAMETERS,
+    trees = fit_trees(
+        durable(ready), [f"{c}_in" for c in numeric], [f"{c}_in" for c in categories], step, max_iter, max_leaves, min_leaf, l2, max_bins, patience
     )
-    most = levels.groupBy("feature").count().agg(F.max("count")).first()[0] or 0
-    stages = [
-        StringIndexer(
-            inputCols=[f"{c}_in" for c in categories],
-            outputCols=[f"{c}_index" for c in categories],
-            handleInvalid="keep",
-            stringOrderType="alphabetAsc",
-        ),
-        VectorAssembler(
-            inputCols=[f"{c}_in" for c in numeric]
-            + _flag_inputs(flagged)
-            + [f"{c}_index" for c in categories],
-            outputCol=FEATURES,
-        ),
-        GBTClassifier(
-            featuresCol=FEATURES,
-            labelCol=label,
-            weightCol="weight",
-            validationIndicatorCol="is_validation",
-            stepSize=step,
-            maxIter=max_iter,
-            maxDepth=max_depth,
-            minInstancesPerNode=min_leaf,
-            maxBins=max(max_bins, most + 2),
-            checkpointInterval=10,
-            seed=seed,
-        ),
-    ]
-    unfitted = ChurnModel(parameters, levels, None)
-    data = durable(balanced_weights(unfitted.inputs(ready), label))
-    return ChurnModel(parameters, levels, Pipeline(stages=stages).fit(data))
+    return TreeModel(list(numeric), list(categories), trees)
 
 
 def fit_isotonic(
