@@ -472,6 +472,12 @@ BODIES: dict[str, str] = {
             COALESCE(c.invalid_secs_rows, 0) AS invalid_secs_rows, COALESCE(c.capped_secs_rows, 0) AS capped_secs_rows
         FROM usage_raw u LEFT JOIN late_clean c USING (msno, month)""",
     "monthly_clean_usage": "SELECT * FROM usage_clean",
+    "incremental_usage": "SELECT * FROM usage_clean",
+    "available_sources": """
+        SELECT 'customer' AS source, TRUE AS present, COUNT(*) AS rows FROM customer
+        UNION ALL SELECT 'lineitem', TRUE, COUNT(*) FROM lineitem
+        UNION ALL SELECT 'orders', TRUE, COUNT(*) FROM orders
+        UNION ALL SELECT 'refunds', FALSE, 0""",
     "events_daily_usage": """
         SELECT CAST(user_id AS VARCHAR) AS msno, strftime(ts, '%Y%m%d') AS day,
             COUNT(*) FILTER (WHERE event_type = 'click') AS clicks, COUNT(*) AS log_rows,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
@@ -25,6 +26,7 @@ from ebbtide.operators import (
     signals,
     snapshot as snap,
 )
+from ebbtide.operators.incremental import UsageStore
 from ebbtide.plans import score_batch as scoring
 from ebbtide.session import durable, scratch_path
 from ebbtide.sources import io
@@ -252,6 +254,29 @@ def monthly_clean_usage(spark, d):
     return rounded(usage(spark, d), {"total_secs_clean": 2})
 
 
+@query
+def incremental_usage(spark, d):
+    """The two log files as CSV, added one after the other, the first of them twice."""
+    folder = scratch_path(spark, "usage-store")
+    parts = A.logs(spark, d)
+    for name, logs in parts.items():
+        logs.write.option("header", True).csv(f"{folder}/{name}")
+    store = UsageStore(spark, f"{folder}/store")
+    store.add([f"{folder}/v1"])
+    grown = store.add([f"{folder}/v1", f"{folder}/v2"])
+    return rounded(rollup.restrict_to(grown.drop("total_secs"), ids(spark, d)), {"total_secs_clean": 2})
+
+
+@query
+def available_sources(spark, d):
+    """Which of the tables of a list are there, and their rows; one of the list is not."""
+    paths = {name: f"{d}/{name}.parquet" for name in ("customer", "lineitem", "orders", "refunds")}
+    present, absent = io.available(spark, paths, missing="skip")
+    tables = [io.read_table(spark, p).select(F.lit(n).alias("source"), F.lit(True).alias("present")) for n, p in present.items()]
+    counted = reduce(lambda a, b: a.unionByName(b), tables).groupBy("source", "present").agg(F.count("*").alias("rows"))
+    return counted.unionByName(spark.createDataFrame([(n, False, 0) for n in absent], "source string, present boolean, rows long"))
+
+
 @query
 def events_daily_usage(spark, d):
     events = A.table(spark, d, "events").select(

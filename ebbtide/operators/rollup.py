@@ -62,7 +62,7 @@ def restrict_to(df: DataFrame, ids: DataFrame, on: str = ID) -> DataFrame:
     return df.join(ids.select(on).distinct(), on, "left_semi")
 
 
-def _log_period(date_col: str, grain: str) -> Column:
+def log_period(date_col: str, grain: str) -> Column:
     return F.substring(F.col(date_col), 1, PERIOD_LENGTH[grain])
 
 
@@ -77,7 +77,7 @@ def _counter(column: str, bad_numbers: str) -> Column:
     return rounded_to(F.col(column), "bigint")
 
 
-def _usage_sums(counters: Sequence[str], seconds: str, bad_numbers: str) -> list[Column]:
+def usage_sums(counters: Sequence[str], seconds: str, bad_numbers: str) -> list[Column]:
     return [
         *[F.sum(_counter(c, bad_numbers)).alias(c) for c in counters],
         F.coalesce(F.sum(_seconds(seconds)), F.lit(0.0)).alias(seconds),
@@ -85,7 +85,7 @@ def _usage_sums(counters: Sequence[str], seconds: str, bad_numbers: str) -> list
     ]
 
 
-def _clean_sums(seconds: str, cap: float) -> list[Column]:
+def clean_sums(seconds: str, cap: float) -> list[Column]:
     value = real(F.col(seconds))
     finite = is_finite(value)
     invalid = ~finite | (value < 0)
@@ -101,7 +101,7 @@ def _clean_sums(seconds: str, cap: float) -> list[Column]:
 def _by_period(logs: DataFrame, id_col: str, date_col: str, grain: str):
     period = "month" if grain == "month" else grain
     return (
-        logs.withColumn(period, _log_period(date_col, grain))
+        logs.withColumn(period, log_period(date_col, grain))
         .where(F.col(period).isNotNull() & F.col(id_col).isNotNull())
         .groupBy(id_col, period)
     )
@@ -123,7 +123,7 @@ def monthly_usage(
     that are not integers instead of skipping them.
     """
     return _by_period(logs, id_col, date_col, grain).agg(
-        *_usage_sums(counters, seconds, bad_numbers)
+        *usage_sums(counters, seconds, bad_numbers)
     )
 
 
@@ -136,7 +136,7 @@ def monthly_clean_seconds(
     grain: str = "month",
 ) -> DataFrame:
     """Daily seconds with bad values as 0 and long days cut to ``cap``, summed per period."""
-    return _by_period(logs, id_col, date_col, grain).agg(*_clean_sums(seconds, cap))
+    return _by_period(logs, id_col, date_col, grain).agg(*clean_sums(seconds, cap))
 
 
 def merge_clean_seconds(
@@ -167,7 +167,7 @@ def monthly_clean_usage(
     the same logs. ``keep_raw`` keeps the raw seconds next to the clean ones.
     """
     both = _by_period(logs, id_col, date_col, grain).agg(
-        *_usage_sums(counters, seconds, bad_numbers), *_clean_sums(seconds, cap)
+        *usage_sums(counters, seconds, bad_numbers), *clean_sums(seconds, cap)
     )
     return both if keep_raw else both.drop(seconds)
 

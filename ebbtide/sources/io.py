@@ -33,7 +33,7 @@ def available(
     return {n: p for n, p in paths.items() if n not in absent}, absent
 
 
-def read_raw(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_raw(spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Header CSV with every column as text; columns are found by name, never by position."""
     df = spark.read.option("header", True).option("inferSchema", False).csv(path)
     return df.select(*columns) if columns else df
