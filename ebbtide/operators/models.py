@@ -13,7 +13,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.operators.metrics import average_precision, clipped
+from ebbtide.operators.metrics import ap_of_counts, average_precision, clipped
 from ebbtide.operators.prepare import (
     align_categories,
     balanced_weights,
@@ -31,7 +31,7 @@ from ebbtide.operators.prepare import (
     stratified_split,
 )
 from ebbtide.operators.lookup import attach
-from ebbtide.operators.rank import hexadecimal, ranked
+from ebbtide.operators.rank import hexadecimal, ranked, totals_by_value
 from ebbtide.operators.trees import BoostedTrees, fit_trees
 from ebbtide.session import durable
 from ebbtide.sources.io import path_exists
@@ -188,6 +188,18 @@ class TreeModel:
         ready = df.withColumns(_tree_inputs(self.numeric, self.categories))
         return self.trees.probability(ready, column).select(*df.columns, column)
 
+    def swapped_precision(self, pairs: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+        """Average precision per ``feature`` and ``repeat`` if that feature is taken from the row's ``_donor``."""
+        inputs = _tree_inputs(self.numeric, self.categories)
+        ready = F.struct(*[c.alias(n) for n, c in inputs.items()])
+        own = pairs.select("repeat", label, "_donor", ready.alias("_own"))
+        both = own.select("repeat", label, "_own", "_donor.*").select("repeat", label, "_own.*", ready.alias("_other"))
+        counts = self.trees.swapped(both, label, "repeat", "_other")
+        wanted = counts.withColumn("feature", F.regexp_replace("feature", "_in$", "")).where(F.col("feature").isin(list(features)))
+        by = ["feature", "repeat"]
+        totals = totals_by_value(durable(wanted), F.col("score"), "score", {"pos": F.col("pos"), "neg": F.col("neg")}, by, descending=True)
+        return totals.groupBy(*by).agg(ap_of_counts().alias("average_precision"))
+
     def save(self, path: str) -> None:
         spark = SparkSession.getActiveSession()
         self.trees.rows(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/{TREES}")
@@ -276,9 +288,8 @@ def permutation_importance(
     """Drop in average precision when one feature is shuffled, per feature.
 
     Every repeat pairs each row with a donor row through two seeded orders of the
-    same ids. All feature and repeat combinations are scored as one table, so the
-    model runs once over ``rows * features * repeats`` rows. A caller that wants less
-    passes a sample.
+    same ids. Trees score all swaps of a pair within its task and pass on counts of scores; other models score
+    a table of ``rows * features * repeats`` rows, so a caller that wants less passes a sample.
     """
     base = ranked(
         sample.select(id_col, label, *features).withColumn("_mix", shuffle_key(id_col, f"{seed}:base")),
@@ -296,6 +307,9 @@ def permutation_importance(
         rank="_place",
     ).select("repeat", "_place", "_donor")
     paired = base.select("*", rounds).join(donors, ["repeat", "_place"])
+    plain = average_precision(model.score(sample.select(label, *features)), label).first()[0]
+    if isinstance(model, TreeModel):
+        return _drops(model.swapped_precision(paired, features, label), plain)
     variants = paired.select("*", F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"))
 
     def swapped(f: str) -> Column:
@@ -304,12 +318,12 @@ def permutation_importance(
     shuffled = model.score(
         variants.select("feature", "repeat", label, *[swapped(f) for f in features])
     )
-    plain = average_precision(model.score(sample.select(label, *features)), label).first()[0]
-    drops = average_precision(shuffled, label, by=["feature", "repeat"]).select(
-        "feature", (F.lit(plain) - F.col("average_precision")).alias("drop")
-    )
+    return _drops(average_precision(shuffled, label, by=["feature", "repeat"]), plain)
+
+
+def _drops(precision: DataFrame, plain: float) -> DataFrame:
     return (
-        drops.groupBy("feature")
+        precision.withColumn("drop", F.lit(plain) - F.col("average_precision")).groupBy("feature")
         .agg(
             F.avg("drop").alias("average_precision_drop_mean"),
             F.stddev_pop("drop").alias("average_precision_drop_std"),

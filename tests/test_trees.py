@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.operators import metrics, trees
+from ebbtide.operators import metrics, models, trees
 from ebbtide.operators.trees import Bins, BoostedTrees, Grower, Tree, fit_trees
 
 SCHEMA = "label int, weight double, is_validation boolean, a double, b double, k string"
@@ -153,3 +153,19 @@ def test_only_histograms_reach_the_driver(fitted, monkeypatch):
     fit_trees(df.union(df).union(df), ["b"], ["k"], max_iter=1, min_leaf=15, leaves=4)
     passes = [n for n, names in sizes if names[:1] == ["node"]]
     assert passes and max(passes) <= 2 * 2 * 11 + 1
+
+
+def test_importance_by_counts_equals_importance_by_rows(spark):
+    """Swapping within a task gives what scoring a table of all swapped rows gives."""
+    rows = [(f"u{i}", r[0], *r[3:]) for i, r in enumerate(planted(600))]
+    df = spark.createDataFrame(rows, "msno string, is_churn int, a double, b double, k string").repartition(3)
+    model = models.fit_boosted(df, ["a", "b"], ["k"], max_iter=4, min_leaf=15)
+
+    class Plain:
+        score = staticmethod(model.score)
+
+    found, expected = ({r.feature: (r[1], r[2]) for r in models.permutation_importance(m, df, ["a", "b", "k"], repeats=2).collect()} for m in (model, Plain))
+    assert found.keys() == expected.keys() == {"a", "b", "k"}
+    for f in found:
+        assert found[f] == pytest.approx(expected[f], abs=1e-12)
+    assert max(found, key=lambda f: found[f][0]) in "ak"
