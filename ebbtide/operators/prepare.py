@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import is_finite, ratio, real
-from ebbtide.operators.lookup import attach, bounded
+from ebbtide.operators.lookup import attach, attach_each, bounded
 from ebbtide.operators.rank import exact_quantiles, ranked
 from ebbtide.session import durable
 from ebbtide.spec import (
@@ -69,13 +69,8 @@ def align_categories(
     df: DataFrame, schema: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES
 ) -> DataFrame:
     """Prepared categories restricted to the levels of a stored schema; unseen ones become NULL."""
-    out = prepare_categories(df, columns)
-    for c in columns:
-        known = schema.where(F.col("feature") == c).select(
-            F.col("level").alias(c), F.lit(True).alias("_known")
-        )
-        out = attach(out, known, [c]).withColumn(c, F.when(F.col("_known"), F.col(c))).drop("_known")
-    return out
+    known = schema.where(F.col("feature").isin(list(columns))).select("feature", "level", F.col("level").alias("known"))
+    return attach_each(prepare_categories(df, columns), known, columns)
 
 
 def shuffle_key(id_col: str, seed: int | str) -> Column:
@@ -242,10 +237,5 @@ def group_rare_levels(
     fit_on: DataFrame | None = None,
 ) -> DataFrame:
     """Replace levels by their modelling level; a level never seen in fitting becomes NULL."""
-    # Stored, so that the source is scanned once and not once per column.
-    levels = durable(level_map(df if fit_on is None else fit_on, columns, min_rows))
-    out = prepare_categories(df, columns)
-    for c in columns:
-        mapping = levels.where(F.col("feature") == c).select(F.col("level").alias(c), "model_level")
-        out = attach(out, mapping, [c]).withColumn(c, F.col("model_level")).drop("model_level")
-    return out
+    levels = level_map(df if fit_on is None else fit_on, columns, min_rows).select("feature", "level", "model_level")
+    return attach_each(prepare_categories(df, columns), levels, columns)

@@ -1,6 +1,6 @@
 import pytest
 
-from ebbtide.operators import checks, prepare, queue, signals
+from ebbtide.operators import checks, lookup, prepare, queue, signals
 from ebbtide.spec import BATCH_ACTIONS, QUEUE_SIGNALS, SIGNALS, BAND_CUTS_WIDE
 
 
@@ -125,3 +125,18 @@ def test_contract(spark):
     for bad, required in ((good, ["msno", "y"]), (good.where("false"), ["msno"]), (good.unionByName(good), ["msno"])):
         with pytest.raises(ValueError):
             checks.enforce_contract(bad, required)
+
+
+def test_levels_of_all_columns_are_fetched_once(spark, rows, monkeypatch):
+    """One look at the stacked lookup, whatever the number of columns; the same rows if it is too large to fetch."""
+    data = [(f"u{i}", "ab"[i % 2], None if i % 5 == 0 else "xyz"[i % 3], str(i % 4)) for i in range(60)]
+    df = spark.createDataFrame(data, "msno string, p string, q string, r string")
+    looks, fetch = [], lookup.bounded
+    monkeypatch.setattr(lookup, "bounded", lambda *a: looks.append(1) or fetch(*a))
+    small = prepare.group_rare_levels(df, ["p", "q", "r"], min_rows=14)
+    assert len(looks) == 1
+    monkeypatch.setattr(lookup, "bounded", lambda *a: None)
+    assert rows(small) == rows(prepare.group_rare_levels(df, ["p", "q", "r"], min_rows=14))
+    assert {r.q for r in small.collect()} == {"x", "y", "z", prepare.INFREQUENT_LEVEL}
+    schema = prepare.category_schema(df.where("r <> '3'"), ["p", "q", "r"])
+    assert {r.r for r in prepare.align_categories(df, schema, ["p", "q", "r"]).collect()} == {"0", "1", "2", None}
