@@ -33,7 +33,7 @@ def _hash(*columns: Column | str, seed: int) -> Column:
 
 
 def masked_lines(docs: DataFrame, depth: int, id_col: str, text_col: str) -> DataFrame:
-    """Every line that isn't blank: row key, place, number of tokens, leaf, hashes of the masked line, tokens."""
+    """Every line that isn't blank: row key, place, number of tokens, leaf, hashes of the masked line and of its tokens behind the leading ones."""
     lines = docs.where(F.col(text_col).isNotNull()).select(*_key(id_col, text_col), F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("pos", "line"))
     trimmed = F.expr("btrim(line, ' \\t\\r\\f\\u000B')")
     # The filter comes before the masking, which Spark would otherwise run once for the filter and once for the rows.
@@ -43,7 +43,8 @@ def masked_lines(docs: DataFrame, depth: int, id_col: str, text_col: str) -> Dat
     path = F.slice("tokens", 1, depth)
     return tokens.select(
         "_id", "_th", "pos", F.size("tokens").alias("n"),
-        _hash(F.size("tokens"), path, seed=1).alias("leaf"), _hash("tokens", seed=2).alias("l1"), _hash("tokens", seed=3).alias("l2"), "tokens",
+        _hash(F.size("tokens"), path, seed=1).alias("leaf"), _hash("tokens", seed=2).alias("l1"), _hash("tokens", seed=3).alias("l2"),
+        F.transform(F.slice("tokens", depth + 1, F.greatest(F.size("tokens") - depth, F.lit(0))), lambda t: F.xxhash64(t)).alias("hs"),
     )
 
 
@@ -56,7 +57,7 @@ def _split(lines: DataFrame, min_docs: int, depth: int, similarity: float) -> Da
     kind = ["leaf", "l1", "l2"]
     # at least one place behind the leading tokens stays constant
     room = F.least(F.col("n") - F.ceil(F.col("n") * similarity), F.col("n") - depth - 1).cast("int")
-    lines = stored(lines.withColumn("room", room).where("room > 0").select(*kind, "_th", "room", F.transform(F.slice("tokens", depth + 1, F.col("n") - depth), lambda t: F.xxhash64(t)).alias("hs")), "split")
+    lines = stored(lines.withColumn("room", room).where("room > 0").select(*kind, "_th", "room", "hs"), "split")
     texts = lines.select(*kind, "_th").distinct()
     cells = lines.groupBy(*kind).agg(F.first("room").alias("room"), F.first("hs").alias("hs")).select(*kind, "room", F.posexplode("hs").alias("place", "h"))
     cells = stored(cells, "cells")
@@ -89,18 +90,18 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 4, depth: int = 3, sim
     table gives an empty result. Columns named n_lines or n_dropped are replaced; others pass unchanged.
     """
     lines = masked_lines(docs, depth, id_col, text_col)
-    keyed = stored(lines.drop("tokens"), "lines")
+    keyed = stored(lines.drop("hs"), "lines")
     kinds = keyed.groupBy("leaf", "l1", "l2").agg(F.count(F.lit(1)).alias("c"))
     mixed = kinds.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), F.sum("c").alias("c")).where((F.col("kinds") > 1) & (F.col("c") >= min_docs)).select("leaf")
     mixed = stored(mixed, "leaves")
-    # The leading tokens are the same in a whole leaf, so only the places behind them are looked at.
-    places = lines.join(mixed, "leaf").select("leaf", "n", F.posexplode(F.slice("tokens", depth + 1, F.greatest(F.col("n") - depth, F.lit(0)))).alias("place", "token"))
-    places = places.select("leaf", "n", "place", F.xxhash64("token").alias("h")).groupBy("leaf", "n", "place").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
+    # The leading tokens are the same in a whole leaf, so only the places behind them are looked at. Stored, as lines are dear to mask.
+    held = stored(lines.join(mixed, "leaf").select("leaf", "l1", "l2", "_th", "n", "hs"), "mixed")
+    places = held.select("leaf", "n", F.posexplode("hs").alias("place", "h")).groupBy("leaf", "n", "place").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
     constant = places.groupBy("leaf", "n").agg(F.sum((F.col("lo") == F.col("hi")).cast("int")).alias("same"))
     # The leading tokens are the path, so they alone don't make lines alike.
     general = constant.where((F.col("same") > 0) & (F.col("same") + depth >= F.col("n") * similarity)).select("leaf", F.lit(True).alias("general"))
     general = stored(general, "general")
-    best = _split(lines.join(mixed.join(general, "leaf", "left_anti"), "leaf"), min_docs, depth, similarity)
+    best = _split(held.join(general, "leaf", "left_anti"), min_docs, depth, similarity)
     template = keyed.join(general, "leaf", "left").join(best, ["leaf", "l1", "l2"], "left").select(
         "_id", "_th", "pos", F.col("p1").isNotNull().alias("shared"),
         F.when(F.col("general"), F.col("leaf")).otherwise(F.coalesce("p1", "l1")).alias("t1"), F.when(F.col("general"), F.lit(0)).otherwise(F.coalesce("p2", "l2")).alias("t2"),
@@ -111,12 +112,16 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 4, depth: int = 3, sim
     recurring = per_text.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("texts"), F.min("first").alias("first"), F.max("shared").alias("shared")).where(F.col("shared") | (F.col("texts") >= min_docs))
     gone = template.join(recurring.select("t1", "t2", "first"), ["t1", "t2"]).where(F.struct("_id", "pos") != F.col("first"))
     gone = gone.groupBy("_id", "_th").agg(F.collect_set("pos").alias("_gone"))
-    rows = docs.drop("n_lines", "n_dropped").select("*", *_key(id_col, text_col))
-    parts = F.split(F.col(text_col).cast("string"), "\n")
+    # As one struct, the documents' columns clash with none in use here.
+    kept = docs.drop("n_lines", "n_dropped")
+    rows = kept.select(F.struct("*").alias("row"), *_key(id_col, text_col))
+    text = F.col("row").getField(text_col)
+    parts = F.split(text.cast("string"), "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone"))
     cleaned = F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n")
-    return rows.join(gone, ["_id", "_th"], "left").withColumns({
-        "n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts)).cast("long"),
-        "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
-        text_col: F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(cleaned),
-    }).drop("_id", "_th", "_gone")
+    changed = {text_col: F.when(F.col("_gone").isNull(), text).otherwise(cleaned)}
+    return rows.join(gone, ["_id", "_th"], "left").select(
+        *[changed.get(c, F.col("row").getField(c)).alias(c) for c in kept.columns],
+        F.when(text.isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"),
+    )

@@ -1,11 +1,15 @@
 """Exact dedup, suffix dedup, line dedup and the similarity join against brute force, and their edge frames."""
 
+import functools
 import hashlib
+import math
 import random
 import re
+import struct
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -183,3 +187,101 @@ def test_components_of_a_long_path_and_a_star(spark):
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {**{i: 10 for i in range(10, 61)}, **{i: 100 for i in range(100, 160)}}
     assert components(spark.createDataFrame([], "a long, b long")).select(F.count(F.lit(1))).first()[0] == 0
+
+
+def spark_hash(*values, seed):
+    """Spark's xxhash64 of an int seed and values: ints as 4 bytes, texts as UTF-8, lists one by one."""
+    h = xxhash.xxh64_intdigest(struct.pack("<i", seed), 42)
+    for v in values:
+        for x in v if isinstance(v, list) else [v]:
+            h = xxhash.xxh64_intdigest(x if isinstance(x, bytes) else x.encode(), h)
+    return h - 2**64 if h >= 2**63 else h
+
+
+def long_bytes(x):
+    return struct.pack("<q", x)
+
+
+def brute_templates(rows, min_docs=4, depth=3, similarity=0.75):
+    """(id, kept lines) of every text by the rule as stated: masked lines, leaves, whole or split."""
+    lines = []  # id, text, place, masked tokens
+    for d, text in rows:
+        for pos, line in enumerate(text.split("\n")):
+            tokens = ["<*>" if re.search("[0-9]", t) else t for t in re.split("[ \t\r\f\x0b]+", line.strip(" \t\r\f\x0b"))]
+            if tokens != [""]:
+                lines.append((d, text, pos, tuple(tokens)))
+    leaves = {}
+    for x in lines:
+        leaves.setdefault((len(x[3]), x[3][:depth]), []).append(x)
+    template = {}
+    shared = set()
+    for leaf, own in leaves.items():
+        kinds = sorted({x[3] for x in own})
+        n = leaf[0]
+        if len(kinds) < 2 or len(own) < min_docs:
+            continue
+        same = sum(len({k[j] for k in kinds}) == 1 for j in range(depth, n))
+        if same > 0 and same + depth >= n * similarity:
+            template |= {k: (leaf,) for k in kinds}
+            continue
+        room = min(n - math.ceil(n * similarity), n - depth - 1)
+        if room <= 0:
+            continue
+        leaf_hash = long_bytes(spark_hash(struct.pack("<i", n), list(leaf[1]), seed=1))
+        cell = lambda j, t, seed: spark_hash(leaf_hash, struct.pack("<i", j - depth), long_bytes(xxhash.xxh64_intdigest(t.encode(), 42) - (2**64 if xxhash.xxh64_intdigest(t.encode(), 42) >= 2**63 else 0)), seed=seed)
+        hole = lambda j, seed: spark_hash(leaf_hash, struct.pack("<i", j - depth), "<*>", seed=seed)
+        patterns, texts = {}, {}
+        for k in kinds:
+            common = {j: sum(o[j] == k[j] for o in kinds) for j in range(depth, n)}
+            rarest = sorted(common, key=lambda j: (common[j], j))[:room]
+            patterns[k] = set()
+            for holes in [{j} for j in common] + [set(rarest)]:
+                ids = tuple(functools.reduce(lambda a, j: a ^ (hole(j, i + 5) if j in holes else cell(j, k[j], i + 3)), common, 0) for i in (1, 2))
+                patterns[k].add(ids)
+                texts.setdefault(ids, set()).update(x[1] for x in own if x[3] == k)
+        for k in kinds:
+            good = [(len(texts[p]), *p) for p in patterns[k] if len(texts[p]) >= min_docs]
+            if good:
+                template[k] = max(good)[1:]
+                shared.add(template[k])
+    groups = {}
+    for x in lines:
+        groups.setdefault(template.get(x[3], x[3]), []).append(x)
+    gone = set()
+    for t, own in groups.items():
+        if t in shared or len({x[1] for x in own}) >= min_docs:
+            first = min((x[0], x[2]) for x in own)
+            gone |= {(x[0], x[2]) for x in own if (x[0], x[2]) != first}
+    return sorted((d, [line for pos, line in enumerate(text.split("\n")) if (d, pos) not in gone]) for d, text in rows)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_line_templates_follow_the_rule(spark, seed):
+    """Leaves of one template, mixed leaves that are split, lines of four tokens, fields with digits."""
+    rng = random.Random(seed)
+    names = ["Ann", "Bob", "Cid", "Dora", "Eve", "Finn"]
+    shapes = [
+        lambda: f"seen on monday at {rng.choice(names)} again", lambda: "seen on monday we all left", lambda: f"The capital is {rng.choice(['Paris', 'Rome', 'Oslo', 'Bern', 'Riga'])}",
+        lambda: f"page {rng.randint(1, 99)} of {rng.randint(1, 99)}", lambda: " ".join(rng.choices("abc", k=rng.randint(1, 9))),
+        lambda: f"a b c {rng.choice('xy')} {rng.choice('pq')} {rng.choice(names)} {rng.choice('mn')} t", lambda: "", lambda: f"  id {rng.randint(1, 5)}\t{rng.choice(names)} logged in today ",
+    ]
+    rows = [(i, "\n".join(rng.choice(shapes)() for _ in range(rng.randint(1, 5)))) for i in range(60)]
+    found = sorted((r.doc_id, r.text.split("\n") if r.n_lines > r.n_dropped else []) for r in drop_recurring_lines(frame(spark, rows)).collect())
+    assert found == brute_templates(rows)
+
+
+def test_lines_are_masked_twice_and_columns_pass(spark):
+    """Once for all lines and once for those of mixed leaves; names in use inside are ordinary columns of documents."""
+    from ebbtide.llm.line_templates import masked_lines
+
+    plan = masked_lines(frame(spark, [(1, "a b c 1")]), 3, "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1
+    clashing = spark.createDataFrame([(i, f"the same line here {i}\nown {'abcdefgh'[i]}", i, "g", i + 1, 5) for i in range(6)], "doc_id long, text string, _gone int, row string, _id int, _th long")
+    found = sorted(drop_recurring_lines(clashing).collect())
+    assert [(r._gone, r.row, r._id, r._th, r.n_dropped) for r in found] == [(i, "g", i + 1, 5, int(i > 0)) for i in range(6)]
+
+
+def test_line_dedup_takes_a_very_long_text(spark):
+    text = "\n".join(f"line {i} with some words in it" for i in range(60_000)) + "\n" + "x" * 300_000
+    found = {r.doc_id: (r.n_lines, r.n_dropped) for r in drop_recurring_lines(frame(spark, [(i, text + f" z{'q' * i}") for i in range(4)])).collect()}
+    assert found == {0: (60_001, 59_999)} | {i: (60_001, 60_000) for i in (1, 2, 3)}
