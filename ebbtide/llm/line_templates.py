@@ -33,7 +33,7 @@ def _hash(*columns: Column | str, seed: int) -> Column:
 
 
 def masked_lines(docs: DataFrame, depth: int, id_col: str, text_col: str) -> DataFrame:
-    """Every line that isn't blank: row key, place, number of tokens, leaf, hashes of the masked line and of its tokens behind the leading ones."""
+    """Every line that isn't blank: row key, place, number of tokens, leaf, tokens."""
     lines = docs.where(F.col(text_col).isNotNull()).select(*_key(id_col, text_col), F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("pos", "line"))
     trimmed = F.expr("btrim(line, ' \\t\\r\\f\\u000B')")
     # The filter comes before the masking, which Spark would otherwise run once for the filter and once for the rows.
@@ -41,11 +41,17 @@ def masked_lines(docs: DataFrame, depth: int, id_col: str, text_col: str) -> Dat
     masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", FIELD, MASK)).otherwise(F.col("line"))
     tokens = lines.withColumn("tokens", F.split(masked, BLANK))
     path = F.slice("tokens", 1, depth)
-    return tokens.select(
-        "_id", "_th", "pos", F.size("tokens").alias("n"),
-        _hash(F.size("tokens"), path, seed=1).alias("leaf"), _hash("tokens", seed=2).alias("l1"), _hash("tokens", seed=3).alias("l2"),
-        F.transform(F.slice("tokens", depth + 1, F.greatest(F.size("tokens") - depth, F.lit(0))), lambda t: F.xxhash64(t)).alias("hs"),
-    )
+    return tokens.select("_id", "_th", "pos", F.size("tokens").alias("n"), _hash(F.size("tokens"), path, seed=1).alias("leaf"), "tokens")
+
+
+def _line_hashes() -> list[Column]:
+    return [_hash("tokens", seed=2).alias("l1"), _hash("tokens", seed=3).alias("l2")]
+
+
+def lines_of(lines: DataFrame, leaves: DataFrame, depth: int) -> DataFrame:
+    """leaf, l1, l2, _th, n, hs: lines of some leaves, with hashes of the line and of its tokens behind the leading ones."""
+    rest = F.slice("tokens", depth + 1, F.greatest(F.col("n") - depth, F.lit(0)))
+    return lines.select("leaf", "_th", "n", "tokens").join(leaves, "leaf").select("leaf", *_line_hashes(), "_th", "n", F.transform(rest, lambda t: F.xxhash64(t)).alias("hs"))
 
 
 def _split(lines: DataFrame, min_docs: int, depth: int, similarity: float) -> DataFrame:
@@ -90,12 +96,12 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 4, depth: int = 3, sim
     table gives an empty result. Columns named n_lines or n_dropped are replaced; others pass unchanged.
     """
     lines = masked_lines(docs, depth, id_col, text_col)
-    keyed = stored(lines.drop("hs"), "lines")
+    keyed = stored(lines.select("_id", "_th", "pos", "n", "leaf", *_line_hashes()), "lines")
     kinds = keyed.groupBy("leaf", "l1", "l2").agg(F.count(F.lit(1)).alias("c"))
     mixed = kinds.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), F.sum("c").alias("c")).where((F.col("kinds") > 1) & (F.col("c") >= min_docs)).select("leaf")
     mixed = stored(mixed, "leaves")
     # The leading tokens are the same in a whole leaf, so only the places behind them are looked at. Stored, as lines are dear to mask.
-    held = stored(lines.join(mixed, "leaf").select("leaf", "l1", "l2", "_th", "n", "hs"), "mixed")
+    held = stored(lines_of(lines, mixed, depth), "mixed")
     places = held.select("leaf", "n", F.posexplode("hs").alias("place", "h")).groupBy("leaf", "n", "place").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
     constant = places.groupBy("leaf", "n").agg(F.sum((F.col("lo") == F.col("hi")).cast("int")).alias("same"))
     # The leading tokens are the path, so they alone don't make lines alike.

@@ -18,7 +18,7 @@ from ebbtide.llm import rolling, suffix_dedup
 from ebbtide.llm.components import components
 from ebbtide.llm.exact_dedup import DigestIndex, exact_dedup, with_digest
 from ebbtide.llm.jaccard_join import shingle_sets, similar_documents
-from ebbtide.llm.line_templates import drop_recurring_lines
+from ebbtide.llm.line_templates import drop_recurring_lines, lines_of, masked_lines
 from ebbtide.llm.suffix_array import suffix_arrays
 from ebbtide.llm.suffix_dedup import remove_repeats
 
@@ -272,10 +272,10 @@ def test_line_templates_follow_the_rule(spark, seed):
 
 def test_lines_are_masked_twice_and_columns_pass(spark):
     """Once for all lines and once for those of mixed leaves; names in use inside are ordinary columns of documents."""
-    from ebbtide.llm.line_templates import masked_lines
-
-    plan = masked_lines(frame(spark, [(1, "a b c 1")]), 3, "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("regexp_replace") == 1
+    lines = masked_lines(frame(spark, [(1, "a b c 1")]), 3, "doc_id", "text")
+    leaves = spark.createDataFrame([(1,)], "leaf long")
+    for df in (lines, lines_of(lines, leaves, 3)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
     clashing = spark.createDataFrame([(i, f"the same line here {i}\nown {'abcdefgh'[i]}", i, "g", i + 1, 5) for i in range(6)], "doc_id long, text string, _gone int, row string, _id int, _th long")
     found = sorted(drop_recurring_lines(clashing).collect())
     assert [(r._gone, r.row, r._id, r._th, r.n_dropped) for r in found] == [(i, "g", i + 1, 5, int(i > 0)) for i in range(6)]
