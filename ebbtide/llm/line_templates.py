@@ -122,12 +122,12 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 4, depth: int = 3, sim
     kept = docs.drop("n_lines", "n_dropped")
     rows = kept.select(F.struct("*").alias("row"), *_key(id_col, text_col))
     text = F.col("row").getField(text_col)
-    parts = F.split(text.cast("string"), "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone"))
-    cleaned = F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("_gone"))
+    cleaned = F.array_join(F.transform(left, lambda i: F.get("parts", i)), "\n")
     changed = {text_col: F.when(F.col("_gone").isNull(), text).otherwise(cleaned)}
-    return rows.join(gone, ["_id", "_th"], "left").select(
+    # A column of its own, or the text would be split again for every line that stays.
+    return rows.join(gone, ["_id", "_th"], "left").withColumn("parts", F.split(text.cast("string"), "\n")).select(
         *[changed.get(c, F.col("row").getField(c)).alias(c) for c in kept.columns],
-        F.when(text.isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
+        F.when(text.isNull(), 0).otherwise(F.size("parts")).cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )

@@ -285,3 +285,7 @@ def test_line_dedup_takes_a_very_long_text(spark):
     text = "\n".join(f"line {i} with some words in it" for i in range(60_000)) + "\n" + "x" * 300_000
     found = {r.doc_id: (r.n_lines, r.n_dropped) for r in drop_recurring_lines(frame(spark, [(i, text + f" z{'q' * i}") for i in range(4)])).collect()}
     assert found == {0: (60_001, 59_999)} | {i: (60_001, 60_000) for i in (1, 2, 3)}
+    mixed = "\n".join(f"line {i} with some words in it\nown {chr(97 + i % 26) * (i // 26 + 1)}" for i in range(3_000))
+    out = drop_recurring_lines(frame(spark, [(i, mixed + f"\nz{'q' * i} end") for i in range(4)] + [(9, mixed)]))
+    assert {r.n_lines for r in out.collect()} == {6_001, 6_000}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
