@@ -37,8 +37,8 @@ p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.
 l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
 e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT doc_id AS node, doc_id AS root FROM n UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node WHERE r.root < e.b)
-SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(c.root, w.doc_id) AS component_id
-FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT node, min(root) AS root FROM r GROUP BY node) c ON c.node = w.doc_id
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(c.root, w.doc_id) AS component_id, coalesce(k.n_links, 0) AS n_links
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, count(*) AS n_links FROM e GROUP BY a) k ON k.a = w.doc_id LEFT JOIN (SELECT node, min(root) AS root FROM r GROUP BY node) c ON c.node = w.doc_id
 """
 
 _BLANK = r"[ \t\r\f\x0B]+"

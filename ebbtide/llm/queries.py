@@ -70,8 +70,7 @@ def op3_quality(spark, sf_dir):
 
 @query
 def op4_jaccard_join(spark, sf_dir):
-    # links are counted as well; the columns are those of the SQL statement
-    return similar_documents(table(spark, sf_dir, "documents"), words=3, percent=90).select("doc_id", "n_shingles", "component_id")
+    return similar_documents(table(spark, sf_dir, "documents"), words=3, percent=90).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @query
