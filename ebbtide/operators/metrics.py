@@ -33,8 +33,9 @@ def _flagged() -> Column:
 
 
 def ap_of_counts() -> Column:
-    gain = F.col("pos").cast("double") * ratio(F.col("cum_pos"), _flagged())
-    return F.try_divide(F.sum(gain), F.max("total_pos").cast("double"))
+    # Decimal, so that the sum does not depend on its order.
+    gain = (F.col("pos").cast("double") * ratio(F.col("cum_pos"), _flagged())).cast("decimal(38,18)")
+    return F.try_divide(F.sum(gain).cast("double"), F.max("total_pos").cast("double"))
 
 
 def auc_of_counts() -> Column:
