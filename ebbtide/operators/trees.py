@@ -1,6 +1,6 @@
 """Gradient-boosted trees grown best first on histograms that Spark adds up.
 
-Rows are kept as bin codes in one stored table. A pass sums gradients per node, feature and bin inside the tasks and
+Rows are kept as bin codes in one stored table, many rows a block, and dealt to all cores. A pass sums gradients per node, feature and bin inside the tasks and
 then by a DataFrame aggregation; the driver sees these bounded histograms only and picks splits from them. Sums are
 whole numbers, so trees don't depend on the partitioning. Missing values are a code of their own that a split sends to the better
 side; categories are parted into two sets by the order of their gradients.
@@ -26,12 +26,15 @@ from ebbtide.session import scratch_path
 
 #: Gradients are counted in units of 1 / UNIT.
 UNIT = 2**24
-#: Trees whose values are added to the rows at a time, and rows of a partition.
-TREES_PER_STEP, ROWS_PER_PART = 10, 500_000
+#: Trees whose values are added to the rows at a time, and rows that are worth a task of their own.
+TREES_PER_STEP, ROWS_PER_PART = 10, 20_000
+#: Bytes of a block's codes, and blocks that a partition holds at most.
+BLOCK_BYTES, BLOCKS_PER_PART = 2**21, 32
 #: A level's gradients are weighed with so much more, so that rare ones don't lead the order.
 LEVEL_SMOOTHING = 10.0
 HISTOGRAM = "node int, feature int, code int, g long, h long, n long"
-ROWS = "label int, weight double, is_validation boolean, codes binary, margin double"
+#: One row per block: codes by feature, two bytes each; weights and margins as doubles, labels and marks as bytes.
+BLOCKS = "label binary, weight binary, is_validation binary, codes binary, margin binary"
 
 # Tasks get the functions of this module by value, so executors needn't have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -83,17 +86,33 @@ class Tree:
             self.values.append(v)
         return made
 
+    def walk(self) -> Callable[[np.ndarray], np.ndarray]:
+        """A function that gives the leaf of each row; a split looks at the rows of its node only."""
+        steps = [(i, f, np.array(left), made) for i, (f, left, made) in enumerate(zip(self.feature, self.lefts, self.children)) if f >= 0]
+
+        def nodes(codes: np.ndarray) -> np.ndarray:
+            out, held = np.zeros(len(codes), dtype=np.int64), {0: np.arange(len(codes))}
+            for i, f, left, made in steps:
+                rows = held.pop(i)
+                goes = left[codes[:, f][rows]]
+                held[made[0]], held[made[1]] = rows[goes], rows[~goes]
+            for i, rows in held.items():
+                out[rows] = i
+            return out
+
+        return nodes
+
+    def scorer(self) -> Callable[[np.ndarray], np.ndarray]:
+        """A function that gives the value of each row."""
+        walk, values = self.walk(), np.array(self.values)
+        return lambda codes: values[walk(codes)]
+
     def nodes(self, codes: np.ndarray) -> np.ndarray:
         """The leaf of each row."""
-        out = np.zeros(len(codes), dtype=np.int64)
-        for i, (f, left, made) in enumerate(zip(self.feature, self.lefts, self.children)):
-            if f >= 0:
-                rows = np.flatnonzero(out == i)
-                out[rows] = np.where(np.array(left)[codes[rows, f]], *made)
-        return out
+        return self.walk()(codes)
 
     def __call__(self, codes: np.ndarray) -> np.ndarray:
-        return np.array(self.values)[self.nodes(codes)]
+        return self.scorer()(codes)
 
 
 def _chance(margin: np.ndarray) -> np.ndarray:
@@ -105,32 +124,56 @@ Rows = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 def _encoder(bins: Bins, base: float) -> Rows:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        most, held, n = _block_rows(len(bins.features)), [], 0
+
+        def block() -> pa.RecordBatch:
+            codes, label, weight, held_out = (np.concatenate(x) for x in zip(*held))
+            columns = [label, weight, held_out, np.ascontiguousarray(codes.T), np.full(len(codes), base)]
+            return pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in columns], names=["label", "weight", "is_validation", "codes", "margin"])
+
         for batch in batches:
-            codes = bins.codes(batch)
-            yield pa.RecordBatch.from_pydict({
-                "label": batch["label"], "weight": batch["weight"], "is_validation": batch["is_validation"],
-                "codes": pa.array([row.tobytes() for row in codes], pa.binary()), "margin": np.full(batch.num_rows, base),
-            })
+            for start in range(0, batch.num_rows, most):
+                part = batch.slice(start, most)
+                if n and n + part.num_rows > most:
+                    yield block()
+                    held, n = [], 0
+                held.append((
+                    bins.codes(part), part["label"].to_numpy().astype(np.uint8), part["weight"].to_numpy().astype(np.float64),
+                    part["is_validation"].to_numpy(zero_copy_only=False).astype(np.uint8),
+                ))
+                n += part.num_rows
+        if n:
+            yield block()
 
     return encode
 
 
-def _read(batch: pa.RecordBatch, trees: Sequence[Tree]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes, margin with the trees' values, and label of a batch's rows."""
-    n = batch.num_rows
-    codes = np.frombuffer(b"".join(batch["codes"].to_pylist()), dtype=np.uint16).reshape(n, -1)
-    margin = batch["margin"].to_numpy().copy()
-    for tree in trees:
-        margin += tree(codes)
-    return codes, margin, batch["label"].to_numpy()
+def _block_rows(features: int) -> int:
+    return max(1, BLOCK_BYTES // (2 * max(1, features)))
+
+
+def _parts(n: int, features: int, cores: int) -> int:
+    """Tasks that share ``n`` rows: all cores as soon as there is work for them, more where a task's blocks would get too many."""
+    wanted = min(-(-n // ROWS_PER_PART), cores)
+    return max(1, wanted, -(-n // (_block_rows(features) * BLOCKS_PER_PART)))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], trees: Sequence[Tree]) -> Iterator[tuple[dict[str, bytes], np.ndarray, np.ndarray]]:
+    """Each block with its codes (a row per row, stored by feature) and its margins with the trees' values."""
+    scorers = [tree.scorer() for tree in trees]
+    for batch in batches:
+        for block in batch.to_pylist():
+            margin = np.frombuffer(block["margin"], dtype=np.float64).copy()
+            codes = np.frombuffer(block["codes"], dtype=np.uint16).reshape(-1, len(margin)).T
+            for score in scorers:
+                margin += score(codes)
+            yield block, codes, margin
 
 
 def _adder(trees: Sequence[Tree]) -> Rows:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                _, margin, _ = _read(batch, trees)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(margin)], names=batch.schema.names)
+        for block, _, margin in _blocks(batches, trees):
+            yield pa.RecordBatch.from_pydict({c: pa.array([margin.tobytes() if c == "margin" else x], pa.binary()) for c, x in block.items()})
 
     return add
 
@@ -141,33 +184,31 @@ def _counter(trees: Sequence[Tree], tree: Tree, wanted: Sequence[int], width: in
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = np.full(len(tree.feature), -1)
         place[list(wanted)] = np.arange(len(wanted))
+        walk, cells = tree.walk(), len(wanted) * width
         sums, loss = None, np.zeros(3, dtype=np.int64)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            codes, margin, label = _read(batch, trees)
-            weight = batch["weight"].to_numpy()
-            held_out = batch["is_validation"].to_numpy(zero_copy_only=False).astype(bool)
+        for block, codes, margin in _blocks(batches, trees):
+            weight = np.frombuffer(block["weight"], dtype=np.float64)
+            label = np.frombuffer(block["label"], dtype=np.uint8).astype(np.float64)
+            held_out = np.frombuffer(block["is_validation"], dtype=np.uint8).astype(bool)
             if 0 in wanted and held_out.any():
                 own = weight * (np.logaddexp(0, margin) - label * margin)
                 loss += [np.rint(own[held_out] * UNIT).astype(np.int64).sum(), np.rint(weight[held_out] * UNIT).astype(np.int64).sum(), held_out.sum()]
-            node = place[tree.nodes(codes)]
+            node = place[walk(codes)]
             rows = np.flatnonzero((node >= 0) & ~held_out)
             chance = _chance(margin[rows])
             g = np.rint(weight[rows] * (chance - label[rows]) * UNIT)
             h = np.rint(weight[rows] * chance * (1 - chance) * UNIT)
-            features = codes.shape[1]
             if sums is None:
-                sums = np.zeros((3, len(wanted) * features * width), dtype=np.int64)
-            for f in range(features):
-                cell = (node[rows] * features + f) * width + codes[rows, f]
+                sums = np.zeros((3, codes.shape[1], cells), dtype=np.int64)
+            first = node[rows] * width
+            for f in range(codes.shape[1]):
+                cell = first + codes[:, f][rows]
                 for total, own in zip(sums, (g, h, None)):
-                    total += np.bincount(cell, own, sums.shape[1]).astype(np.int64)
+                    total[f] += np.bincount(cell, own, cells).astype(np.int64)
         if sums is not None:
-            cell = np.flatnonzero(sums[2])
-            features = sums.shape[1] // len(wanted) // width
-            columns = [np.array(wanted)[cell // width // features], cell // width % features, cell % width]
-            arrays = [pa.array(c.astype(np.int32)) for c in columns] + [pa.array(s[cell]) for s in sums]
+            feature, cell = np.nonzero(sums[2])
+            columns = [np.array(wanted)[cell // width], feature, cell % width]
+            arrays = [pa.array(c.astype(np.int32)) for c in columns] + [pa.array(x[feature, cell]) for x in sums]
             yield pa.RecordBatch.from_arrays(arrays, names=["node", "feature", "code", "g", "h", "n"])
         if loss[2]:
             row = [pa.array([x], pa.int32()) for x in (-1, 0, 0)] + [pa.array([int(x)], pa.int64()) for x in loss]
@@ -321,7 +362,7 @@ class BoostedTrees:
         bins, base, trees, names = self.bins, self.base, self.trees, self.bins.features
 
         def chance(*columns: pa.Array) -> pa.Array:
-            codes = bins.codes(pa.RecordBatch.from_arrays(list(columns), names=names))
+            codes = np.asfortranarray(bins.codes(pa.RecordBatch.from_arrays(list(columns), names=names)))
             return pa.array(_chance(base + sum((tree(codes) for tree in trees), np.zeros(len(codes)))))
 
         return df.withColumn(column, F.arrow_udf(chance, "double")(*names))
@@ -330,22 +371,27 @@ class BoostedTrees:
         """Counts of scores when one feature at a time is taken from another row: key, feature, score, pos, neg.
 
         ``pairs`` has the features under their names and those of the other row in the struct ``donor``. A task scores all
-        swaps of its rows and passes on counts alone; trees without the feature are not gone through again.
+        swaps of its rows and passes on counts alone; rows whose code stays and trees without the feature are not gone through again.
         """
         bins, base, trees, names = self.bins, self.base, self.trees, self.bins.features
         flat = pairs.select(*names, *[F.col(f"{donor}.{c}").alias(f"{donor}_{c}") for c in names], label, key)
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            scorers = [tree.scorer() for tree in trees]
             for batch in batches:
-                own, other = (bins.codes(pa.RecordBatch.from_arrays([batch[p + c] for c in names], names=names)) for p in ("", f"{donor}_"))
-                plain = [tree(own) for tree in trees]
+                own, other = (np.asfortranarray(bins.codes(pa.RecordBatch.from_arrays([batch[p + c] for c in names], names=names))) for p in ("", f"{donor}_"))
+                plain = [scorer(own) for scorer in scorers]
+                unchanged = sum(plain, np.zeros(len(own)))
                 positive, keys = batch[label].to_numpy() == 1, batch[key].to_numpy()
                 for f, name in enumerate(names):
-                    codes = own.copy()
-                    codes[:, f] = other[:, f]
-                    total = np.zeros(len(codes))
-                    for tree, value in zip(trees, plain):
-                        total += tree(codes) if f in tree.feature else value
+                    changed = np.flatnonzero(own[:, f] != other[:, f])
+                    codes = np.asfortranarray(own[changed])
+                    codes[:, f] = other[changed, f]
+                    swapped = np.zeros(len(codes))
+                    for tree, scorer, value in zip(trees, scorers, plain):
+                        swapped += scorer(codes) if f in tree.feature else value[changed]
+                    total = unchanged.copy()
+                    total[changed] = swapped
                     kinds, place = np.unique(np.stack([keys.astype(np.float64), _chance(base + total)]), axis=1, return_inverse=True)
                     n = [np.bincount(place.ravel(), x, kinds.shape[1]).astype(np.int64) for x in (positive, ~positive)]
                     yield pa.RecordBatch.from_pydict({key: kinds[0].astype(np.int64), "feature": [name] * kinds.shape[1], "score": kinds[1], "pos": n[0], "neg": n[1]})
@@ -405,7 +451,7 @@ def fit_trees(
     ).first()
     share = min(max((about["ones"] or 0.0) / (about["all"] or 1.0), 1e-6), 1 - 1e-6)
     base = math.log(share / (1 - share))
-    parts = max(1, -(-about["n"] // ROWS_PER_PART))
+    parts = _parts(about["n"], len(space.features), spark.sparkContext.defaultParallelism)
 
     def stored(rows: DataFrame) -> DataFrame:
         path = scratch_path(spark, "boosting")
@@ -415,14 +461,17 @@ def fit_trees(
         return out.coalesce(1) if parts == 1 else out
 
     kept = df.select(F.col("label").cast("int").alias("label"), F.col("weight").cast("double").alias("weight"), "is_validation", *numeric, *categories)
-    rows = stored(kept.repartition(parts).mapInArrow(_encoder(space, base), ROWS))
+    rows = stored(kept.repartition(parts).mapInArrow(_encoder(space, base), BLOCKS))
     width = max(space.sizes(), default=0) + 1
     trees: list[Tree] = []
     recent: list[Tree] = []
     losses: list[float] = []
 
     def counted(tree: Tree, wanted: Sequence[int]) -> dict[int, np.ndarray]:
-        found = rows.mapInArrow(_counter(recent, tree, wanted, width), HISTOGRAM).groupBy("node", "feature", "code").agg(*[F.sum(c).alias(c) for c in "ghn"]).toArrow()
+        own = rows.mapInArrow(_counter(recent, tree, wanted, width), HISTOGRAM)
+        # a feature's sums meet in one task: they are few, and their number is known
+        dealt = own if parts == 1 else own.repartition(min(parts, len(space.features)), "feature")
+        found = dealt.groupBy("node", "feature", "code").agg(*[F.sum(c).alias(c) for c in "ghn"]).toArrow()
         node, feature, code, *sums = (found[c].to_numpy() for c in ("node", "feature", "code", "g", "h", "n"))
         out = {i: np.zeros((len(space.sizes()), width, 3), dtype=np.int64) for i in (-1, *wanted)}
         for i, own in out.items():
@@ -448,5 +497,5 @@ def fit_trees(
         trees.append(grower.pruned(kept_nodes))
         recent.append(trees[-1])
         if len(recent) == TREES_PER_STEP:
-            rows, recent = stored(rows.mapInArrow(_adder(recent), ROWS)), []
+            rows, recent = stored(rows.mapInArrow(_adder(recent), BLOCKS)), []
     return BoostedTrees(space, base, trees, losses)

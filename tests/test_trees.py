@@ -169,3 +169,35 @@ def test_importance_by_counts_equals_importance_by_rows(spark):
     for f in found:
         assert found[f] == pytest.approx(expected[f], abs=1e-12)
     assert max(found, key=lambda f: found[f][0]) in "ak"
+
+
+def test_rows_are_dealt_to_all_cores(spark, monkeypatch):
+    """A table far below half a million rows is shared by the cores, and a block holds bounded bytes."""
+    paths, fresh = [], trees.scratch_path
+    monkeypatch.setattr(trees, "scratch_path", lambda *a: (paths.append(fresh(*a)), paths[-1])[1])
+    monkeypatch.setattr(trees, "BLOCK_BYTES", 6 * 4000)
+    df = spark.range(100_000).selectExpr("cast(id % 3 = 0 as int) label", "1d weight", "id % 10 = 0 is_validation", "cast(id % 50 as double) a", "cast(id % 7 as double) b", "'x' k")
+    fit_trees(df, ["a", "b"], ["k"], max_iter=1, leaves=2)
+    blocks = spark.read.parquet(paths[0]).select(F.input_file_name().alias("file"), (F.length("codes") / 6).alias("n")).collect()
+    assert len({r.file for r in blocks}) >= 5
+    assert sum(r.n for r in blocks) == 100_000 and max(r.n for r in blocks) <= 4000
+
+
+def test_parts_grow_with_rows():
+    assert trees._parts(0, 22, 12) == trees._parts(15_000, 22, 12) == 1
+    assert trees._parts(700_000, 22, 12) == 12
+    assert trees._parts(10**9, 22, 12) >= 10**9 * 44 // (trees.BLOCK_BYTES * trees.BLOCKS_PER_PART)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_leaves_are_those_of_a_walk_from_the_root(seed):
+    rng = np.random.default_rng(seed)
+    codes, tree, leaves = rng.integers(0, 5, (300, 3)).astype(np.uint16), Tree(), [0]
+    for _ in range(9):
+        node = leaves.pop(int(rng.integers(len(leaves))))
+        leaves += tree.split(node, int(rng.integers(3)), (rng.random(5) < 0.5).tolist(), (rng.random(), rng.random()))
+
+    def walked(row, node=0):
+        return node if tree.feature[node] < 0 else walked(row, tree.children[node][0 if tree.lefts[node][row[tree.feature[node]]] else 1])
+
+    assert tree.nodes(codes).tolist() == tree.nodes(np.asfortranarray(codes)).tolist() == [walked(row) for row in codes]
