@@ -77,7 +77,10 @@ def activity(table: DataFrame, features: Sequence[Feature], id_col: str = ID) ->
 def _one_row_per_month(rows: DataFrame, id_col: str) -> DataFrame:
     measures = [c for c in rows.columns if c not in (id_col, "month")]
     flags = {c for c in measures if c.endswith("_active")}
-    return rows.repartition(id_col).groupBy(id_col, "month").agg(
+    # A given number of partitions is never merged: many buffers are open at once in the tasks that follow, each of them
+    # a multiple of what the task reads.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, id_col).groupBy(id_col, "month").agg(
         *[(F.max(c) if c in flags else F.sum(c)).alias(c) for c in measures]
     )
 

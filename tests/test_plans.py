@@ -72,3 +72,13 @@ def test_numbers_are_not_matched_as_text(spark):
     for logs, expected in ((typed, False), (text, True)):
         plan = rollup.monthly_clean_usage(logs)._jdf.queryExecution().optimizedPlan().toString()
         assert ("RLIKE" in plan) == expected
+
+
+def test_customer_stages_keep_their_partitions(spark, no_broadcast, stored):
+    """Spark must not merge the partitions of the stage that holds a customer's months many times over."""
+    kinds = {t.name: t.dataType for t in stored(USAGE, "u").schema}
+    days = spark.createDataFrame([(f"u{i}", m) for i in range(200) for m in ("201611", "201612")], "msno string, month string")
+    usage = days.select(*[F.col(c) if c in days.columns else F.lit(1).cast(kind).alias(c) for c, kind in kinds.items()])
+    anchors = spark.createDataFrame([(f"u{i}", "c", "201703") for i in range(200)], "msno string, cohort string, target_expiry_month string")
+    found = snapshot.usage_features(anchors, usage).withColumn("part", F.spark_partition_id()).collect()
+    assert len(found) == 200 and len({r.part for r in found}) > 1
