@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ebbtide.functions.scalars import real
 from ebbtide.operators.rollup import clean_sums, log_period, usage_sums
 from ebbtide.sources.io import path_exists, read_raw
 from ebbtide.spec import ID, LOG_COUNTERS, LOG_SECONDS, SECONDS_PER_DAY
@@ -76,7 +77,9 @@ class UsageStore:
 
     def _partial_sums(self, files: Sequence[str], batch: str) -> DataFrame:
         logs = read_raw(self.spark, list(files)).withColumns({"file": F.col("_metadata.file_path"), self.grain: log_period(self.date_col, self.grain)})
-        kept = logs.where(F.col(self.grain).isNotNull() & F.col(self.id_col).isNotNull())
+        rows = logs.where(F.col(self.grain).isNotNull() & F.col(self.id_col).isNotNull())
+        # each text is read as a number once, below the sums, which use it many times
+        kept = rows.select("file", self.id_col, self.grain, *[real(F.col(c)).alias(c) for c in (*self.counters, self.seconds)])
         sums = kept.groupBy("file", self.id_col, self.grain).agg(*usage_sums(self.counters, self.seconds, "null"), *clean_sums(self.seconds, self.cap))
         return sums.select(F.lit(batch).alias("batch"), "file", self.id_col, self.grain, *self.sums, self._folder())
 
@@ -93,7 +96,7 @@ class UsageStore:
         new = self._listed(paths).join(known, ["file", "bytes", "modified"], "left_anti").collect()
         if new:
             batch = uuid.uuid4().hex
-            self._partial_sums([re.sub(r"([\[\]{}*?\\])", r"\\\1", r["path"]) for r in new], batch).write.mode("append").partitionBy("batch", FOLDER).parquet(f"{self.path}/partials")
+            self._partial_sums([re.sub(r"([\[\]{}*?\\])", r"\\\1", r["path"]) for r in new], batch).hint("rebalance", FOLDER).write.mode("append").partitionBy("batch", FOLDER).parquet(f"{self.path}/partials")
             versions = self.spark.createDataFrame([(r["file"], r["bytes"], r["modified"], batch) for r in new], "file string, bytes long, modified timestamp, batch string")
             versions.withColumn("added", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{self.path}/ledger")
         self.finish()
@@ -106,15 +109,18 @@ class UsageStore:
         if not batches:
             return []
         # what a changed file said before is touched as well
-        held = self.partials().join(F.broadcast(self.ledger().join(open_.select("file").distinct(), "file", "left_semi").select("file", "batch")), ["file", "batch"], "left_semi")
+        versions = self.ledger().join(open_.select("file").distinct(), "file", "left_semi").select("file", "batch")
+        of_them = [r["batch"] for r in versions.select("batch").distinct().collect()]
+        held = self.partials().where(F.col("batch").isin(of_them)).join(F.broadcast(versions), ["file", "batch"], "left_semi")
         touched = sorted(r[FOLDER] for r in held.select(FOLDER).distinct().collect())
         valid = self.current().select("file", "batch")
         rows = self.partials().where(F.col(FOLDER).isin(touched)).join(valid, ["file", "batch"], "left_semi")
         whole = rows.groupBy(self.id_col, self.grain).agg(*[F.sum(c).alias(c) for c in self.sums]).withColumn(FOLDER, self._folder())
-        whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(FOLDER).parquet(f"{self.path}/usage")
-        left = {r[FOLDER] for r in rows.select(FOLDER).distinct().collect()}
-        for gone in set(touched) - left:
-            self._delete(f"{self.path}/usage/{FOLDER}={gone}")
+        whole.hint("rebalance", FOLDER).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(FOLDER).parquet(f"{self.path}/usage")
+        if not versions.join(valid, ["file", "batch"], "left_anti").isEmpty():  # else every touched period has rows
+            left = {r[FOLDER] for r in rows.select(FOLDER).distinct().collect()}
+            for gone in set(touched) - left:
+                self._delete(f"{self.path}/usage/{FOLDER}={gone}")
         self.spark.createDataFrame([(b,) for b in batches], FINISHED).coalesce(1).write.mode("append").parquet(f"{self.path}/finished")
         return touched
 

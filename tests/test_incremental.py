@@ -109,3 +109,24 @@ def test_job(spark, rows, files, tmp_path):
     add_logs.main(["--store", str(tmp_path / "store"), "--files", str(files), "--output", out])
     full = built(spark, files).drop("total_secs")
     assert rows(spark.read.parquet(out), *full.columns) == rows(full)
+
+
+def test_a_period_is_written_by_few_tasks(spark, rows, tmp_path):
+    """However many tasks sum up the files, a small period has one file of partial sums per batch and one of usage."""
+    for i in range(12):
+        write(tmp_path / "raw" / f"f{i}.csv", lines(range(i * 30, i * 30 + 30), "201701", i) + lines(range(30), "201702", i))
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store = UsageStore(spark, str(tmp_path / "store"))
+        store.add([str(tmp_path / "raw")])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+    for name in ("partials", "usage"):
+        found = [p.parent for p in (tmp_path / "store" / name).rglob("*.parquet")]
+        assert len(found) == len(set(found)) == 2
+    assert same(rows, store, built_all(spark, tmp_path / "raw"))
+
+
+def built_all(spark, at):
+    return rollup.monthly_clean_usage(io.read_raw(spark, str(at)), keep_raw=True)
