@@ -230,3 +230,43 @@ def test_top_k_of_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (0, [1.0, 2.0]), (50, [0.5, 0.5]), (None, [1.0, 1.0])], "vec_id long, embedding array<float>")
     assert {tuple(r) for r in exact_top_k(df, df).collect()} == {(0, 1, 50, 256 * 128 + 512 * 128), (50, 1, 0, 256 * 128 + 512 * 128)}
     assert exact_top_k(df.limit(0), df).count() == 0 and exact_top_k(df, df.limit(0)).count() == 0
+
+
+def test_words_coded_once_give_the_ids_of_whole_texts(monkeypatch):
+    from ebbtide.llm import piece_codec
+
+    odd = ["", " ", "a", " a", "a ", "a  b", "▁", "a▁b", "x ▁ y", "the 日本 é \x00 end", "tab\tand\nline and \n more", "w" * 90 + " tail " + "w" * 90, "<s> </s> <unk> <0x41>", "a　b c"]
+    texts = odd + [" ".join(odd), "one two one two three " * 50 + "end"] + [" ".join(f"w{i * j % 37}" for i in range(60)) for j in range(40)]
+    whole = [e.ids if t else [] for e, t in zip(build_tokenizer(model_bytes()).encode_batch(texts, add_special_tokens=False), texts)]
+    assert piece_codec.encode_texts(model_bytes(), texts) == whole
+    monkeypatch.setattr(piece_codec, "KEPT_WORDS", 3)
+    monkeypatch.setattr(piece_codec, "BATCH_CHARS", 40)
+    monkeypatch.setattr(piece_codec, "_built", {})
+    coder = piece_codec.WordCoder(model_bytes())
+    assert coder.by_word and [x for t in texts for x in coder.ids([t])] == whole
+    assert not any(len(w) > piece_codec.KEPT_LENGTH for w in coder.kept)
+
+
+def test_a_word_is_sent_to_the_library_once(monkeypatch):
+    from ebbtide.llm import piece_codec
+
+    coder, sent = piece_codec.WordCoder(model_bytes()), []
+
+    class Spy:
+        def encode_batch_fast(self, texts, **more):
+            sent.extend(w for t in texts for w in ([t] if "  " in t else t.split(" ")))
+            return real.encode_batch_fast(texts, **more)
+
+    real, coder.tokenizer = coder.tokenizer, Spy()
+    coder.ids(["red green red", "green blue  gone"])
+    coder.ids(["blue red"])
+    assert sorted(sent) == ["blue", "green", "green blue  gone", "red"]
+
+
+def test_scoring_texts_needs_no_pandas():
+    import subprocess
+    import sys
+
+    code = "import sys; import ebbtide.llm.quality as q; q.statistics('a b'); sys.exit('pandas' in sys.modules)"
+    root = __file__.rsplit("/tests/", 1)[0]
+    assert subprocess.run([sys.executable, "-c", code], cwd=root).returncode == 0
