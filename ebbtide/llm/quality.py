@@ -11,7 +11,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,7 +128,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = pa.array([statistics(t) for t in batch["text"].to_pylist()], pa.list_(pa.float64()))
+            x = pa.array([statistics(t.as_py()) for t in batch["text"]], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["y"], x], ["doc_id", "y", "x"])
 
     rows = docs.join(F.broadcast(marks), "doc_id").select("doc_id", "y", "text").mapInArrow(measure, "doc_id long, y int, x array<double>").toArrow()
@@ -141,10 +140,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
 def scorer(trees: Trees):
     """A column function that gives the score of a text."""
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        x = np.array([statistics(t) for t in texts], dtype=float).reshape(len(texts), len(STATISTICS))
-        return pd.Series(trees.score(x))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        # one text at a time: workers without pandas and without a copy of a batch's texts stay small
+        x = np.array([statistics(t.as_py()) for t in texts], dtype=float).reshape(len(texts), len(STATISTICS))
+        return pa.array(trees.score(x), pa.float64())
 
     return score
 
