@@ -263,6 +263,61 @@ def test_a_word_is_sent_to_the_library_once(monkeypatch):
     assert sorted(sent) == ["blue", "green", "green blue  gone", "red"]
 
 
+def test_a_word_is_decoded_and_compared_once():
+    from ebbtide.llm import piece_codec
+
+    coder, decoded, compared = piece_codec.CheckedCoder(model_bytes()), [], []
+
+    class Spy:
+        def decode_batch(self, ids, **more):
+            out = real.decode_batch(ids, **more)
+            decoded.extend(w for t in out for w in ([t] if "  " in t else t.split(" ")))
+            return out
+
+        def encode_batch_fast(self, texts, **more):
+            return real.encode_batch_fast(texts, **more)
+
+        def encode(self, text):
+            compared.extend([text] if "  " in text else text.split(" "))
+            return native.encode(text)
+
+    real, native, coder.coder.tokenizer, coder.native = coder.coder.tokenizer, coder.native, Spy(), Spy()
+    for texts in (["red green red", "green blue  gone"], ["blue red"]):
+        coded, back, parity = coder.code(texts)
+        assert back == texts and all(parity) and [np.frombuffer(x, "<i4").tolist() for x in coded] == native.encode(texts)
+    assert sorted(decoded) == sorted(compared) == ["blue", "green", "green blue  gone", "red"]
+
+
+def test_words_checked_once_give_the_flags_of_whole_texts(monkeypatch):
+    from ebbtide.llm import piece_codec
+
+    odd = ["", " ", "a", " a", "a  b", "\u2581", "x \u2581 y", "the \u65e5\u672c \u00e9 \x00 end", "line and \n more", "w" * 90 + " tail", "<s> </s> <0x41>", "\U0001f600 z\U0001f600 x"]
+    texts = odd + [" ".join(odd), "bad one", "one two", "two bad", "one lost two", "one bad  lost"]
+    real = piece_codec._native(model_bytes())
+
+    class Native:  # codes each word "bad" in another way
+        def encode(self, text):
+            return real.encode(text) + [0] * text.split().count("bad")
+
+    class Lossy:  # decodes each word "lost" in another way
+        def decode_batch(self, ids, **more):
+            return [t.replace("lost", "found") for t in tokenizer.decode_batch(ids, **more)]
+
+        def encode_batch_fast(self, texts, **more):
+            return tokenizer.encode_batch_fast(texts, **more)
+
+    for kept in (3, 1000):
+        monkeypatch.setattr(piece_codec, "KEPT_WORDS", kept)
+        coder = piece_codec.CheckedCoder(model_bytes())
+        tokenizer, coder.coder.tokenizer, coder.native = coder.coder.tokenizer, Lossy(), Native()
+        for part in (texts, texts[::-1], *([t] for t in texts)):
+            coded, back, parity = coder.code(part)
+            whole = [e.ids if t else [] for e, t in zip(tokenizer.encode_batch(part, add_special_tokens=False), part)]
+            assert [np.frombuffer(x, "<i4").tolist() for x in coded] == whole
+            assert back == coder.coder.tokenizer.decode_batch(whole, skip_special_tokens=False)
+            assert parity == ["bad" not in t for t in part]
+
+
 def test_scoring_texts_needs_no_pandas():
     import subprocess
     import sys
