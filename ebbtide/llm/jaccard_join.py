@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm import rolling
-from ebbtide.llm.common import pieces_for, stored
+from ebbtide.llm.common import keep_only, pieces_for, stored
 from ebbtide.llm.components import components
 
 NO_ID = -(2**63)
@@ -79,6 +79,7 @@ def _sets(table: pa.Table, words: int) -> list[np.ndarray]:
 
 def _sender(words: int, buckets: int):
     def send(key: tuple, docs: pa.Table) -> pa.Table:
+        keep_only("jaccard_join")
         hashes, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *_sets(docs, words)]), return_counts=True)
         return rolling.pack(key[0].as_py(), hashes, counts, buckets)
 

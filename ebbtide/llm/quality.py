@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import identified
+from ebbtide.llm.common import identified, keep_only
 
 #: Of labelled rows, at most about this many are learnt from, chosen by a hash of the id.
 SAMPLE_ROWS = 20_000
@@ -127,6 +127,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
         marks = marks.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < int(1_000_000 * sample_rows / total))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("quality")
         for batch in batches:
             x = pa.array([statistics(t.as_py()) for t in batch["text"]], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["y"], x], ["doc_id", "y", "x"])
@@ -142,6 +143,7 @@ def scorer(trees: Trees):
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
+        keep_only("quality")
         # one text at a time: workers without pandas and without a copy of a batch's texts stay small
         x = np.array([statistics(t.as_py()) for t in texts], dtype=float).reshape(len(texts), len(STATISTICS))
         return pa.array(trees.score(x), pa.float64())

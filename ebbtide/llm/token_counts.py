@@ -23,16 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import identified
+from ebbtide.llm.common import identified, kept
 from ebbtide.llm.sp_model import BPE, CONTROL, NORMAL, SPACE, UNKNOWN, USER_DEFINED, read_model
 
-#: Characters that run together; a longer text is a run of its own.
-RUN_CHARS = 500_000
+#: Bytes of text that run together; a longer text is a run of its own.
+RUN_BYTES = 500_000
 CHUNK = 48
 #: States a worker keeps; beyond that it forgets the younger half, which is the rarer one.
 MOST_STATES = 200_000
 
-_machines: dict[str, "Transducer"] = {}
+#: Pairs of tokens of which a worker remembers whether they merge.
+MOST_PAIRS = 500_000
 
 
 class Transducer:
@@ -48,7 +49,8 @@ class Transducer:
         self.score = {p: s for p, s, kind in model.pieces if kind == NORMAL}
         if any(SPACE in p.lstrip(SPACE) for p in self.score):
             raise ValueError("a piece holds a blank behind other characters")
-        self.beginnings = {p[:i] for p in self.score for i in range(1, len(p) + 1)}
+        # texts to themselves, so that states and pairs share them
+        self.beginnings = {b: b for b in ("", *(p[:i] for p in self.score for i in range(1, len(p) + 1)))}
         self.known = set("".join(self.score))
         self.pairs: dict[tuple[str, str], bool] = {}
         self.reset()
@@ -60,7 +62,7 @@ class Transducer:
         self.keys: list[tuple] = []
         self.next = np.full((1024, 64), -1, dtype=np.int32)
         self.gain = np.zeros((1024, 64), dtype=np.int8)
-        self.state(("", (None,), (0,)))
+        self.state(("", None, 0))
 
     def trim(self) -> None:
         """Forget all but the states met first, and the transitions to them."""
@@ -88,25 +90,31 @@ class Transducer:
             return True
         key = (before, token)
         if key not in self.pairs:
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) > MOST_PAIRS:
                 self.pairs.clear()
             self.pairs[key] = self.merged(before + token) == [before, token]
         return self.pairs[key]
 
+    def widen(self, rows: int, columns: int) -> None:
+        """Room for more states and characters."""
+        more = ((0, rows), (0, columns))
+        self.next, self.gain = np.pad(self.next, more, constant_values=-1), np.pad(self.gain, more)
+
     def state(self, key: tuple) -> int:
+        """The number of a state: its suffix, then the last token at each place, then the counts there."""
         if key not in self.states:
             self.states[key] = len(self.keys)
             self.keys.append(key)
             if len(self.keys) > len(self.next):
-                self.next = np.concatenate([self.next, np.full_like(self.next, -1)])
-                self.gain = np.concatenate([self.gain, np.zeros_like(self.gain)])
+                self.widen(len(self.next) // 8, 0)
         return self.states[key]
 
     def step(self, state: int, char: str) -> tuple[int, int]:
         """The state after `char`, and the change in tokens."""
         if char not in self.known:  # byte tokens, with which nothing merges
             return 0, len(char.encode("utf-8", "replace"))
-        suffix, last, counts = self.keys[state]
+        suffix, *rest = self.keys[state]
+        last, counts = rest[: len(rest) // 2], rest[len(rest) // 2 :]
         here = suffix + char
         for size in range(len(here), 0, -1):
             token, at = here[-size:], len(suffix) + 1 - size
@@ -119,7 +127,8 @@ class Transducer:
         while tail not in self.beginnings:
             tail = tail[1:]
         keep = -(len(tail) + 1)
-        key = (tail, (*last, token)[keep:], tuple(c - change for c in (*counts, change))[keep:])
+        token = self.beginnings.get(token, token)
+        key = (self.beginnings[tail], *[*last, token][keep:], *[c - change for c in (*counts, change)][keep:])
         return self.state(key), change
 
     def columns(self, codes: np.ndarray) -> np.ndarray:
@@ -134,8 +143,7 @@ class Transducer:
                 if char not in self.letters:
                     self.letters.append(char)
                     if len(self.letters) > self.next.shape[1]:
-                        self.next = np.concatenate([self.next, np.full_like(self.next, -1)], axis=1)
-                        self.gain = np.concatenate([self.gain, np.zeros_like(self.gain)], axis=1)
+                        self.widen(0, 16)
                 self.column[code] = self.letters.index(char)
             found = self.column[codes]
         return found
@@ -199,25 +207,22 @@ class Transducer:
 
 
 def machine(data: bytes) -> Transducer:
-    key = hashlib.md5(data).hexdigest()
-    if key not in _machines:
-        _machines[key] = Transducer(data)
-    return _machines[key]
+    return kept("token_counts", hashlib.md5(data).hexdigest(), lambda: Transducer(data))
 
 
 def _counter(data: bytes):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = machine(data)
         for batch in batches:
-            texts, tokens = batch["text"].to_pylist(), []
+            sizes, tokens = batch["n_bytes"].to_pylist(), []
             start = size = 0
-            for i in range(len(texts) + 1):
-                if i == len(texts) or (i > start and size + len(texts[i]) > RUN_CHARS):
+            for i in range(len(sizes) + 1):
+                if i == len(sizes) or (i > start and size + sizes[i] > RUN_BYTES):
                     if i > start:
-                        tokens.append(own.count(texts[start:i]))
+                        tokens.append(own.count(batch["text"].slice(start, i - start).to_pylist()))
                     start, size = i, 0
-                if i < len(texts):
-                    size += len(texts[i])
+                if i < len(sizes):
+                    size += sizes[i]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["n_bytes"], pa.array(np.concatenate(tokens or [np.zeros(0, np.int64)]))], ["doc_id", "n_bytes", "n_tokens"])
 
     return count

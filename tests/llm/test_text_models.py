@@ -12,7 +12,7 @@ from ebbtide.llm import token_counts, topk_search
 from ebbtide.llm.language import identify_languages, letter_vector, trigram_counts
 from ebbtide.llm.packing import best_fit_pack, pack_lengths
 from ebbtide.llm.piece_codec import build_tokenizer, encode_documents, merges_of
-from ebbtide.llm.quality import STATISTICS, fit_trees, keep_good, quality_scores, statistics
+from ebbtide.llm.quality import STATISTICS, fit_trees, keep_good, quality_scores, scorer, statistics
 from ebbtide.llm.queries import model_bytes
 from ebbtide.llm.sp_model import BPE, read_model
 from ebbtide.llm.token_counts import Transducer, count_tokens
@@ -132,6 +132,29 @@ def test_counts_hold_when_states_are_forgotten(monkeypatch):
     assert most > 300 and len(own.keys) < most
 
 
+def test_tables_grow_with_the_states_in_use():
+    own = Transducer(model_bytes())
+    for text in samples(400):
+        own.count([text])
+        if len(own.keys) > 1100:
+            break
+    assert 1100 < len(own.keys) <= len(own.next) < 1.25 * len(own.keys) and own.next.shape == own.gain.shape
+
+
+def test_a_worker_forgets_what_another_operator_kept(spark):
+    import pyarrow as pa
+
+    from ebbtide.llm import common, jaccard_join
+
+    first = token_counts.machine(model_bytes())
+    assert token_counts.machine(model_bytes()) is first
+    jaccard_join._sender(3, 1)((pa.scalar(0),), pa.table({"text": ["a b c d"]}))
+    assert "token_counts" not in common._kept
+    token_counts.machine(model_bytes())
+    score = scorer(fit_trees(np.zeros((0, len(STATISTICS))), np.zeros(0)))
+    assert score.func(pa.array(["a b"])).to_pylist() == [0.5] and "token_counts" not in common._kept
+
+
 @needs_data
 def test_token_counts_of_all_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
