@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm import rolling
-from ebbtide.llm.common import pieces_for
+from ebbtide.llm.common import keep_only, pieces_for
 from ebbtide.llm.suffix_array import suffix_arrays
 
 #: More pieces of one gram than this travel string by string.
@@ -73,7 +73,7 @@ class _Run:
         first = np.flatnonzero(new)
         self.start, self.doc = at[first], doc[first]
         self.strings = np.diff(np.append(first, len(at)))
-        self.key = hashes[gram_at[first]]
+        self.key = rolling.mix(hashes[gram_at[first]])  # chosen for their small hashes, so those alone would crowd the first buckets
 
 
 def _documents(table: pa.Table, copies: set[tuple[int, int]]):
@@ -99,6 +99,7 @@ def _runs_of(table: pa.Table, copies: set[tuple[int, int]], length: int, gram: i
 
 def _gram_sender(length: int, gram: int, buckets: int):
     def send(key: tuple, docs: pa.Table, copies: pa.Table) -> pa.Table:
+        keep_only("suffix_dedup")
         keys = [r.key for _, r in _runs_of(docs, _copies(copies), length, gram)]
         hashes, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_counts=True)
         return rolling.pack(key[0].as_py(), hashes, counts, buckets)

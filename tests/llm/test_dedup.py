@@ -8,6 +8,7 @@ import re
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -101,6 +102,17 @@ def test_repeats_against_brute_force(spark, monkeypatch, length, frequent, chunk
     assert all(sum(s.end - s.start for s in r.spans) == r.n_removed for r in found)
 
 
+def test_grams_fall_evenly_into_buckets():
+    rng, buckets = random.Random(8), 20
+    texts = ["".join(rng.choices("abcdefgh ", k=4000)) for _ in range(100)]
+    docs = pa.table({"doc": pa.array(range(100), pa.int64()), "hash": pa.array([0] * 100, pa.int64()), "text": texts})
+    copies = pa.table({c: pa.array([], pa.int64()) for c in ("doc", "hash", "start")})
+    sent = suffix_dedup._gram_sender(100, 52, buckets)((pa.scalar(0),), docs, copies)
+    held = {b: len(h) // 4 for b, h in zip(sent["bucket"].to_pylist(), sent["hashes"].to_pylist())}
+    assert len(held) == buckets and sum(held.values()) > 10_000
+    assert max(held.values()) < 1.3 * sum(held.values()) / buckets
+
+
 def test_repeats_of_nothing(spark):
     assert remove_repeats(frame(spark, [])).count() == 0
     assert [r.n_bytes for r in remove_repeats(frame(spark, [(1, None), (2, "a")])).orderBy("doc_id").collect()] == [0, 1]
