@@ -348,3 +348,47 @@ def test_scoring_texts_needs_no_pandas():
     code = "import sys; import ebbtide.llm.quality as q; q.statistics('a b'); sys.exit('pandas' in sys.modules)"
     root = __file__.rsplit("/tests/", 1)[0]
     assert subprocess.run([sys.executable, "-c", code], cwd=root).returncode == 0
+
+
+def test_the_query_encodes_decodes_and_compares_every_text_whole(spark, monkeypatch):
+    """Also texts whose words are known from other texts, and by more threads than one."""
+    import pyarrow as pa
+
+    from ebbtide.llm import piece_codec, queries
+
+    texts = [*(t or "" for t in ODD), "red green red", "green red", "green red", "blue  red"]
+    sent, decoded, compared, threads = [], [], [], []
+
+    class Spy:
+        def __init__(self, real):
+            self.real = real
+
+        def encode_batch_fast(self, texts, **more):
+            sent.extend(texts)
+            return self.real.encode_batch_fast(texts, **more)
+
+        def decode_batch(self, ids, **more):
+            decoded.extend(ids)
+            return [f"{t}!" for t in self.real.decode_batch(ids, **more)]
+
+        def encode_as_numpy(self, text):
+            compared.append(text)
+            out = self.real.encode_as_numpy(text)
+            return out[::-1] if text == "green red" else out
+
+    coder = piece_codec.WholeCoder(model_bytes())
+    real = coder.native.encode(texts)
+    coder.tokenizer, coder.native = Spy(coder.tokenizer), Spy(coder.native)
+    for name in ("RAYON_NUM_THREADS", "TOKENIZERS_PARALLELISM"):
+        monkeypatch.setenv(name, "2")
+    monkeypatch.setattr(piece_codec, "_once", lambda kind, data, make: coder)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    found = pa.Table.from_batches(piece_codec._coder(b"", 2, True)([batch])).to_pylist()
+    assert len(sent) == len(decoded) == len(compared) == len(texts) and compared == texts
+    assert decoded == real and [r["ids"] for r in found] == real
+    assert [r["parity"] for r in found] == [t != "green red" for t in texts] and not any(r["round_trip"] for r in found)
+
+    monkeypatch.setattr(queries, "table", lambda spark, d, name: frame(spark, [(1, "a")]))
+    monkeypatch.setattr(queries, "encode_documents", lambda *a, **more: threads.append(more.get("threads", 1)))
+    queries.op10_piece_codec(spark, "")
+    assert threads[0] > 1
