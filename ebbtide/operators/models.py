@@ -13,7 +13,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.operators.metrics import ap_of_counts, average_precision, clipped
+from ebbtide.operators.metrics import average_precision, clipped
 from ebbtide.operators.prepare import (
     align_categories,
     balanced_weights,
@@ -31,7 +31,8 @@ from ebbtide.operators.prepare import (
     stratified_split,
 )
 from ebbtide.operators.lookup import attach
-from ebbtide.operators.rank import hexadecimal, ranked, totals_by_value
+from ebbtide.operators.rank import hexadecimal, ranked
+from ebbtide.operators.swaps import coded, swapped_precision
 from ebbtide.operators.trees import BoostedTrees, fit_trees
 from ebbtide.session import durable
 from ebbtide.sources.io import path_exists
@@ -188,17 +189,10 @@ class TreeModel:
         ready = df.withColumns(_tree_inputs(self.numeric, self.categories))
         return self.trees.probability(ready, column).select(*df.columns, column)
 
-    def swapped_precision(self, pairs: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-        """Average precision per ``feature`` and ``repeat`` if that feature is taken from the row's ``_donor``."""
-        inputs = _tree_inputs(self.numeric, self.categories)
-        ready = F.struct(*[c.alias(n) for n, c in inputs.items()])
-        own = pairs.select("repeat", label, "_donor", ready.alias("_own"))
-        both = own.select("repeat", label, "_own", "_donor.*").select("repeat", label, "_own.*", ready.alias("_other"))
-        counts = self.trees.swapped(both, label, "repeat", "_other")
-        wanted = counts.withColumn("feature", F.regexp_replace("feature", "_in$", "")).where(F.col("feature").isin(list(features)))
-        by = ["feature", "repeat"]
-        totals = totals_by_value(durable(wanted), F.col("score"), "score", {"pos": F.col("pos"), "neg": F.col("neg")}, by, descending=True)
-        return totals.groupBy(*by).agg(ap_of_counts().alias("average_precision"))
+    def coded(self, df: DataFrame, keep: Sequence[str], column: str) -> DataFrame:
+        """The columns to keep, and the codes of the inputs as bytes."""
+        ready = df.select(*keep, *[c.alias(n) for n, c in _tree_inputs(self.numeric, self.categories).items()])
+        return coded(self.trees, ready, column).select(*keep, column)
 
     def save(self, path: str) -> None:
         spark = SparkSession.getActiveSession()
@@ -288,17 +282,38 @@ def permutation_importance(
     """Drop in average precision when one feature is shuffled, per feature.
 
     Every repeat pairs each row with a donor row through two seeded orders of the
-    same ids. Trees score all swaps of a pair within its task and pass on counts of scores; other models score
+    same ids. Trees score all swaps of a pair within its task and pass on counts of the scores that change; other models score
     a table of ``rows * features * repeats`` rows, so a caller that wants less passes a sample.
     """
+    if isinstance(model, TreeModel):
+        rows = durable(model.coded(sample, [id_col, label], "_codes"))
+        pairs = _paired(rows, [label, "_codes"], F.col("_codes"), repeats, seed, id_col)
+        plain, found = swapped_precision(model.trees, rows, pairs, [f"{f}_in" for f in features], repeats, label, id_col, "_codes", "_donor")
+        named = [(f.removesuffix("_in"), r, ap) for f, r, ap in found]
+        return _drops(sample.sparkSession.createDataFrame(named, "feature string, repeat int, average_precision double"), plain)
+    paired = _paired(sample, [label, *features], F.struct(*features), repeats, seed, id_col)
+    plain = average_precision(model.score(sample.select(label, *features)), label).first()[0]
+    variants = paired.select("*", F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"))
+
+    def swapped(f: str) -> Column:
+        return F.when(F.col("feature") == f, F.col(f"_donor.{f}")).otherwise(F.col(f)).alias(f)
+
+    shuffled = model.score(
+        variants.select("feature", "repeat", label, *[swapped(f) for f in features])
+    )
+    return _drops(average_precision(shuffled, label, by=["feature", "repeat"]), plain)
+
+
+def _paired(sample: DataFrame, own: Sequence[str], donor: Column, repeats: int, seed: int, id_col: str) -> DataFrame:
+    """``own`` of each row and, per ``repeat``, the ``_donor`` of the row that takes its place in another order of the ids."""
     base = ranked(
-        sample.select(id_col, label, *features).withColumn("_mix", shuffle_key(id_col, f"{seed}:base")),
+        sample.select(id_col, *own).withColumn("_mix", shuffle_key(id_col, f"{seed}:base")),
         [hexadecimal(F.col("_mix")), F.col(id_col)],
         rank="_place",
     ).drop("_mix", "total")
     rounds = F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat")
     donors = ranked(
-        sample.select(id_col, F.struct(*features).alias("_donor"), rounds).withColumn(
+        sample.select(id_col, donor.alias("_donor"), rounds).withColumn(
             "_mix",
             F.md5(F.concat(F.lit(f"{seed}:"), F.col("repeat").cast("string"), F.lit(":"), F.col(id_col))),
         ),
@@ -306,24 +321,12 @@ def permutation_importance(
         ["repeat"],
         rank="_place",
     ).select("repeat", "_place", "_donor")
-    paired = base.select("*", rounds).join(donors, ["repeat", "_place"])
-    plain = average_precision(model.score(sample.select(label, *features)), label).first()[0]
-    if isinstance(model, TreeModel):
-        return _drops(model.swapped_precision(paired, features, label), plain)
-    variants = paired.select("*", F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"))
-
-    def swapped(f: str) -> Column:
-        return F.when(F.col("feature") == f, F.col(f"_donor.{f}")).otherwise(F.col(f)).alias(f)
-
-    shuffled = model.score(
-        variants.select("feature", "repeat", label, *[swapped(f) for f in features])
-    )
-    return _drops(average_precision(shuffled, label, by=["feature", "repeat"]), plain)
+    return base.join(donors, "_place")
 
 
-def _drops(precision: DataFrame, plain: float) -> DataFrame:
+def _drops(precision: DataFrame, plain: float | None) -> DataFrame:
     return (
-        precision.withColumn("drop", F.lit(plain) - F.col("average_precision")).groupBy("feature")
+        precision.withColumn("drop", F.lit(plain).cast("double") - F.col("average_precision")).groupBy("feature")
         .agg(
             F.avg("drop").alias("average_precision_drop_mean"),
             F.stddev_pop("drop").alias("average_precision_drop_std"),

@@ -367,37 +367,6 @@ class BoostedTrees:
 
         return df.withColumn(column, F.arrow_udf(chance, "double")(*names))
 
-    def swapped(self, pairs: DataFrame, label: str, key: str, donor: str) -> DataFrame:
-        """Counts of scores when one feature at a time is taken from another row: key, feature, score, pos, neg.
-
-        ``pairs`` has the features under their names and those of the other row in the struct ``donor``. A task scores all
-        swaps of its rows and passes on counts alone; rows whose code stays and trees without the feature are not gone through again.
-        """
-        bins, base, trees, names = self.bins, self.base, self.trees, self.bins.features
-        flat = pairs.select(*names, *[F.col(f"{donor}.{c}").alias(f"{donor}_{c}") for c in names], label, key)
-
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            scorers = [tree.scorer() for tree in trees]
-            for batch in batches:
-                own, other = (np.asfortranarray(bins.codes(pa.RecordBatch.from_arrays([batch[p + c] for c in names], names=names))) for p in ("", f"{donor}_"))
-                plain = [scorer(own) for scorer in scorers]
-                unchanged = sum(plain, np.zeros(len(own)))
-                positive, keys = batch[label].to_numpy() == 1, batch[key].to_numpy()
-                for f, name in enumerate(names):
-                    changed = np.flatnonzero(own[:, f] != other[:, f])
-                    codes = np.asfortranarray(own[changed])
-                    codes[:, f] = other[changed, f]
-                    swapped = np.zeros(len(codes))
-                    for tree, scorer, value in zip(trees, scorers, plain):
-                        swapped += scorer(codes) if f in tree.feature else value[changed]
-                    total = unchanged.copy()
-                    total[changed] = swapped
-                    kinds, place = np.unique(np.stack([keys.astype(np.float64), _chance(base + total)]), axis=1, return_inverse=True)
-                    n = [np.bincount(place.ravel(), x, kinds.shape[1]).astype(np.int64) for x in (positive, ~positive)]
-                    yield pa.RecordBatch.from_pydict({key: kinds[0].astype(np.int64), "feature": [name] * kinds.shape[1], "score": kinds[1], "pos": n[0], "neg": n[1]})
-
-        return flat.mapInArrow(score, f"{key} long, feature string, score double, pos long, neg long")
-
     def rows(self, spark: SparkSession) -> DataFrame:
         """The model as a table: one row per node, and one for the bins."""
         nodes = [
