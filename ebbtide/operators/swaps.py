@@ -61,22 +61,22 @@ def swapper(trees: Sequence[Tree]) -> Callable[[np.ndarray, np.ndarray], tuple[n
             gone: dict[int, np.ndarray] = {}
             for i, f, left, made, again in steps:
                 rows = held.pop(i)
-                goes, turned = left[own[f][rows]], left[other[f][rows]]
-                sides = rows[goes], rows[~goes]
-                away = [rows[turned & ~goes], rows[goes & ~turned]]
+                goes, turned = left.take(own[f].take(rows)), left.take(other[f].take(rows))
+                sides = rows.compress(goes), rows.compress(~goes)
+                away = [rows.compress(turned > goes), rows.compress(goes > turned)]
                 if again:
                     away = [x[~gone[f][x]] for x in away]
                 for x in away:
                     gone.setdefault(f, np.zeros(n, dtype=bool))[x] = True
                 parts = [[(x, x + f * n)] if len(x) else [] for x in away]
                 for row, place in moved.pop(i, ()):
-                    code = own[f][row]
+                    code = own[f].take(row)
                     if again:
                         mine = place // n == f
                         code[mine] = other[f][row[mine]]
-                    side = left[code]
+                    side = left.take(code)
                     for part, which in zip(parts, (side, ~side)):
-                        part.append((row[which], place[which]))
+                        part.append((row.compress(which), place.compress(which)))
                 for child, side, part in zip(made, sides, parts):
                     held[child] = side
                     if part:
@@ -84,7 +84,7 @@ def swapper(trees: Sequence[Tree]) -> Callable[[np.ndarray, np.ndarray], tuple[n
             for i, rows in held.items():
                 value[rows] = values[i]
             ended = [(place, values[i]) for i, found in moved.items() for _, place in found]
-            before = [flat[place] + v for place, v in ended]
+            before = [flat.take(place) + v for place, v in ended]
             plain += value
             total += value
             for (place, _), x in zip(ended, before):
